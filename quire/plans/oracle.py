@@ -301,3 +301,11 @@ SQL: dict[str, str] = {
     "nucleus": f"WITH {NUCLEUS} SELECT vec_id, rn::INTEGER AS rank, token_id, round(p, 6) AS prob FROM nkp",
     "top_p_draw": f"WITH {NUCLEUS}, src AS (SELECT vec_id, token_id, rn, p FROM nkp)" + _draw("src"),
 }
+
+SQL["stream_page_chunks"] = SQL["page_chunks"]
+SQL["stream_padded_rows"] = SQL["padded_rows"]
+SQL["stream_rejects"] = f"""WITH {KEPT}, {_tok_ctes('kept', 'page_id', 'k').strip()},
+    j AS (SELECT a.page_id, a.url, CASE WHEN length(a.text) <= 200 THEN 'short_text'
+                 WHEN coalesce(len(e.ids), 0) < {L_PAGE} THEN 'few_tokens' END AS reason
+          FROM art a LEFT JOIN k_enc e USING (page_id))
+    SELECT page_id, url, reason FROM j WHERE reason IS NOT NULL"""

@@ -433,3 +433,40 @@ def q_top_p_draw(spark, sf):
     """Nucleus draw with a reproducible uniform."""
     s = sampling.sample(_lg(spark, sf), ["vec_id"], "logits", "top_p", 10, 0.9, TEMPERATURE, D.SEED)
     return s.select("vec_id", F.col("next_token").alias("token_id"))
+
+
+# --------------------------------------------------------------------------- streaming
+
+@register("stream_page_chunks")
+def q_stream_page_chunks(spark, sf):
+    """Page files as a stream, one micro-batch per file, read back; equals page_chunks."""
+    from quire.streaming.jobs import run_page_chunks
+    vocab = tokenize.fit_vocab(D.kept_pages(spark, sf), "text")
+    paths = run_page_chunks(spark, sf, vocab, D.L_PAGE, files="pages.parquet",
+                            max_files_per_trigger=1)
+    ch = spark.read.parquet(paths["chunks"])
+    return ch.select("page_id", "url", F.col("chunk_idx").cast("int").alias("chunk_idx"),
+                     F.col("start").cast("int").alias("start"),
+                     A.ids_text("input_ids").alias("input_ids"),
+                     F.size("attention_mask").cast("int").alias("mask_len"))
+
+
+@register("stream_rejects")
+def q_stream_rejects(spark, sf):
+    """The failed-URL table the page stream leaves behind (URL list = the pages)."""
+    from quire.streaming.jobs import run_page_chunks
+    vocab = tokenize.fit_vocab(D.kept_pages(spark, sf), "text")
+    paths = run_page_chunks(spark, sf, vocab, D.L_PAGE, files="pages.parquet",
+                            max_files_per_trigger=1)
+    return spark.read.parquet(paths["rejects"]).select(F.col("seq").alias("page_id"), "url", "reason")
+
+
+@register("stream_padded_rows")
+def q_stream_padded_rows(spark, sf):
+    """Documents as a record stream -> padded rows; equals padded_rows."""
+    from quire.streaming.jobs import run_padded_rows
+    path = run_padded_rows(spark, sf, D.doc_vocab(spark, sf), 64, files="documents.parquet",
+                           max_files_per_trigger=1)
+    p = spark.read.parquet(path)
+    return p.select("doc_id", A.ids_text("input_ids").alias("input_ids"),
+                    A.ids_text("attention_mask").alias("attention_mask"))

@@ -5,8 +5,9 @@ task.  Here the rows are range-partitioned on the order key, sorted inside each
 partition, and numbered locally with ``monotonically_increasing_id`` (partition
 index in the high bits, local position in the low 33 bits).  Per-partition
 counts (one row per partition: a proven size bound) are summed into offsets
-and broadcast back.  The numbered rows are checkpointed to the session's
-reliable checkpoint folder first, so a lost executor cannot renumber them.
+and broadcast back.  The numbered rows are first written as a table in the
+session's shared checkpoint folder, so a lost executor cannot renumber them
+(a recomputed range shuffle could move rows between partitions).
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.session import checkpoint_dir
+from quire.session import scratch_path
 
 _LOW_BITS = (1 << 33) - 1
 
@@ -26,12 +27,13 @@ def with_global_index(df: DataFrame, order_cols: list, index_col: str = "idx",
     ``order_cols`` must make the order total (add a unique tiebreaker).
     """
     spark = df.sparkSession
-    checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    numbered = (df.repartitionByRange(n, *order_cols)
-                .sortWithinPartitions(*order_cols)
-                .withColumn("_mid", F.monotonically_increasing_id())
-                .checkpoint(eager=True))
+    path = scratch_path(spark, "dense-index")
+    (df.repartitionByRange(n, *order_cols)
+       .sortWithinPartitions(*order_cols)
+       .withColumn("_mid", F.monotonically_increasing_id())
+       .write.parquet(path))
+    numbered = spark.read.parquet(path)
     pid = F.shiftright(F.col("_mid"), 33)
     counts = numbered.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.operators.indexing import with_global_index
+from quire.session import scratch_path
 
 # Pre-token patterns.  PRETOKEN_PATTERN is the form accepted by
 # both Java regex and RE2; GPT2_PATTERN is the published byte-level GPT-2 rule
@@ -74,6 +75,16 @@ def vocab_size_column(config_size: Column, tokenizer_size: Column) -> Column:
     return F.greatest(F.coalesce(config_size, F.lit(0)), tokenizer_size)
 
 
+def _by_key(df: DataFrame, key_cols: list) -> DataFrame:
+    """Hash-partition rows by key with an explicit partition count.
+
+    An explicit count keeps adaptive execution from changing the number of
+    partitions under the hash partitioning that later operators rely on.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *key_cols)
+
+
 def _regroup(exploded: DataFrame, group_cols: list, pos_col: str, val_col: str, out_col: str) -> DataFrame:
     """Collect ``val_col`` back into one array per group in ``pos_col`` order.
 
@@ -92,14 +103,16 @@ def encode(df: DataFrame, vocab: DataFrame, key_cols: list, text_col: str = "tex
     """Replace ``text_col`` by ``out_col`` = token ids in text order (unknown -> UNK_ID)."""
     keep = [c for c in df.columns if c != text_col]
     n_ids = vocab_size(vocab)
-    base = df.repartition(*key_cols)
+    base = _by_key(df, key_cols)
     toks = base.select(*keep, F.posexplode_outer(pretoken_array(text_col, pattern)).alias("_pos", "_tok"))
     hot = vocab.where(F.col("id") < hot_size + FIRST_ID).select(F.col("token").alias("_tok"), F.col("id").alias("_id"))
     looked = toks.join(F.broadcast(hot), "_tok", "left")
     if n_ids > hot_size + FIRST_ID:
-        # Large vocabulary: the cold tail is joined by shuffle; the looked-up
-        # rows are written once so the pre-token regex does not run twice.
-        looked = looked.checkpoint(eager=True)
+        # Large vocabulary: the cold tail is joined by shuffle.  The looked-up
+        # rows are written once to the shared checkpoint folder (so the
+        # pre-token regex does not run twice and a lost executor does not
+        # recompute them); the regroup then shuffles by key.
+        looked = write_table(looked, "encode-looked")
         cold = vocab.where(F.col("id") >= hot_size + FIRST_ID).select(
             F.col("token").alias("_tok"), F.col("id").alias("_cid"))
         miss = F.col("_id").isNull() & F.col("_tok").isNotNull()
@@ -115,7 +128,7 @@ def decode(df: DataFrame, vocab: DataFrame, key_cols: list, ids_col: str = "ids"
            out_col: str = "text", hot_size: int = HOT_VOCAB) -> DataFrame:
     """Ids back to text; special ids (end-of-text, unknown) are skipped."""
     keep = [c for c in df.columns if c != ids_col]
-    base = df.repartition(*key_cols)
+    base = _by_key(df, key_cols)
     ex = (base.select(*keep, F.posexplode_outer(ids_col).alias("_pos", "_id"))
           .withColumn("_id", F.when(F.col("_id") >= FIRST_ID, F.col("_id"))))
     voc = vocab.select("id", F.col("token").alias("_tok"))
@@ -140,3 +153,10 @@ def lookup_ids(df: DataFrame, table: DataFrame, id_col: str, hot_size: int = HOT
     hot = F.coalesce(F.col(id_col), F.lit(0)) < bound
     return (df.where(hot).join(F.broadcast(small), id_col, "left")
             .unionByName(df.where(~hot).join(t.where(F.col(id_col) >= bound), id_col, "left")))
+
+
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """Materialise ``df`` as Parquet under the session's checkpoint folder and read it back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

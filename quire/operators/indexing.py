@@ -24,7 +24,10 @@ def with_global_index(df: DataFrame, order_cols: list, index_col: str = "idx",
                       num_partitions: int | None = None) -> DataFrame:
     """Append ``index_col`` = 0-based position of each row in ``order_cols`` order.
 
-    ``order_cols`` must make the order total (add a unique tiebreaker).
+    ``order_cols`` must make the order total (add a unique tiebreaker).  The
+    range partitioner samples its input in a separate job, so an expensive
+    ``df`` should be a written table (see ``write_table``) to avoid computing
+    it twice.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -41,3 +44,14 @@ def with_global_index(df: DataFrame, order_cols: list, index_col: str = "idx",
     return (numbered.join(F.broadcast(offsets), pid == offsets["_pid"])
             .withColumn(index_col, F.col("_off") + F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)))
             .drop("_mid", "_pid", "_off"))
+
+
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """Materialise ``df`` as Parquet in the session's shared checkpoint folder and read it back.
+
+    Cuts lineage (a lost executor re-reads the table instead of recomputing
+    the plan) and makes a later scan cheap.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -21,8 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.operators.indexing import with_global_index
-from quire.session import scratch_path
+from quire.operators.indexing import with_global_index, write_table
 
 # Pre-token patterns.  PRETOKEN_PATTERN is the form accepted by
 # both Java regex and RE2; GPT2_PATTERN is the published byte-level GPT-2 rule
@@ -59,9 +58,12 @@ def fit_vocab(df: DataFrame, text_col: str = "text", max_size: int | None = None
     counts = toks.groupBy("token").agg(F.count(F.lit(1)).alias("count"))
     if max_size:
         counts = counts.orderBy(F.desc("count"), F.asc("token")).limit(int(max_size))
+    # one pass over the corpus: the counts are written once, ranking and the
+    # range partitioner's sample read the (vocabulary-sized) table
+    counts = write_table(counts, "vocab-counts")
     ranked = with_global_index(counts, [F.desc("count"), F.asc("token")], "rank")
-    return ranked.select("token", (F.col("rank") + FIRST_ID).cast("int").alias("id"),
-                         F.col("count").cast("long").alias("count"))
+    return write_table(ranked.select("token", (F.col("rank") + FIRST_ID).cast("int").alias("id"),
+                                     F.col("count").cast("long").alias("count")), "vocab")
 
 
 def vocab_size(vocab: DataFrame) -> int:
@@ -154,9 +156,3 @@ def lookup_ids(df: DataFrame, table: DataFrame, id_col: str, hot_size: int = HOT
     return (df.where(hot).join(F.broadcast(small), id_col, "left")
             .unionByName(df.where(~hot).join(t.where(F.col(id_col) >= bound), id_col, "left")))
 
-
-def write_table(df: DataFrame, name: str) -> DataFrame:
-    """Materialise ``df`` as Parquet under the session's checkpoint folder and read it back."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)

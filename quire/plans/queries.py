@@ -470,3 +470,18 @@ def q_stream_padded_rows(spark, sf):
     p = spark.read.parquet(path)
     return p.select("doc_id", A.ids_text("input_ids").alias("input_ids"),
                     A.ids_text("attention_mask").alias("attention_mask"))
+
+
+# --------------------------------------------------------------------------- byte-level BPE
+
+BPE_MERGES = 32
+
+
+@register("bpe_encode")
+def q_bpe_encode(spark, sf):
+    """P6 mode b: byte-level BPE merges fitted on the documents, then every document encoded."""
+    from quire.operators import bpe
+    docs = D.documents(spark, sf)
+    merges = bpe.fit_bpe(docs, "text", BPE_MERGES)
+    enc = bpe.bpe_encode(docs, merges, ["doc_id"], "text", "ids")
+    return enc.select("doc_id", F.size("ids").cast("long").alias("n_ids"), A.ids_text("ids").alias("ids"))

@@ -39,24 +39,41 @@ def byte_chars() -> list[str]:
     return [out[b] for b in range(256)]
 
 
+SEP = "\u0001"   # symbol separator; no byte stand-in character is U+0001
+
+
 def byte_symbols(col: Column | str) -> Column:
-    """A string as its UTF-8 bytes, each shown as its stand-in character."""
+    """A string as its UTF-8 bytes, each shown as its stand-in character, as a
+    separated symbol string ``SEP s1 SEP s2 ... SEP``."""
     c = F.col(col) if isinstance(col, str) else col
     table = F.array(*[F.lit(ch) for ch in byte_chars()])
     hexes = F.regexp_extract_all(F.hex(F.encode(c, "UTF-8")), F.lit("([0-9A-F]{2})"), 1)
-    return F.transform(hexes, lambda h: F.element_at(table, F.conv(h, 16, 10).cast("int") + 1))
+    chars = F.transform(hexes, lambda h: F.element_at(table, F.conv(h, 16, 10).cast("int") + 1))
+    return F.concat(F.lit(SEP), F.array_join(chars, SEP), F.lit(SEP))
+
+
+def symbols_of(sym: Column | str) -> Column:
+    """The symbol array of a separated symbol string."""
+    c = F.col(sym) if isinstance(sym, str) else sym
+    return F.split(F.regexp_replace(c, f"^{SEP}|{SEP}$", ""), SEP, -1)
+
+
+def _rx(text: str) -> str:
+    return "".join("\\" + ch if not ch.isalnum() and ord(ch) < 128 else ch for ch in text)
+
 
+def _rep(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("$", "\\$")
 
-def merge_pair(symbols: Column, a: Column, b: Column) -> Column:
-    """Replace every adjacent (a, b), left to right without overlap, by a+b."""
-    ab = F.concat(a, b)
 
-    def step(acc, x):
-        last = F.get(acc, F.size(acc) - 1)
-        joined = F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(ab))
-        return F.when((F.size(acc) > 0) & (last == a) & (x == b), joined).otherwise(F.concat(acc, F.array(x)))
+def merge_pair(sym: Column, a: str, b: str) -> Column:
+    """Replace every adjacent (a, b), left to right without overlap, by a+b.
 
-    return F.aggregate(symbols, F.array().cast("array<string>"), step)
+    On the separated string this is one regex replacement: the next match
+    starts after the previous one, which is exactly the left-to-right rule.
+    """
+    pattern = f"{SEP}{_rx(a)}{SEP}{_rx(b)}(?={SEP})"
+    return F.regexp_replace(sym, pattern, _rep(SEP + a + b))
 
 
 def fit_bpe(df: DataFrame, text_col: str = "text", num_merges: int = 50,
@@ -64,33 +81,36 @@ def fit_bpe(df: DataFrame, text_col: str = "text", num_merges: int = 50,
     """Learn up to ``num_merges`` merges; returns them in order (a bounded list)."""
     words = (df.select(F.explode(pretoken_array(text_col, pattern)).alias("word"))
                .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
-    words = write_table(words.select("n", byte_symbols("word").alias("sym")), "bpe-words")
+    # word types that are one symbol can never take part in a merge again
+    multi = F.size(symbols_of("sym")) > 1
+    words = write_table(words.select("n", byte_symbols("word").alias("sym")).where(multi), "bpe-words")
     merges: list[tuple[str, str]] = []
-    cached = None
+    cached: list[DataFrame] = []
     for r in range(num_merges):
-        pairs = (words.where(F.size("sym") > 1)
+        pairs = (words.select("n", symbols_of("sym").alias("s"))
                  .select("n", F.explode(F.arrays_zip(
-                     F.slice("sym", 1, F.size("sym") - 1).alias("a"),
-                     F.slice("sym", 2, F.size("sym") - 1).alias("b"))).alias("p"))
+                     F.slice("s", 1, F.size("s") - 1).alias("a"),
+                     F.slice("s", 2, F.size("s") - 1).alias("b"))).alias("p"))
                  .groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b"))
                  .agg(F.sum("n").alias("w")))
         best = pairs.orderBy(F.desc("w"), "a", "b").limit(1).collect()
+        # this job materialised ``words``; older cached rounds are no longer needed
+        for c in cached[:-1]:
+            c.unpersist()
+        cached = cached[-1:]
         if not best:
             break
         a, b = best[0]["a"], best[0]["b"]
         merges.append((a, b))
-        nxt = words.withColumn("sym", merge_pair(F.col("sym"), F.lit(a), F.lit(b)))
+        nxt = words.withColumn("sym", merge_pair(F.col("sym"), a, b)).where(multi)
         if (r + 1) % cut_every == 0:
             nxt = write_table(nxt, "bpe-words")      # lineage cut in the shared folder
         else:
-            nxt = nxt.persist()                       # one merge applied per round
-            nxt.count()
-        if cached is not None:
-            cached.unpersist()
-        cached = nxt if (r + 1) % cut_every else None
+            nxt = nxt.persist()                       # built by the next round's pair count
+            cached.append(nxt)
         words = nxt
-    if cached is not None:
-        cached.unpersist()
+    for c in cached:
+        c.unpersist()
     return merges
 
 
@@ -101,15 +121,14 @@ def merges_table(spark, merges: list[tuple[str, str]]) -> DataFrame:
 
 
 def symbol_ids(sym: Column, merges: list[tuple[str, str]]) -> Column:
-    """Apply ``merges`` in order to a symbol array and map symbols to ids."""
+    """Apply ``merges`` in order to a separated symbol string and map symbols to ids."""
     out = sym
-    if merges:
-        ms = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in merges])
-        out = F.aggregate(ms, sym, lambda s, m: merge_pair(s, m["a"], m["b"]))
+    for a, b in merges:
+        out = merge_pair(out, a, b)
     keys = byte_chars() + [a + b for a, b in merges]
     vals = [b + BYTE_ID_OFFSET for b in range(256)] + [FIRST_MERGE_ID + i for i in range(len(merges))]
     lookup = F.map_from_arrays(F.array(*[F.lit(k) for k in keys]), F.array(*[F.lit(v) for v in vals]))
-    return F.transform(out, lambda x: F.element_at(lookup, x))
+    return F.transform(symbols_of(out), lambda x: F.element_at(lookup, x))
 
 
 def bpe_encode(df: DataFrame, merges: list[tuple[str, str]], key_cols: list, text_col: str = "text",

@@ -34,12 +34,14 @@ def read_articles(df: DataFrame, order_col: str = "doc_id", max_articles: int |
     """Article stream with a cap on articles read (None or 0 = all).
 
     The cap counts articles, including those that later give no chunk; the
-    first ``max_articles`` in ``order_col`` order are kept (a top-k with a
-    bounded per-task heap).
+    first ``max_articles`` in ``order_col`` order are kept.  Only the keys go
+    through the top-k (a bounded list of ``max_articles`` values, broadcast
+    back as a semi join), never the texts.
     """
     if not max_articles:
         return df
-    return df.orderBy(order_col).limit(int(max_articles))
+    first = df.select(order_col).orderBy(order_col).limit(int(max_articles))
+    return df.join(F.broadcast(first), order_col, "left_semi")
 
 
 def choose_source(use_wikipedia: bool, use_streaming: bool) -> str:

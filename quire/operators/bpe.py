@@ -79,7 +79,8 @@ def merge_pair(sym: Column, a: str, b: str) -> Column:
 def fit_bpe(df: DataFrame, text_col: str = "text", num_merges: int = 50,
             pattern: str = GPT2_PATTERN, cut_every: int = 10) -> list[tuple[str, str]]:
     """Learn up to ``num_merges`` merges; returns them in order (a bounded list)."""
-    words = (df.select(F.explode(pretoken_array(text_col, pattern)).alias("word"))
+    from quire.sources.corpus import spread
+    words = (spread(df.select(text_col)).select(F.explode(pretoken_array(text_col, pattern)).alias("word"))
                .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
     # word types that are one symbol can never take part in a merge again
     multi = F.size(symbols_of("sym")) > 1

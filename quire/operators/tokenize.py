@@ -54,7 +54,8 @@ def pretokens(df: DataFrame, key_cols: list, text_col: str = "text",
 def fit_vocab(df: DataFrame, text_col: str = "text", max_size: int | None = None,
               pattern: str = PRETOKEN_PATTERN) -> DataFrame:
     """Vocabulary ``(token, id, count)`` fitted on ``text_col``; top ``max_size`` if given."""
-    toks = df.select(F.explode(pretoken_array(text_col, pattern)).alias("token"))
+    from quire.sources.corpus import spread
+    toks = spread(df.select(text_col)).select(F.explode(pretoken_array(text_col, pattern)).alias("token"))
     counts = toks.groupBy("token").agg(F.count(F.lit(1)).alias("count"))
     if max_size:
         counts = counts.orderBy(F.desc("count"), F.asc("token")).limit(int(max_size))

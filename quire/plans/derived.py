@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.html import article_text, page_text
 from quire.operators import runs, tokenize
-from quire.sources.corpus import table
+from quire.sources.corpus import spread, table
 from quire.sources.lines import lines_of
 
 L_PAGE = 64          # window length of the crawl stream (dataset default)
@@ -22,13 +22,13 @@ SEED = 42
 
 def kept_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Pages reduced to their article text, kept iff longer than 200 characters."""
-    pages = table(spark, sf, "pages")
+    pages = spread(table(spark, sf, "pages"))
     txt = pages.select("page_id", "url", article_text("html").alias("text"))
     return txt.where(F.length("text") > 200)
 
 
 def plain_pages(spark: SparkSession, sf: str) -> DataFrame:
-    pages = table(spark, sf, "pages")
+    pages = spread(table(spark, sf, "pages"))
     return pages.select("page_id", "url", page_text("html").alias("text"))
 
 

@@ -69,8 +69,13 @@ def q_crawl_corpus_lines(spark, sf):
 
 @register("page_chunks")
 def q_page_chunks(spark, sf):
-    """Flagship (T1 batch twin): kept pages -> fitted vocabulary -> ids -> >= L -> windows of L."""
-    kept = D.kept_pages(spark, sf)
+    """Flagship (T1 batch twin): kept pages -> fitted vocabulary -> ids -> >= L -> windows of L.
+
+    The cleaned pages feed both the vocabulary fit and the encode, so they are
+    written once (HTML parsing is the most expensive step) and read twice.
+    """
+    from quire.operators.indexing import write_table
+    kept = write_table(D.kept_pages(spark, sf), "kept-pages")
     vocab = tokenize.fit_vocab(kept, "text")
     enc = tokenize.encode(kept, vocab, ["page_id"], "text", "ids")
     ch = chunking.chunk(enc.where(F.size("ids") >= D.L_PAGE), D.L_PAGE, "ids")

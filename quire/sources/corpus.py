@@ -8,6 +8,18 @@ from pyspark.sql import functions as F
 from quire.functions.text import is_nonempty
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition when ``df`` has fewer partitions than the cluster's
+    parallelism (e.g. one large row group), so expensive per-row work (HTML
+    parsing, pre-token regex) does not run in a single task.  Inputs that
+    already have enough splits (the large-data case) are left as they are.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """One Parquet table of a data folder (``base/name.parquet``)."""
     return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")

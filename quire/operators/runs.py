@@ -187,3 +187,36 @@ def write_history(history: DataFrame, path: str, fmt: str = "csv") -> None:
         (per.select("run", F.col("_h.train_loss").alias("train_loss"),
                     F.col("_h.eval_loss").alias("eval_loss"), F.col("_h.lr").alias("lr"))
             .write.mode("overwrite").json(path))
+
+
+def config_snapshot(config: Column) -> Column:
+    """Config snapshot of a run as a JSON string (K4)."""
+    return F.to_json(config)
+
+
+def log_metrics(metrics: DataFrame, path: str) -> None:
+    """Append scalar metric rows ``(run, tag, step, value)`` to the metric log (K5).
+
+    The step is mandatory: rows without one are refused.
+    """
+    checked = metrics.withColumn("step", F.when(F.col("step").isNull(), F.raise_error(
+        F.concat(F.lit("metric without step: "), F.col("tag")))).otherwise(F.col("step")))
+    checked.select("run", "tag", "step", "value").write.mode("append").partitionBy("run").parquet(path)
+
+
+def snapshots(history: DataFrame, patience: int = 3, delta: float = 1e-3, run_col: str = "run",
+              epoch_col: str = "epoch", loss_col: str = "eval_loss") -> DataFrame:
+    """Snapshot rows a run leaves (K6): ``kind='best'`` at every new best epoch and
+    ``kind='earlystop'`` at the first epoch where the patience counter is reached;
+    epochs after that stop are not trained, so they leave nothing."""
+    h = running_best(early_stop(history, patience, delta, run_col, epoch_col, loss_col, truncate=True),
+                     run_col, epoch_col, loss_col)
+    best = h.where("is_best").select(run_col, epoch_col, loss_col, F.lit("best").alias("kind"))
+    stop = h.where("stop").select(run_col, epoch_col, loss_col, F.lit("earlystop").alias("kind"))
+    return best.unionByName(stop)
+
+
+def zip_histories(*arrays: Column) -> Column:
+    """Zip per-epoch arrays position by position; the shortest wins (``arrays_zip`` alone pads with null)."""
+    n = F.least(*[F.size(a) for a in arrays])
+    return F.slice(F.arrays_zip(*arrays), 1, n)

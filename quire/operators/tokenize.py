@@ -18,6 +18,7 @@ Physical shape (see README, "scale notes"):
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -157,3 +158,14 @@ def lookup_ids(df: DataFrame, table: DataFrame, id_col: str, hot_size: int = HOT
     return (df.where(hot).join(F.broadcast(small), id_col, "left")
             .unionByName(df.where(~hot).join(t.where(F.col(id_col) >= bound), id_col, "left")))
 
+
+
+def encode_with(df: DataFrame, tokenizer, text_col: str = "text", out_col: str = "ids") -> DataFrame:
+    """Encode with a user tokenizer: ``tokenizer(pandas.Series[str]) -> Series[list[int]]``,
+    run as an Arrow ``pandas_udf`` per batch (the callable form of the tokenizer argument)."""
+
+    @F.pandas_udf("array<int>")
+    def _enc(s: pd.Series) -> pd.Series:
+        return tokenizer(s)
+
+    return df.withColumn(out_col, _enc(F.col(text_col))).drop(text_col)

@@ -309,3 +309,17 @@ SQL["stream_rejects"] = f"""WITH {KEPT}, {_tok_ctes('kept', 'page_id', 'k').stri
                  WHEN coalesce(len(e.ids), 0) < {L_PAGE} THEN 'few_tokens' END AS reason
           FROM art a LEFT JOIN k_enc e USING (page_id))
     SELECT page_id, url, reason FROM j WHERE reason IS NOT NULL"""
+
+SQL["run_snapshots"] = f"""WITH {HISTORY},
+    bb AS (SELECT run, epoch, eval_loss,
+           coalesce(min(eval_loss) OVER (PARTITION BY run ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                    'inf'::DOUBLE) AS best_before FROM history),
+    fl AS (SELECT *, CASE WHEN eval_loss < best_before - 0.001 THEN 1 ELSE 0 END AS reset,
+                     CASE WHEN eval_loss < best_before THEN 0 ELSE 1 END AS miss FROM bb),
+    g AS (SELECT *, sum(reset) OVER (PARTITION BY run ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp FROM fl),
+    c AS (SELECT run, epoch, eval_loss, best_before,
+          sum(miss) OVER (PARTITION BY run, grp ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS counter FROM g),
+    s AS (SELECT *, min(CASE WHEN counter >= 3 THEN epoch END) OVER (PARTITION BY run) AS fs FROM c),
+    kept AS (SELECT * FROM s WHERE fs IS NULL OR epoch <= fs)
+    SELECT run, epoch, eval_loss, 'best' AS kind FROM kept WHERE eval_loss < best_before
+    UNION ALL SELECT run, epoch, eval_loss, 'earlystop' AS kind FROM kept WHERE counter >= 3"""

@@ -343,6 +343,12 @@ def q_lr_schedule(spark, sf):
     return h.select("run", "epoch", "train_loss", "eval_loss", F.round("lr", 12).alias("lr"))
 
 
+@register("run_snapshots")
+def q_run_snapshots(spark, sf):
+    """K6: best and early-stop snapshot rows of every run (patience 3, delta 1e-3)."""
+    return runs.snapshots(D.history(spark, sf), 3, 1e-3)
+
+
 @register("list_runs")
 def q_list_runs(spark, sf):
     """Names matching YYYY-MM-DD_HH-MM-SS, sorted."""

@@ -151,3 +151,33 @@ def test_lr_schedule(spark):
     df = spark.createDataFrame([(e,) for e in (1, 2, 3)], "epoch int")
     got = [r.lr for r in runs.with_lr(df, 1e-4, 0.95).orderBy("epoch").collect()]
     assert all(math.isclose(g, 1e-4 * 0.95 ** (e - 1)) for g, e in zip(got, (1, 2, 3)))
+
+
+def test_snapshots_and_zip(spark):
+    a = [3.0, 2.5, 2.4995, 2.4999, 2.6, 2.7, 1.0]
+    df = spark.createDataFrame([("a", i + 1, v) for i, v in enumerate(a)], "run string, epoch int, eval_loss double")
+    got = sorted((r.epoch, r.kind) for r in runs.snapshots(df, 3, 1e-3).collect())
+    assert got == [(1, "best"), (2, "best"), (3, "best"), (6, "earlystop")]
+    z = spark.range(1).select(runs.zip_histories(F.array(F.lit(1.0), F.lit(2.0), F.lit(3.0)),
+                                                 F.array(F.lit(4.0), F.lit(5.0))).alias("z")).first().z
+    assert len(z) == 2
+
+
+def test_history_sinks_and_metric_log(spark, tmp_path):
+    h = spark.createDataFrame([("r1", 1, 2.0, 2.5, 1e-4), ("r1", 2, 1.5, 2.0, 9.5e-5)],
+                              "run string, epoch int, train_loss double, eval_loss double, lr double")
+    runs.write_history(h, str(tmp_path / "csv"), "csv")
+    back = spark.read.option("header", True).csv(str(tmp_path / "csv"))
+    assert back.count() == 2 and set(back.columns) >= {"epoch", "train_loss", "eval_loss", "lr"}
+    runs.write_history(h, str(tmp_path / "json"), "json")
+    j = spark.read.json(str(tmp_path / "json")).first()
+    assert j.eval_loss == [2.5, 2.0]
+    m = spark.createDataFrame([("r1", "Loss/batch_train", 1, 0.5)], "run string, tag string, step int, value double")
+    runs.log_metrics(m, str(tmp_path / "m"))
+    runs.log_metrics(m, str(tmp_path / "m"))
+    assert spark.read.parquet(str(tmp_path / "m")).count() == 2
+    bad = spark.createDataFrame([("r1", "GradNorm", None, 0.5)], "run string, tag string, step int, value double")
+    with pytest.raises(Exception):
+        runs.log_metrics(bad, str(tmp_path / "m2"))
+    snap = spark.range(1).select(runs.config_snapshot(F.create_map(F.lit("lr"), F.lit("1e-4"))).alias("j")).first().j
+    assert snap == '{"lr":"1e-4"}'

@@ -51,3 +51,21 @@ def test_article_cap(spark):
     assert read_articles(df, "doc_id", 10).count() == 10
     assert read_articles(df, "doc_id", None).count() == 100
     assert read_articles(df, "doc_id", 5e4).count() == 100
+
+
+def test_read_corpus_layout(spark, tmp_path):
+    from quire.sources.corpus import read_corpus
+    import pytest
+    root = tmp_path / "hub"
+    spark.createDataFrame([(1, "a"), (2, ""), (3, None)], "id int, text string").write.parquet(
+        str(root / "wiki" / "en" / "train"))
+    assert read_corpus(spark, str(root), "wiki", "en", "train").count() == 1
+    with pytest.raises(ValueError):
+        read_corpus(spark, str(root), "wiki", None)
+
+
+def test_encode_with_callable(spark):
+    from quire.operators.tokenize import encode_with
+    df = spark.createDataFrame([(1, "ab c")], "id int, text string")
+    out = encode_with(df, lambda s: s.map(lambda t: [ord(c) for c in t])).first()
+    assert out.ids == [97, 98, 32, 99]

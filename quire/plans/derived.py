@@ -61,7 +61,10 @@ def url_list(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def history(spark: SparkSession, sf: str) -> DataFrame:
-    return runs.history_from_events(table(spark, sf, "events"))
+    """Loss histories (one row per run and day: far smaller than ``events``),
+    written once because the run queries read them in several branches."""
+    from quire.operators.indexing import write_table
+    return write_table(runs.history_from_events(table(spark, sf, "events")), "history")
 
 
 def run_names(spark: SparkSession, sf: str) -> DataFrame:

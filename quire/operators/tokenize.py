@@ -49,7 +49,9 @@ def pretoken_array(col: Column | str, pattern: str = PRETOKEN_PATTERN) -> Column
 def pretokens(df: DataFrame, key_cols: list, text_col: str = "text",
               pattern: str = PRETOKEN_PATTERN) -> DataFrame:
     """One row per pre-token: ``key_cols, pos (0-based), token``."""
-    return df.select(*key_cols, F.posexplode(pretoken_array(text_col, pattern)).alias("pos", "token"))
+    from quire.sources.corpus import spread
+    return spread(df.select(*key_cols, text_col)).select(
+        *key_cols, F.posexplode(pretoken_array(text_col, pattern)).alias("pos", "token"))
 
 
 def fit_vocab(df: DataFrame, text_col: str = "text", max_size: int | None = None,

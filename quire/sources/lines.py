@@ -16,7 +16,9 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def lines_of(df: DataFrame, key_cols: list, text_col: str = "text") -> DataFrame:
     """Texts held in a table, split into stripped non-blank lines with their position."""
-    ex = df.select(*key_cols, F.posexplode(split_lines(text_col)).alias("pos", "line"))
+    from quire.sources.corpus import spread
+    ex = spread(df.select(*key_cols, text_col)).select(
+        *key_cols, F.posexplode(split_lines(text_col)).alias("pos", "line"))
     return (ex.select(*key_cols, F.col("pos").cast("long").alias("pos"), ustrip("line").alias("text"))
               .where(F.col("text") != ""))
 

@@ -45,12 +45,10 @@ def article_chunks(df: DataFrame, L: int = 256, ids_col: str = "ids") -> DataFra
 
 
 def pad(df: DataFrame, L: int = 64, ids_col: str = "ids", pad_id: int = PAD_ID) -> DataFrame:
-    """Truncate/pad right to ``L`` and add the real-token mask."""
-    return (df.withColumn("attention_mask", A.real_mask(ids_col, L))
-              .withColumn("input_ids", A.pad(ids_col, L, pad_id))
-              .drop(ids_col) if ids_col != "input_ids" else
-            df.withColumn("attention_mask", A.real_mask(ids_col, L))
-              .withColumn("input_ids", A.pad(ids_col, L, pad_id)))
+    """Truncate/pad right to ``L`` (``input_ids``) and add the real-token mask."""
+    out = (df.withColumn("attention_mask", A.real_mask(ids_col, L))
+             .withColumn("input_ids", A.pad(ids_col, L, pad_id)))
+    return out.drop(ids_col) if ids_col != "input_ids" else out
 
 
 def shift(df: DataFrame, ids_col: str = "input_ids", mask_col: str = "attention_mask") -> DataFrame:

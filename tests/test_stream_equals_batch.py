@@ -1,5 +1,3 @@
-import shutil
-
 from pyspark.sql import functions as F
 
 from quire.operators import tokenize
@@ -47,4 +45,3 @@ def test_record_stream_equals_batch(spark, tmp_path):
     from quire.operators import chunking
     exp = chunking.pad(tokenize.encode(docs.select("doc_id", "text"), vocab, ["doc_id"]), 64, "ids")
     assert got == sorted((r.doc_id, tuple(r.input_ids)) for r in exp.collect())
-    assert shutil is not None

@@ -171,3 +171,13 @@ def encode_with(df: DataFrame, tokenizer, text_col: str = "text", out_col: str =
         return tokenizer(s)
 
     return df.withColumn(out_col, _enc(F.col(text_col))).drop(text_col)
+
+
+def save_vocab(vocab: DataFrame, path: str) -> None:
+    """Store a fitted vocabulary ``(token, id, count)`` as Parquet."""
+    vocab.select("token", "id", "count").write.mode("overwrite").parquet(path)
+
+
+def load_vocab(spark, path: str) -> DataFrame:
+    """A stored vocabulary; padding reuses the end-of-text id (PAD_ID == EOS_ID)."""
+    return spark.read.parquet(path).select("token", F.col("id").cast("int"), F.col("count").cast("long"))

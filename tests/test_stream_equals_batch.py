@@ -45,3 +45,18 @@ def test_record_stream_equals_batch(spark, tmp_path):
     from quire.operators import chunking
     exp = chunking.pad(tokenize.encode(docs.select("doc_id", "text"), vocab, ["doc_id"]), 64, "ids")
     assert got == sorted((r.doc_id, tuple(r.input_ids)) for r in exp.collect())
+
+
+def test_stream_cap_and_vocab_roundtrip(spark, tmp_path):
+    from quire.operators.tokenize import load_vocab, save_vocab
+    from quire.streaming.jobs import page_stream
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
+    pages.repartition(2).write.parquet(str(tmp_path / "p"))
+    capped = page_stream(spark, str(tmp_path / "p"), max_docs=7)
+    q = (capped.writeStream.format("memory").queryName("capped_pages")
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert spark.sql("SELECT count(*) FROM capped_pages").first()[0] == 7
+    v = tokenize.fit_vocab(D.kept_pages(spark, SF_SMALL), "text")
+    save_vocab(v, str(tmp_path / "v"))
+    assert sorted(load_vocab(spark, str(tmp_path / "v")).collect()) == sorted(v.collect())

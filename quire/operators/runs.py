@@ -11,9 +11,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 INF = float("inf")
-# The run-name format and its matching pattern.
+# The run-name format and its matching pattern, the default
+# model name of the run registry and the learning-rate decay per epoch.
 RUN_NAME_FORMAT = "yyyy-MM-dd_HH-mm-ss"
 RUN_NAME_PATTERN = r"^\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2}$"
+DEFAULT_MODEL_NAME = "GPTBackbone"
+LR_DECAY = 0.95
 
 
 def run_name(ts: Column, resume: Column | None = None) -> Column:
@@ -33,7 +36,7 @@ def number_epochs(df: DataFrame, run_col: str, order_col: str, start_epoch: int
     return df.withColumn(out_col, (F.row_number().over(w) + (start_epoch - 1)).cast("int"))
 
 
-def with_lr(df: DataFrame, lr: float = 1e-4, gamma: float = 0.95, epoch_col: str = "epoch") -> DataFrame:
+def with_lr(df: DataFrame, lr: float = 1e-4, gamma: float = LR_DECAY, epoch_col: str = "epoch") -> DataFrame:
     """Learning rate recorded for an epoch: lr * gamma^(epoch - 1)."""
     return df.withColumn("lr", F.lit(lr) * F.pow(F.lit(gamma), F.col(epoch_col) - 1))
 
@@ -101,7 +104,7 @@ def history_from_events(events: DataFrame) -> DataFrame:
     return number_epochs(day, "run", "day")
 
 
-def runs_from_history(history: DataFrame, model_name: str = "GPTBackbone") -> DataFrame:
+def runs_from_history(history: DataFrame, model_name: str = DEFAULT_MODEL_NAME) -> DataFrame:
     """Run registry rows ``(run_time, model_name, epoch, eval_loss, path, kind)``: one 'best' row
     per run with a finite loss, named by the time the run started."""
     start = history.groupBy("run").agg(F.min("first_ts").alias("start_ts"))
@@ -121,7 +124,7 @@ def list_runs(names: DataFrame, name_col: str = "run_time") -> DataFrame:
 
 
 def promote(registry: DataFrame, runs: DataFrame, run_times: DataFrame,
-            model_name: str = "GPTBackbone") -> DataFrame:
+            model_name: str = DEFAULT_MODEL_NAME) -> DataFrame:
     """Registry after promoting the best checkpoint of each requested run.
 
     ``registry``: ``(model_name, run_time, epoch, eval_loss, path)``.  For each

@@ -121,15 +121,39 @@ def merges_table(spark, merges: list[tuple[str, str]]) -> DataFrame:
     return spark.createDataFrame(rows, "rank int, a string, b string, token string, id int")
 
 
-def symbol_ids(sym: Column, merges: list[tuple[str, str]]) -> Column:
-    """Apply ``merges`` in order to a separated symbol string and map symbols to ids."""
+MERGE_BLOCK = 64
+
+
+def apply_merges(sym: Column, merges: list[tuple[str, str]]) -> Column:
+    """Apply ``merges`` in order to a separated symbol string (one regex each)."""
     out = sym
     for a, b in merges:
         out = merge_pair(out, a, b)
+    return out
+
+
+def symbol_ids(sym: Column, merges: list[tuple[str, str]]) -> Column:
+    """Map the symbols of a (fully merged) separated symbol string to ids."""
     keys = byte_chars() + [a + b for a, b in merges]
     vals = [b + BYTE_ID_OFFSET for b in range(256)] + [FIRST_MERGE_ID + i for i in range(len(merges))]
     lookup = F.map_from_arrays(F.array(*[F.lit(k) for k in keys]), F.array(*[F.lit(v) for v in vals]))
-    return F.transform(symbols_of(out), lambda x: F.element_at(lookup, x))
+    return F.transform(symbols_of(sym), lambda x: F.element_at(lookup, x))
+
+
+def merged_types(types: DataFrame, word_col: str, merges: list[tuple[str, str]],
+                 block: int = MERGE_BLOCK) -> DataFrame:
+    """Word types with their merged symbol string ``_sym``.
+
+    Merges are applied ``block`` at a time; between blocks the (vocabulary-
+    sized) table is written to the shared checkpoint folder, so the plan depth
+    stays bounded however long the merge list is.
+    """
+    out = types.withColumn("_sym", byte_symbols(word_col))
+    for i in range(0, len(merges), block):
+        out = out.withColumn("_sym", apply_merges(F.col("_sym"), merges[i:i + block]))
+        if i + block < len(merges):
+            out = write_table(out, "bpe-types")
+    return out
 
 
 def bpe_encode(df: DataFrame, merges: list[tuple[str, str]], key_cols: list, text_col: str = "text",
@@ -141,7 +165,8 @@ def bpe_encode(df: DataFrame, merges: list[tuple[str, str]], key_cols: list, tex
     toks = (df.repartition(n, *key_cols)
               .select(*keep, F.posexplode_outer(pretoken_array(text_col, pattern)).alias("_pos", "_w")))
     types = toks.where(F.col("_w").isNotNull()).select("_w").distinct()
-    table = write_table(types.select("_w", symbol_ids(byte_symbols("_w"), merges).alias("_ids")), "bpe-types")
+    merged = merged_types(types, "_w", merges)
+    table = write_table(merged.select("_w", symbol_ids(F.col("_sym"), merges).alias("_ids")), "bpe-types")
     small = table.count() <= hot_size
     joined = toks.join(F.broadcast(table) if small else table, "_w", "left")
     item = F.when(F.col("_ids").isNotNull(), F.struct(F.col("_pos").alias("p"), F.col("_ids").alias("v")))

@@ -1,6 +1,7 @@
 from collections import Counter
 
 import regex
+from pyspark.sql import functions as F
 
 from quire.functions.sql import register_sql_functions
 from quire.operators import bpe
@@ -56,3 +57,12 @@ def test_chunk_ids_udtf(spark):
     register_sql_functions(spark)
     out = spark.sql("SELECT * FROM chunk_ids(array(1,2,3,4,5,6,7), 3)").collect()
     assert [(r.chunk_idx, r.start, r.input_ids) for r in out] == [(0, 0, [1, 2, 3]), (1, 3, [4, 5, 6])]
+
+
+def test_merge_blocks_equal_single_pass(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").orderBy("doc_id").limit(5)
+    merges = bpe.fit_bpe(docs, "text", 7, cut_every=4)
+    types = docs.select(F.explode(F.split("text", " ")).alias("w")).distinct()
+    one = {r.w: r._sym for r in bpe.merged_types(types, "w", merges, block=100).collect()}
+    many = {r.w: r._sym for r in bpe.merged_types(types, "w", merges, block=2).collect()}
+    assert one == many

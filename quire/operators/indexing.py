@@ -5,14 +5,14 @@ task.  Here the rows are range-partitioned on the order key, sorted inside each
 partition, and numbered locally with ``monotonically_increasing_id`` (partition
 index in the high bits, local position in the low 33 bits).  Per-partition
 counts (one row per partition: a proven size bound) are summed into offsets
-and broadcast back.  The numbered rows are first written as a table in the
+on the driver and broadcast back.  The numbered rows are first written as a table in the
 session's shared checkpoint folder, so a lost executor cannot renumber them
 (a recomputed range shuffle could move rows between partitions).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.session import scratch_path
@@ -38,10 +38,16 @@ def with_global_index(df: DataFrame, order_cols: list, index_col: str = "idx",
        .write.parquet(path))
     numbered = spark.read.parquet(path)
     pid = F.shiftright(F.col("_mid"), 33)
-    counts = numbered.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    return (numbered.join(F.broadcast(offsets), pid == offsets["_pid"])
+    # one row per partition: bounded by the partition count, so the prefix sums
+    # are taken on the driver and the offsets broadcast back
+    counts = sorted((r["_pid"], r["_n"]) for r in
+                    numbered.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n")).collect())
+    offsets, run = [], 0
+    for p, c in counts:
+        offsets.append((p, run))
+        run += c
+    off = spark.createDataFrame(offsets, "_pid long, _off long")
+    return (numbered.join(F.broadcast(off), pid == off["_pid"])
             .withColumn(index_col, F.col("_off") + F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)))
             .drop("_mid", "_pid", "_off"))
 

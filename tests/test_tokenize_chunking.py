@@ -48,6 +48,10 @@ def test_large_vocab_path_equals_broadcast_path(spark):
     d1 = {r.doc_id: r.t for r in tokenize.decode(enc, vocab, ["doc_id"], "ids", "t").collect()}
     d2 = {r.doc_id: r.t for r in tokenize.decode(enc, vocab, ["doc_id"], "ids", "t", hot_size=50).collect()}
     assert d1 == d2 and len(d1) == len(a)
+    # the two encode outputs also join (sort-merge join on the key partitioning)
+    ja = tokenize.encode(docs, vocab, ["doc_id"]).withColumnRenamed("ids", "a")
+    jb = tokenize.encode(docs, vocab, ["doc_id"], hot_size=50).withColumnRenamed("ids", "b")
+    assert ja.join(jb, "doc_id").where(F.col("a") != F.col("b")).count() == 0
 
 
 def test_unknown_and_empty(spark):

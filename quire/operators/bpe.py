@@ -156,8 +156,12 @@ def merged_types(types: DataFrame, word_col: str, merges: list[tuple[str, str]],
     return out
 
 
+LITERAL_LIMIT = 4096
+
+
 def bpe_encode(df: DataFrame, merges: list[tuple[str, str]], key_cols: list, text_col: str = "text",
-               out_col: str = "ids", pattern: str = GPT2_PATTERN, hot_size: int = HOT_VOCAB) -> DataFrame:
+               out_col: str = "ids", pattern: str = GPT2_PATTERN, hot_size: int = HOT_VOCAB,
+               literal_limit: int = LITERAL_LIMIT) -> DataFrame:
     """Texts -> BPE ids.  Word types are encoded once; the word table is
     broadcast when it has at most ``hot_size`` rows, else shuffle-joined."""
     keep = [c for c in df.columns if c != text_col]
@@ -166,7 +170,20 @@ def bpe_encode(df: DataFrame, merges: list[tuple[str, str]], key_cols: list, tex
               .select(*keep, F.posexplode_outer(pretoken_array(text_col, pattern)).alias("_pos", "_w")))
     types = toks.where(F.col("_w").isNotNull()).select("_w").distinct()
     merged = merged_types(types, "_w", merges)
-    table = write_table(merged.select("_w", symbol_ids(F.col("_sym"), merges).alias("_ids")), "bpe-types")
+    if len(merges) <= literal_limit:
+        ids = merged.select("_w", symbol_ids(F.col("_sym"), merges).alias("_ids"))
+    else:
+        # long merge lists: symbols -> ids by a broadcast join against the
+        # symbol table (256 + R rows, bounded by the merge count) instead of a
+        # literal map in the plan
+        keys = byte_chars() + [a + b for a, b in merges]
+        vals = [b + BYTE_ID_OFFSET for b in range(256)] + [FIRST_MERGE_ID + i for i in range(len(merges))]
+        symtab = df.sparkSession.createDataFrame(list(zip(keys, vals)), "_s string, _sid int")
+        syms = merged.select("_w", F.posexplode(symbols_of("_sym")).alias("_p", "_s"))
+        pairs = syms.join(F.broadcast(symtab), "_s", "left")
+        ids = pairs.groupBy("_w").agg(F.transform(F.array_sort(F.collect_list(F.struct("_p", "_sid"))),
+                                                  lambda x: x["_sid"]).alias("_ids"))
+    table = write_table(ids, "bpe-types")
     small = table.count() <= hot_size
     joined = toks.join(F.broadcast(table) if small else table, "_w", "left")
     item = F.when(F.col("_ids").isNotNull(), F.struct(F.col("_pos").alias("p"), F.col("_ids").alias("v")))

@@ -66,3 +66,11 @@ def test_merge_blocks_equal_single_pass(spark):
     one = {r.w: r._sym for r in bpe.merged_types(types, "w", merges, block=100).collect()}
     many = {r.w: r._sym for r in bpe.merged_types(types, "w", merges, block=2).collect()}
     assert one == many
+
+
+def test_symbol_join_path_equals_literal_path(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").orderBy("doc_id").limit(5)
+    merges = bpe.fit_bpe(docs, "text", 5)
+    a = {r.doc_id: r.ids for r in bpe.bpe_encode(docs, merges, ["doc_id"]).collect()}
+    b = {r.doc_id: r.ids for r in bpe.bpe_encode(docs, merges, ["doc_id"], literal_limit=0).collect()}
+    assert a == b

@@ -69,3 +69,16 @@ def test_encode_with_callable(spark):
     df = spark.createDataFrame([(1, "ab c")], "id int, text string")
     out = encode_with(df, lambda s: s.map(lambda t: [ord(c) for c in t])).first()
     assert out.ids == [97, 98, 32, 99]
+
+
+def test_url_file_and_page_lookup(spark, tmp_path):
+    from quire.sources.pages import lookup_pages, read_url_file, url_list
+    (tmp_path / "u.txt").write_text("http://a/1\n\n  http://b/2 \nhttp://a/1\nhttp://c/3\n")
+    urls = read_url_file(spark, str(tmp_path / "u.txt"))
+    assert [r.url for r in urls.orderBy("seq").collect()] == ["http://a/1", "http://b/2", "http://a/1", "http://c/3"]
+    assert [r.seq for r in urls.orderBy("seq").collect()] == [0, 1, 2, 3]
+    pages = spark.createDataFrame([(10, "http://a/1", "<p>a</p>"), (11, "http://b/2", "<p>b</p>"),
+                                   (12, "http://a/1", "<p>dup</p>")], "page_id long, url string, html string")
+    got = sorted((r.seq, r.page_id) for r in lookup_pages(urls, pages).collect())
+    assert got == [(0, 10), (1, 11), (2, 10), (3, None)]
+    assert url_list(spark, ["x", "x"]).count() == 2

@@ -21,8 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.chunks import ChunkEncoder, id_column
+from quire.llm.chunks import ChunkEncoder, FastChunks, id_column
 from quire.llm.common import binary_array, ragged, slices
+from quire.llm.merges import MergeTable
 
 FRAGMENT_MEMO = 300_000
 _SHORT = 24
@@ -57,6 +58,15 @@ class ForcedBoundaryBPE:
         self.pre = Tokenizer.from_str(spec).pre_tokenizer.pre_tokenize_str
         self.memo: dict[str, list[int]] = {}
 
+    def inside_bytes(self) -> np.ndarray:
+        """``inside`` as a table of byte pairs."""
+        back = {c: b for b, c in byte_alphabet().items()}
+        table = np.zeros((256, 256), bool)
+        for a, b in self.inside:
+            if a in back and b in back:
+                table[back[a], back[b]] = True
+        return table
+
     def fragments(self, piece: str) -> list[str]:
         inside, out, at = self.inside, [], 0
         for i in range(1, len(piece)):
@@ -136,7 +146,11 @@ def _codec(spec: str) -> ChunkEncoder:
     key = hash(spec)
     if key not in _CODECS:
         bpe = ForcedBoundaryBPE(spec)
-        _CODECS[key] = ChunkEncoder(lambda chunks: [bpe.encode(c) for c in chunks])
+        symbols = np.array([bpe.vocab[c] for _, c in sorted(byte_alphabet().items())], np.uint32)
+        # letters from C3 to C9 are all letters; U+00AA to U+00BA are left to the splitting rule
+        _CODECS[key] = ChunkEncoder(FastChunks(MergeTable(bpe.merges), symbols, symbols, bpe.inside_bytes(),
+                                               lambda chunks: [bpe.encode(c) for c in chunks],
+                                               range(0xC3, 0xCA), words=False))
     return _CODECS[key]
 
 

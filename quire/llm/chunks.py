@@ -13,8 +13,9 @@ import numpy as np
 import pyarrow as pa
 
 from quire.llm.common import binary_array, ragged, text_buffer
+from quire.llm.merges import MergeTable, merge_all
 
-MEMO_IDS = 4_000_000
+MEMO_IDS = 3_000_000
 
 
 def chunk_bounds(data: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -35,8 +36,100 @@ def chunk_bounds(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+class FastChunks:
+    """Encodes many plain chunks with array operations, any other with ``odd(list of texts)``.
+
+    Plain: printable ASCII and Latin letters (``leads``: their first UTF-8 bytes)
+    behind at most one blank, without apostrophes, added tokens or long runs.
+    ``first`` maps a byte to its symbol, ``last`` to its symbol at the end of a
+    pre-token.  ``inside``: byte pairs that stand inside some token; between
+    all others a fragment ends.  ``words``: blanks are dropped, letters
+    lower-cased and digits alone; else a blank belongs to what follows.
+    """
+
+    LONGEST = 48
+
+    def __init__(self, table: MergeTable, first, last, inside, odd, leads: range, words: bool):
+        self.table, self.first, self.last, self.inside = table, first, last, inside
+        self.odd, self.words = odd, words
+        kind = np.zeros(256, np.uint8)  # 0: not plain, 1 letter, 2 digit, 3 other
+        kind[33:127] = 3
+        kind[48:58] = 2
+        kind[65:91] = kind[97:123] = 1
+        kind[0x80:0xC0] = kind[leads.start:leads.stop] = 1
+        kind[39] = 0
+        self.kind = kind
+
+    def _plain(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
+        kind = self.kind[data]
+        bad = kind == 0
+        starts = off[:-1]
+        lead = np.isin(data[starts], (10, 32))
+        bad[starts[lead]] = False
+        nxt = np.append(data[1:], np.uint8(0))
+        bad |= (data == 0xC3) & ((nxt == 0x97) | (nxt == 0xB7))  # the signs among the letters
+        bad |= (data == 60) & (nxt == 124)  # an added token may begin
+        ok = np.add.reduceat(bad, starts) == 0
+        return ok & (np.diff(off) <= self.LONGEST)
+
+    def __call__(self, values: list) -> tuple[np.ndarray, np.ndarray]:
+        lens = np.fromiter(map(len, values), np.int64, len(values))
+        off = np.append(0, np.cumsum(lens))
+        data = np.frombuffer(b"".join(values), np.uint8)
+        ok = self._plain(data, off)
+        counts = np.zeros(len(values), np.int64)
+        odd = np.flatnonzero(~ok)
+        others = [np.asarray(x, np.uint32) for x in self.odd([values[i].decode("utf-8") for i in odd])]
+        counts[odd] = [len(x) for x in others]
+        plain = np.flatnonzero(ok)
+        ids, owner = self._encode(data, off, plain)
+        counts[plain] = np.bincount(owner, minlength=len(plain))
+        at = np.cumsum(counts) - counts
+        out = np.empty(int(counts.sum()), np.uint32)
+        out[np.repeat(at[plain], counts[plain]) + _within(counts[plain])] = ids
+        if len(odd):
+            out[np.repeat(at[odd], counts[odd]) + _within(counts[odd])] = np.concatenate(others)
+        return out, counts
+
+    def _encode(self, data, off, plain):
+        lens = (off[1:] - off[:-1])[plain]
+        own = np.repeat(np.arange(len(plain)), lens)
+        data = ragged(data, off[:-1][plain], lens)
+        head = np.zeros(len(data), bool)
+        head[np.cumsum(lens) - lens] = True
+        blank = head & ((data == 32) | (data == 10))
+        if self.words:
+            keep = ~blank
+            head |= np.append(False, blank[:-1])
+            data, own, head = data[keep], own[keep], head[keep]
+            latin = np.append(False, data[:-1] == 0xC3) & (data >= 0x80) & (data <= 0x9E)
+            data = data + (((((data - np.uint8(65)) < 26) | latin).astype(np.uint8)) << 5)
+        if not len(data):
+            return np.zeros(0, np.uint32), own
+        kind = self.kind[data]
+        border = head.copy()
+        border[1:] |= kind[1:] != kind[:-1]
+        if self.words:
+            border[1:] |= (kind[1:] == 2) & (kind[:-1] == 2)
+        else:
+            space = np.append(False, (blank & (data == 32))[:-1])
+            border &= ~(space & ~head)
+        end = np.append(border[1:], True)
+        sym = np.where(end, self.last[data], self.first[data])
+        border[1:] |= ~self.inside[data[:-1], data[1:]]  # forced boundaries
+        sym, seg = merge_all(self.table, sym, np.cumsum(border))
+        owner = own[np.flatnonzero(border)][seg - 1]
+        return sym, owner
+
+
+def _within(counts: np.ndarray) -> np.ndarray:
+    """0, 1, .. for each count."""
+    ends = np.cumsum(counts)
+    return np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - counts, counts)
+
+
 class ChunkEncoder:
-    """Encodes slices of texts with ``encode_many(list of chunks) -> list of id lists``.
+    """Encodes slices of texts with ``encode_many(list of chunks) -> (ids of all, number of each)``.
 
     The memo holds ``memo_ids`` ids at most (it starts anew beyond that).
     """
@@ -47,22 +140,20 @@ class ChunkEncoder:
 
     def _clear(self):
         self.known: dict = {}
-        self.ids, self.starts, self.lens = [], [], []
-        self.size = 0
+        self.ids = np.zeros(0, np.uint32)
+        self.starts = self.lens = np.zeros(0, np.int64)
 
     def _learn(self, values: list) -> np.ndarray:
-        if self.size > self.memo_ids:
+        if len(self.ids) > self.memo_ids:
             self._clear()
         known = self.known
         new = [v for v in values if v not in known]
         if new:
-            for v, ids in zip(new, self.encode_many([v.decode("utf-8") for v in new]), strict=True):
-                known[v] = len(self.starts)
-                self.starts.append(self.size)
-                self.lens.append(len(ids))
-                self.ids.append(np.asarray(ids, np.uint32))
-                self.size += len(ids)
-            self.ids = [np.concatenate(self.ids)]
+            ids, counts = self.encode_many(new)
+            known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
+            self.starts = np.append(self.starts, len(self.ids) + np.cumsum(counts) - counts)
+            self.lens = np.append(self.lens, counts)
+            self.ids = np.append(self.ids, ids)
         return np.fromiter((known[v] for v in values), np.int64, len(values))
 
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
@@ -74,8 +165,8 @@ class ChunkEncoder:
             return np.zeros(0, np.uint32), bounds
         coded = binary_array(data, np.append(cuts, len(data))).dictionary_encode()
         which = self._learn(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
-        starts, lens = np.asarray(self.starts, np.int64)[which], np.asarray(self.lens, np.int64)[which]
-        ids = ragged(self.ids[0], starts, lens)
+        lens = self.lens[which]
+        ids = ragged(self.ids, self.starts[which], lens)
         upto = np.zeros(len(lens) + 1, np.int64)
         np.cumsum(lens, out=upto[1:])
         return ids, upto[np.searchsorted(cuts, off, "left")]

@@ -13,6 +13,7 @@ packed each; an empty table gives no rows; a document of any length is cut into
 
 from __future__ import annotations
 
+import json
 import zlib
 
 import numpy as np
@@ -22,13 +23,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.bpe_codec import read_spec
-from quire.llm.chunks import ChunkEncoder
+from quire.llm.bpe_codec import byte_alphabet, read_spec
+from quire.llm.chunks import ChunkEncoder, FastChunks
 from quire.llm.common import slices
+from quire.llm.merges import MergeTable
 from quire.operators.indexing import write_table
 
 WINDOW, OPEN_WINDOWS, MIN_PIECE, FAN_IN, END_ID = 2048, 32, 16, 64, 1
-_ROWS = 50_000
+_ROWS, _WORD_END = 50_000, "</w>"
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
           "offset long, owner long, ids binary")
 _NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
@@ -43,7 +45,16 @@ def _library(spec: str) -> ChunkEncoder:
         tok = Tokenizer.from_str(spec)
         tok.no_padding()
         tok.no_truncation()
-        _CODECS[key] = ChunkEncoder(lambda chunks: [e.ids for e in tok.encode_batch_fast(chunks, add_special_tokens=False)])
+        vocab, file = tok.get_vocab(), json.loads(spec)
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in file["model"]["merges"]]
+        merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        chars = [c for _, c in sorted(byte_alphabet().items())]
+        first, last = (np.array([vocab[c + end] for c in chars], np.uint32) for end in ("", _WORD_END))
+        # plain words by array operations, all others by the library itself
+        _CODECS[key] = ChunkEncoder(FastChunks(
+            MergeTable(merges), first, last, np.ones((256, 256), bool),
+            lambda chunks: [e.ids for e in tok.encode_batch_fast(chunks, add_special_tokens=False)],
+            range(0xC3, 0xC4), words=True))
     return _CODECS[key]
 
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.chunks import ChunkEncoder, FastChunks, id_column
+from quire.llm.chunks import ENCODE_BYTES, ChunkEncoder, FastChunks, id_column
 from quire.llm.common import binary_array, ragged, slices
 from quire.llm.merges import MergeTable
 
@@ -169,7 +169,7 @@ def encode(docs: DataFrame, spec_path: str, text_col: str = "text", ids_col: str
 
     def run(batches):
         codec = _codec(spec.value)
-        for b in slices(batches, text_col):
+        for b in slices(batches, text_col, ENCODE_BYTES):
             ids, bounds = codec.encode(b.column(text_col))
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), id_column(ids, bounds)],
                                              names=[*keep, ids_col])

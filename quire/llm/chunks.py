@@ -2,9 +2,9 @@
 
 A text is cut before every space or line feed that follows a character which is
 certainly no white space.  No pre-token and no added token of the two
-tokenizers spans such a cut, so the chunks can be encoded alone; equal chunks
-of a slice are encoded once (dictionary encoding in Arrow) and remembered in a
-bounded memo.
+tokenizers spans such a cut, so the chunks can be encoded alone, and equal
+chunks of a slice only once (dictionary encoding in Arrow).  Nothing is kept from
+slice to slice.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ import pyarrow as pa
 from quire.llm.common import binary_array, ragged, text_buffer
 from quire.llm.merges import MergeTable, merge_all
 
-MEMO_IDS = 3_000_000
+#: Text bytes encoded at once.
+ENCODE_BYTES = 8 << 20
 
 
 def chunk_bounds(data: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -72,14 +73,12 @@ class FastChunks:
         ok = np.add.reduceat(bad, starts) == 0
         return ok & (np.diff(off) <= self.LONGEST)
 
-    def __call__(self, values: list) -> tuple[np.ndarray, np.ndarray]:
-        lens = np.fromiter(map(len, values), np.int64, len(values))
-        off = np.append(0, np.cumsum(lens))
-        data = np.frombuffer(b"".join(values), np.uint8)
+    def __call__(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         ok = self._plain(data, off)
-        counts = np.zeros(len(values), np.int64)
+        counts = np.zeros(len(ok), np.int64)
         odd = np.flatnonzero(~ok)
-        others = [np.asarray(x, np.uint32) for x in self.odd([values[i].decode("utf-8") for i in odd])]
+        others = [np.asarray(x, np.uint32) for x in
+                  self.odd([data[off[i]:off[i + 1]].tobytes().decode("utf-8") for i in odd])]
         counts[odd] = [len(x) for x in others]
         plain = np.flatnonzero(ok)
         ids, owner = self._encode(data, off, plain)
@@ -129,32 +128,10 @@ def _within(counts: np.ndarray) -> np.ndarray:
 
 
 class ChunkEncoder:
-    """Encodes slices of texts with ``encode_many(list of chunks) -> (ids of all, number of each)``.
+    """Encodes slices of texts with ``encode_many(bytes, offsets of chunks) -> (ids of all, number of each)``."""
 
-    The memo holds ``memo_ids`` ids at most (it starts anew beyond that).
-    """
-
-    def __init__(self, encode_many, memo_ids: int = MEMO_IDS):
-        self.encode_many, self.memo_ids = encode_many, memo_ids
-        self._clear()
-
-    def _clear(self):
-        self.known: dict = {}
-        self.ids = np.zeros(0, np.uint32)
-        self.starts = self.lens = np.zeros(0, np.int64)
-
-    def _learn(self, values: list) -> np.ndarray:
-        if len(self.ids) > self.memo_ids:
-            self._clear()
-        known = self.known
-        new = [v for v in values if v not in known]
-        if new:
-            ids, counts = self.encode_many(new)
-            known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
-            self.starts = np.append(self.starts, len(self.ids) + np.cumsum(counts) - counts)
-            self.lens = np.append(self.lens, counts)
-            self.ids = np.append(self.ids, ids)
-        return np.fromiter((known[v] for v in values), np.int64, len(values))
+    def __init__(self, encode_many):
+        self.encode_many = encode_many
 
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, bounds: text i has ``ids[bounds[i]:bounds[i + 1]]``)."""
@@ -164,12 +141,12 @@ class ChunkEncoder:
         if not len(cuts):
             return np.zeros(0, np.uint32), bounds
         coded = binary_array(data, np.append(cuts, len(data))).dictionary_encode()
-        which = self._learn(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
-        lens = self.lens[which]
-        ids = ragged(self.ids, self.starts[which], lens)
+        ids, counts = self.encode_many(*text_buffer(coded.dictionary))
+        which = coded.indices.to_numpy(zero_copy_only=False)
+        lens = counts[which]
         upto = np.zeros(len(lens) + 1, np.int64)
         np.cumsum(lens, out=upto[1:])
-        return ids, upto[np.searchsorted(cuts, off, "left")]
+        return ragged(ids, (np.cumsum(counts) - counts)[which], lens), upto[np.searchsorted(cuts, off, "left")]
 
 
 def id_column(ids: np.ndarray, bounds: np.ndarray) -> pa.Array:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.bpe_codec import byte_alphabet, read_spec
-from quire.llm.chunks import ChunkEncoder, FastChunks
+from quire.llm.chunks import ENCODE_BYTES, ChunkEncoder, FastChunks
 from quire.llm.common import slices
 from quire.llm.merges import MergeTable
 from quire.operators.indexing import write_table
@@ -120,7 +120,7 @@ def pack(docs: DataFrame, spec_path: str, window: int = WINDOW, open_windows: in
     def run(batches):
         codec, pid = _library(spec.value), TaskContext.get().partitionId()
         packer = Packer(pid << 32, window, open_windows, min_piece)
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", ENCODE_BYTES):
             ids, bounds = codec.encode(b.column("text"))
             for k, doc in enumerate(b.column("doc_id").to_pylist()):
                 own = np.append(ids[bounds[k]:bounds[k + 1]], np.uint32(end_id)).astype("<u4")

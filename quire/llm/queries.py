@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe_codec, chat, packing, url_filter
+from quire.llm import bpe_codec, chat, packing, site_tree, toxicity, url_filter
 from quire.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,23 @@ def op1(spark, sf_dir):
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+@register("op5_toxicity")
+def op5(spark, sf_dir):
+    """A calibrated score for every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return model.score(docs, ["doc_id"]).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@register("op6_site_text")
+def op6(spark, sf_dir):
+    """The main text of every page."""
+    return site_tree.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).withColumn(
+        "n_chars", F.length("text").cast("long"))
+
+
 @register("op8_bpe_codec")
 def op8(spark, sf_dir):
     """Every whole text encoded and decoded again."""

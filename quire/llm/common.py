@@ -123,3 +123,23 @@ def spans(inside: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     last[:-1] &= ~inside[1:] | border[1:n]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     return starts, ends, np.searchsorted(off, starts, "right") - 1
+
+
+def sorted_groups(batches, keys: list[str]):
+    """Tables of the rows of equal ``keys``, from batches that are sorted by them."""
+    held: list[pa.RecordBatch] = []
+    before = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        cols = [b.column(k).to_pylist() for k in keys]
+        rows = list(zip(*cols, strict=True))
+        cuts = [i for i in range(1, len(rows)) if rows[i] != rows[i - 1]]
+        for i, j in zip([0, *cuts], [*cuts, len(rows)], strict=True):
+            if held and rows[i] != before:
+                yield pa.Table.from_batches(held)
+                held = []
+            before = rows[i]
+            held.append(b.slice(i, j - i))
+    if held:
+        yield pa.Table.from_batches(held)

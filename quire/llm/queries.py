@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe_codec, chat, packing, site_tree, toxicity, url_filter
+from quire.llm import bpe_codec, chat, ngram_join, packing, site_tree, toxicity, url_filter
 from quire.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,12 @@ def op1(spark, sf_dir):
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+@register("op3_ngram_join")
+def op3(spark, sf_dir):
+    """Components of documents whose four-word shingle sets are similar."""
+    return ngram_join.join_similar(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @register("op5_toxicity")
 def op5(spark, sf_dir):
     """A calibrated score for every document."""

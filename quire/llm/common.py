@@ -83,7 +83,7 @@ _INV = np.uint64(pow(int(_ODD), -1, 1 << 64))
 _POW: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if n <= len(_POW[0]):
         return _POW[0][:n], _POW[1][:n]
     out = []
@@ -98,7 +98,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the byte ranges ``data[starts[i]:ends[i]]`` (prefix sums of a polynomial)."""
-    p, inv = _powers(len(data) + 1)
+    p, inv = powers(len(data) + 1)
     h = np.empty(len(data) + 1, np.uint64)
     h[0] = 0
     np.cumsum(_BYTE[data] * p[:len(data)], out=h[1:])

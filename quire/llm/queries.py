@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe_codec, chat, ngram_join, packing, site_tree, toxicity, url_filter
+from quire.llm import bpe_codec, chat, ngram_join, packing, site_tree, suffix_dedup, toxicity, url_filter
 from quire.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,13 @@ def op1(spark, sf_dir):
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+@register("op2_suffix_dedup")
+def op2(spark, sf_dir):
+    """All bytes covered by repeated 400-byte strings removed from every document."""
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register("op3_ngram_join")
 def op3(spark, sf_dir):
     """Components of documents whose four-word shingle sets are similar."""

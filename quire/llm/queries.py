@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe_codec, chat, ngram_join, packing, site_tree, suffix_dedup, toxicity, url_filter
+from quire.llm import bpe_codec, chat, ngram_join, nn_descent, packing, site_tree, suffix_dedup, topk, toxicity, url_filter
 from quire.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,7 +52,7 @@ def op1(spark, sf_dir):
 def op2(spark, sf_dir):
     """All bytes covered by repeated 400-byte strings removed from every document."""
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+        "row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 @register("op3_ngram_join")
@@ -61,6 +61,13 @@ def op3(spark, sf_dir):
     return ngram_join.join_similar(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@register("op4_topk")
+def op4(spark, sf_dir):
+    """The 5 highest integer inner products of every 50th vector with all others."""
+    given = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.search(given.filter(F.col("vec_id") % 50 == 0), given, 5).withColumn("rank", F.col("rank").cast("int"))
+
+
 @register("op5_toxicity")
 def op5(spark, sf_dir):
     """A calibrated score for every document."""
@@ -78,6 +85,13 @@ def op6(spark, sf_dir):
         "n_chars", F.length("text").cast("long"))
 
 
+@register("op7_nn_descent")
+def op7(spark, sf_dir):
+    """The 10 nearest found for every 100th vector."""
+    given = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nn_descent.search(given.filter(F.col("vec_id") % 100 == 0), given, 10).withColumn("rank", F.col("rank").cast("int"))
+
+
 @register("op8_bpe_codec")
 def op8(spark, sf_dir):
     """Every whole text encoded and decoded again."""

@@ -83,12 +83,12 @@ def anchors(data: np.ndarray, off: np.ndarray, length: int = LENGTH):
         yield x + s0, x + s1, x + at[first], grams[at[first]], span_hashes(d, s0, s1 + length), c2
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text, and the key of a text: id and hash (equal rows share it, and their fate)."""
+def _keyed(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """text, the key of a text (id and hash: equal rows share it, and their fate), and the columns to keep."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select("doc_id", text.alias("text")).select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("k1"),
-        F.xxhash64("text", F.col("doc_id").isNull()).alias("k2"), "doc_id", "text")
+    return docs.select(F.col("doc_id").alias("k0"), text.alias("text"), F.struct(*keep).alias("row")).select(
+        F.coalesce(F.col("k0").cast("long"), F.lit(0)).alias("k1"),
+        F.xxhash64("text", F.col("k0").isNull()).alias("k2"), "text", "row")
 
 
 def anchor_table(keyed: DataFrame, length: int) -> DataFrame:
@@ -341,12 +341,14 @@ def _by_digest(texts: DataFrame, surroundings, hot: int, length: int) -> DataFra
     return rows.join(again, ["w1", "w2"], "left_semi").select("k1", "k2", "low", (F.col("low") + length).alias("high"))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, merged: int = MERGED_AT_ONCE) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept (binary: the remaining bytes) of every row of ``docs``."""
-    keyed = _keyed(docs)
+def remove_repeats(docs: DataFrame, keep: list[str] = ("doc_id",), length: int = LENGTH, hot: int = HOT,
+                   merged: int = MERGED_AT_ONCE) -> DataFrame:
+    """row (struct of the ``keep`` columns), n_bytes, n_removed, n_spans and kept (binary: the remaining
+    bytes) of every row of ``docs``."""
+    keyed = _keyed(docs, list(keep))
     ranges = write_table(repeated_ranges(keyed, length, hot, merged), "repeated-ranges")
     by_text = ranges.groupBy("k1", "k2").agg(F.collect_set(F.struct("low", "high")).alias("ranges"))
-    schema = docs.select("doc_id").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary")
+    schema = keyed.select("row").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary")
 
     def run(batches):
         for b in slices(batches, "text"):
@@ -368,8 +370,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, merged
             ends = np.append(0, np.cumsum(sizes - removed))
             kept = data[~gone].tobytes()
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(sizes), pa.array(removed), pa.array(runs[off[1:]] - runs[off[:-1]]),
+                [b.column("row"), pa.array(sizes), pa.array(removed), pa.array(runs[off[1:]] - runs[off[:-1]]),
                  pa.array([kept[i:j] for i, j in zip(ends, ends[1:], strict=False)], pa.binary())],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+                names=["row", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return keyed.join(by_text, ["k1", "k2"], "left").select("doc_id", "text", "ranges").mapInArrow(run, schema)
+    return keyed.join(by_text, ["k1", "k2"], "left").select("row", "text", "ranges").mapInArrow(run, schema)

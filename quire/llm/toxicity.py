@@ -29,7 +29,7 @@ from quire.llm.common import lower_ascii, slices, span_hashes, spans, text_buffe
 from quire.operators.indexing import write_table
 
 FIT_ROWS, STEMS, MIN_Z, MIN_ODDS = 20_000, 2_000, 3.0, 1.5
-TREES, DEPTH, NEAR = 20, 4, 5
+TREES, DEPTH, NEAR, FOLDS = 20, 4, 5, 3
 PREFIXES = (4, 5, 6)
 
 #: Insults and abuse in four languages, lower case.
@@ -189,7 +189,7 @@ def learn_stems(rows: DataFrame, most: int = STEMS) -> tuple[list, list]:
 
     counts = (rows.select("text", "toxic").mapInArrow(run, "stem long, n long, bad long")
               .groupBy("stem").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
-    total, bad = rows.agg(F.count(F.lit(1)), F.sum("toxic")).first()
+    total, bad = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     p1, p0 = (F.col("bad") + 0.5) / (bad + 1), (F.col("n") - F.col("bad") + 0.5) / (total - bad + 1)
     spread = F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("n") - F.col("bad") + 0.5))
     best = (counts.withColumn("odds", F.log(p1 / p0)).withColumn("z", F.col("odds") / spread)
@@ -240,9 +240,14 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> ToxicityMod
     total, bad = rows.agg(F.count(F.lit(1)), F.sum("toxic")).first()
     if not bad or bad == total:
         return ToxicityModel(([], []))
+    # the rows that the trees and the curve see get their features from stems of the other rows
+    fold, own = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(FOLDS)), None
+    for k in range(FOLDS):
+        part = with_features(rows.filter(fold == k), learn_stems(rows.filter(fold != k)), ["doc_id", "toxic"])
+        own = part if own is None else own.unionByName(part)
     stems = learn_stems(rows)
     # a quarter of the rows is kept from the trees, for calibration
-    ready = write_table(with_features(rows, stems, ["doc_id", "toxic"]).select(
+    ready = write_table(own.select(
         F.col("toxic").cast("double").alias("label"), array_to_vector("features").alias("vector"), "features",
         (F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) == 0).alias("calibrates")), "toxicity-features")
     trees = GBTClassifier(featuresCol="vector", labelCol="label", predictionCol="tree_class",

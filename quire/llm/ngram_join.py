@@ -1,7 +1,7 @@
 """N-gram Jaccard join (operator 3) over a token-group matrix.
 
 Tokens are 64-bit hashes of word shingles.  Documents of equal sets are one
-class.  Two sets that are similar enough share a token among the first few
+class.  Two sets that are similar enough share SHARED tokens among the first
 tokens of each, in any order of all tokens; here tokens that many documents
 have come last (a fixed-size bitmap, counted over all documents), so passages that
 many documents share seldom bring documents together.
@@ -24,17 +24,20 @@ ignored; texts of any length are used whole.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import binary_array, lower_ascii, mix, slices, sorted_groups, span_hashes, spans, text_buffer
+from quire.llm.common import SLICE_BYTES, lower_ascii, mix, slices, span_hashes, spans, text_buffer
 from quire.llm.components import components
 from quire.operators.indexing import write_table
 
-#: Documents from which a token counts as frequent, bits of the bitmap, documents in a group's piece, queries at once.
-FREQUENT, BITMAP_BITS, PIECE, QUERIES_AT_ONCE = 32, 26, 256, 1024
-_BUCKETS, _FLUSH = 64, 4_000_000
+#: Documents from which a token counts as frequent, bits of a bitmap, documents in a group's piece, queries at once,
+#: and tokens that similar sets must share among their first ones.
+FREQUENT, BITMAP_BITS, PIECE, QUERIES_AT_ONCE, SHARED = 32, 26, 256, 1024, 8
+_BUCKETS, _FLUSH, _SEGMENT = 64, 4_000_000, 1 << 13
 _C = mix(np.arange(11, 43, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -102,8 +105,6 @@ def frequent_tokens(docs: DataFrame, words: int, least: int, bits: int) -> np.nd
         yield _packed(held)
 
     def add(pdf):
-        import pandas as pd
-
         keys = [np.cumsum(np.frombuffer(s, "<u2" if len(s) == 2 * len(c) else "<u4"), dtype=np.int64)
                 for s, c in zip(pdf["steps"], pdf["counts"], strict=True)]
         keys, n = np.concatenate(keys), np.frombuffer(b"".join(pdf["counts"]), np.uint8)
@@ -111,28 +112,21 @@ def frequent_tokens(docs: DataFrame, words: int, least: int, bits: int) -> np.nd
         keys, n = keys[order], n[order].astype(np.int64)
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         at = keys[first][np.add.reduceat(n, first) >= least] & ((1 << bits) - 1)
-        word, where = np.unique(at >> 6, return_inverse=True)
-        marks = np.zeros(len(word), np.int64)
-        np.bitwise_or.at(marks, where, np.left_shift(np.int64(1), at & 63))
-        return pd.DataFrame({"word": word, "bits": marks})
+        return _words(at).to_pandas()
 
     rows = (docs.select("text").mapInArrow(count, "bucket int, steps binary, counts binary")
-            .groupBy("bucket").applyInPandas(add, "word long, bits long")
-            .groupBy("word").agg(F.bit_or("bits").alias("bits")))
-    words_ = np.zeros(1 << max(bits - 6, 0), np.uint64)
-    got = rows.toPandas()  # 2 ** (bits - 6) rows at most
-    words_[got["word"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64).view(np.uint64)
-    return words_
+            .groupBy("bucket").applyInPandas(add, _WORDS))
+    return _collected(rows, bits)
 
 
 def _is_frequent(bitmap: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    at = (tokens >> np.uint64(32)) & np.uint64(len(bitmap) * 64 - 1)
-    return (bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) != 0
+    return _marked(bitmap, (tokens >> np.uint64(32)) & np.uint64(len(bitmap) * 64 - 1))
 
 
 def first_tokens(tokens: np.ndarray, bitmap: np.ndarray, percent: int) -> np.ndarray:
-    """So many tokens of a set, rare ones first, that a similar set must have one of them first, too."""
-    p = len(tokens) - needed(len(tokens), percent) + 1
+    """So many tokens of a set, rare ones first, that any similar set has SHARED of them among its own first ones
+    (or all that the two sets need to share, if that is less)."""
+    p = min(len(tokens) - needed(len(tokens), percent) + SHARED, len(tokens))
     late = _is_frequent(bitmap, tokens)
     early = tokens[~late]
     return early[:p] if len(early) >= p else np.append(early, tokens[late][:p - len(early)])
@@ -162,18 +156,84 @@ def sketches(docs: DataFrame, bitmap: np.ndarray, words: int, percent: int) -> D
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, f1 long, f2 long, first array<long>")
 
 
-def whole_sets(docs: DataFrame, words: int) -> DataFrame:
-    """doc, set (binary: sorted 64-bit hashes)."""
+def texts_of(docs: DataFrame, wanted: DataFrame, bits: int) -> DataFrame:
+    """doc, text (compressed) of the documents in ``wanted`` (column doc), and of a few others: a bitmap of
+    fixed size keeps most other texts out of the exchange that follows."""
+    mask = np.uint64((1 << bits) - 1)
+
+    def mark(batches):
+        for b in batches:
+            at = np.unique(mix(b.column("doc").to_numpy().astype(np.uint64)) & mask).astype(np.int64)
+            yield _words(at)
+
+    marks = _collected(wanted.select("doc").distinct().mapInArrow(mark, _WORDS), bits)
+    shared = docs.sparkSession.sparkContext.broadcast(marks)
 
     def run(batches):
+        pack = zstandard.ZstdCompressor(level=3).compress
         for b in slices(batches, "text"):
-            sets = list(shingle_sets(*text_buffer(b.column("text")), words))
-            ends = np.append(0, np.cumsum([8 * len(s) for s in sets]))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), binary_array(np.concatenate(sets).view(np.uint8), ends).cast(pa.binary())],
-                names=["doc", "set"])
+            known = b.filter(b.column("doc").is_valid())
+            at = mix(known.column("doc").to_numpy().astype(np.uint64)) & mask
+            known = known.filter(pa.array(_marked(shared.value, at)))
+            texts = [pack((t or "").encode()) for t in known.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([known.column("doc"), pa.array(texts, pa.binary())], names=["doc", "text"])
+
+    return docs.select(F.col("doc_id").alias("doc"), "text").mapInArrow(run, "doc long, text binary")
+
+
+def repeated_posts(reps: DataFrame, bits: int) -> DataFrame:
+    """token, doc of the first tokens that several of ``reps`` (doc_id, first) have."""
+    posts = reps.select(F.explode("first").alias("token"))
+    repeated = write_table(posts.groupBy("token").agg(F.count(F.lit(1)).alias("docs")).filter("docs > 1").select("token"), "repeated-tokens")
+    mask = np.uint64((1 << bits) - 1)
+
+    def mark(batches):
+        for b in batches:
+            yield _words(np.unique(b.column("token").to_numpy().view(np.uint64) & mask).astype(np.int64))
+
+    # a bitmap of fixed size keeps most other tokens out of the join
+    shared = reps.sparkSession.sparkContext.broadcast(_collected(repeated.mapInArrow(mark, _WORDS), bits))
+
+    def run(batches):
+        for b in batches:
+            tokens = b.column("first").flatten().to_numpy(zero_copy_only=False)
+            docs = np.repeat(b.column("doc_id").to_numpy(), b.column("first").value_lengths().to_numpy())
+            keep = _marked(shared.value, tokens.view(np.uint64) & mask)
+            yield pa.RecordBatch.from_arrays([pa.array(tokens[keep]), pa.array(docs[keep])], names=["token", "doc"])
+
+    return reps.select("doc_id", "first").mapInArrow(run, "token long, doc long").join(repeated, "token", "left_semi")
+
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc long, set binary")
+_WORDS = "word long, bits long"
+
+
+def _words(at: np.ndarray) -> pa.RecordBatch:
+    """Entries of a bitmap as words of 64."""
+    word, where = np.unique(at >> 6, return_inverse=True)
+    marks = np.zeros(len(word), np.int64)
+    np.bitwise_or.at(marks, where, np.left_shift(np.int64(1), at & 63))
+    return pa.RecordBatch.from_arrays([pa.array(word, pa.int64()), pa.array(marks, pa.int64())], names=["word", "bits"])
+
+
+def _collected(rows: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of ``2 ** bits`` entries from rows of words; it reaches the driver as a few long segments."""
+    n = 1 << max(bits - 6, 0)
+    size = min(n, _SEGMENT)
+
+    def join(pdf):
+        marks = np.zeros(size, np.int64)
+        np.bitwise_or.at(marks, pdf["word"].to_numpy(np.int64) % size, pdf["bits"].to_numpy(np.int64))
+        return pd.DataFrame({"segment": [int(pdf["word"].iloc[0]) // size], "marks": [marks.tobytes()]})
+
+    words = np.zeros(n, np.uint64)
+    for r in (rows.groupBy("word").agg(F.bit_or("bits").alias("bits")).groupBy(F.floor(F.col("word") / size))
+              .applyInPandas(join, "segment long, marks binary").collect()):
+        words[r["segment"] * size:(r["segment"] + 1) * size] = np.frombuffer(r["marks"], np.uint64)
+    return words
+
+
+def _marked(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) != 0
 
 
 class Incidence:
@@ -198,8 +258,23 @@ class Incidence:
         return 100 * overlaps >= percent * (self.sizes + n - overlaps)
 
 
-def _sets(col) -> list[np.ndarray]:
-    return [np.frombuffer(v, "<u8") for v in col.to_pylist()]
+def _groups(batches, words: int):
+    """(asks, docs, sets) of every group, from batches sorted by group (``g1``, ``g2``)."""
+    key, asks, docs, sets = None, [], [], []
+    unpack = zstandard.ZstdDecompressor().decompress
+    for b in slices(batches, "text", SLICE_BYTES // 4):
+        texts = pa.array([unpack(t) for t in b.column("text").to_pylist()], pa.large_binary())
+        found = shingle_sets(*text_buffer(texts), words)
+        for g1, g2, ask, doc, s in zip(*(b.column(c).to_pylist() for c in ("g1", "g2", "asks", "doc")), found, strict=True):
+            if (g1, g2) != key:
+                if docs:
+                    yield asks, docs, sets
+                key, asks, docs, sets = (g1, g2), [], [], []
+            asks.append(ask)
+            docs.append(doc)
+            sets.append(s)
+    if docs:
+        yield asks, docs, sets
 
 
 def _edges(rows: list) -> pa.RecordBatch:
@@ -207,13 +282,17 @@ def _edges(rows: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def links_in_groups(members: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that connect what is linked inside each group ``g1``, ``g2`` of ``doc``, ``set``."""
+def _dealt(rows: DataFrame) -> DataFrame:
+    return (rows.select("g1", F.col("g2").cast("long").alias("g2"), "asks", "doc", "text").repartition("g1", "g2")
+            .sortWithinPartitions("g1", "g2"))
+
+
+def links_in_groups(members: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) that connect what is linked inside each group ``g1``, ``g2`` of ``doc``, ``text``."""
 
     def run(batches):
         out = []
-        for g in sorted_groups(batches, ["g1", "g2"]):
-            docs, sets = g.column("doc").to_pylist(), _sets(g.column("set"))
+        for _, docs, sets in _groups(batches, words):
             if len(docs) < 2:
                 continue
             inc, root = Incidence(sets), np.arange(len(docs))
@@ -228,24 +307,22 @@ def links_in_groups(members: DataFrame, percent: int) -> DataFrame:
                 out = []
         yield _edges(out)
 
-    return members.repartition("g1", "g2").sortWithinPartitions("g1", "g2").mapInArrow(run, "a long, b long")
+    return _dealt(members.withColumn("asks", F.lit(False))).mapInArrow(run, "a long, b long")
 
 
-def links_to_groups(rows: DataFrame, percent: int) -> DataFrame:
-    """Links of queries with members, in groups ``g1``, ``g2`` of ``asks`` (boolean), ``doc``, ``set``."""
+def links_to_groups(rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links of queries with members, in groups ``g1``, ``g2`` of ``asks`` (boolean), ``doc``, ``text``."""
 
     def run(batches):
         out = []
-        for g in sorted_groups(batches, ["g1", "g2"]):
-            asks = g.column("asks").to_numpy()
-            docs, sets = g.column("doc").to_pylist(), _sets(g.column("set"))
-            inside = np.flatnonzero(~asks)
-            if not len(inside):
+        for asks, docs, sets in _groups(batches, words):
+            inside = [i for i, ask in enumerate(asks) if not ask]
+            if not inside:
                 continue
             inc = Incidence([sets[i] for i in inside])
-            for i in np.flatnonzero(asks):
-                common = inc.common(sets[i])
-                if len(common) < needed(len(sets[i]), percent):
+            for i, ask in enumerate(asks):
+                common = inc.common(sets[i]) if ask else ()
+                if not ask or len(common) < needed(len(sets[i]), percent):
                     continue  # no member can reach the threshold
                 hit = np.flatnonzero(inc.linked(len(sets[i]), inc.overlaps(common), percent))
                 out.extend((docs[i], docs[inside[j]]) for j in hit[:1])  # the group is connected
@@ -254,8 +331,7 @@ def links_to_groups(rows: DataFrame, percent: int) -> DataFrame:
                 out = []
         yield _edges(out)
 
-    return (rows.select("g1", "g2", "asks", "doc", "set").repartition("g1", "g2")
-            .sortWithinPartitions("g1", "g2").mapInArrow(run, "a long, b long"))
+    return _dealt(rows).mapInArrow(run, "a long, b long")
 
 
 def join_similar(docs: DataFrame, words: int = 4, percent: int = 85, frequent: int = FREQUENT,
@@ -270,9 +346,7 @@ def join_similar(docs: DataFrame, words: int = 4, percent: int = 85, frequent: i
     classes = live.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"))
     reps = live.select("doc_id", "n", "first").join(
         classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    posts = write_table(reps.select(F.col("doc_id").alias("doc"), "n", F.explode("first").alias("token")), "postings")
-    repeated = posts.groupBy("token").agg(F.count(F.lit(1)).alias("docs")).filter("docs > 1")
-    shared = write_table(posts.join(repeated.select("token"), "token", "left_semi"), "shared-tokens")
+    shared = write_table(repeated_posts(reps, bits), "shared-tokens")
 
     # groups of similar documents
     pivots = shared.groupBy("doc").agg(F.min("token").alias("g1"))
@@ -282,9 +356,7 @@ def join_similar(docs: DataFrame, words: int = 4, percent: int = 85, frequent: i
     leads = groups.select("g1", "lead1", "lead2", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("g2")).select(
         "g1", "g2", F.explode(F.array("lead1", "lead2")).alias("doc"))
     members = members.unionByName(leads).distinct()
-    wanted = shared.select(F.col("doc").alias("doc_id")).distinct()
-    whole = write_table(whole_sets(docs.join(wanted, "doc_id", "left_semi"), words).dropDuplicates(["doc"]), "whole-sets")
-    inner = write_table(links_in_groups(members.join(whole, "doc"), percent), "links")
+    inner = write_table(links_in_groups(_with_text(members, docs, bits), words, percent), "links")
     found = components(inner)
 
     # the matrix: groups by token, where a token has documents of several components
@@ -295,31 +367,39 @@ def join_similar(docs: DataFrame, words: int = 4, percent: int = 85, frequent: i
     placed = placed.join(mixed.select("token"), "token", "left_semi").join(sizes, "component", "left").withColumn(
         "size", F.coalesce("size", F.lit(1)))
     g2 = F.pmod(F.xxhash64("doc"), F.ceil(F.col("size") / piece)).cast("int")
-    placed = write_table(placed.withColumn("g2", g2), "placed")
+    sized = reps.select(F.col("doc_id").alias("doc"), "n")
+    placed = write_table(placed.withColumn("g2", g2).join(sized, "doc"), "placed")
     matrix = placed.groupBy("token", F.col("component").alias("g1"), "g2").agg(
         F.first("size").alias("g_size"), F.min("n").alias("n_low"), F.max("n").alias("n_high"))
     smaller = (F.col("size") < F.col("g_size")) | (F.col("size") == F.col("g_size")) & (F.col("component") < F.col("g1"))
     fits = (100 * F.col("n_high") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("n_low"))
+    enough = F.least(F.lit(SHARED), F.floor((percent * F.col("n") + 99) / 100))
     asked = write_table(placed.select("token", "doc", "n", "component", "size").join(matrix, "token")
                         .filter(smaller & (F.col("component") != F.col("g1")) & fits)
-                        .select("g1", F.col("g2").alias("part"), "doc").distinct(), "asked")
+                        .groupBy("g1", F.col("g2").alias("part"), "doc", "n").agg(F.count(F.lit(1)).alias("common"))
+                        .filter(F.col("common") >= enough).select("g1", "part", "doc"), "asked")
     opened = asked.groupBy("g1", "part").agg(F.ceil(F.count(F.lit(1)) / at_once).cast("int").alias("lots"))
     slot = lambda lot: F.col("part") * 65536 + lot
     queries = asked.join(opened, ["g1", "part"]).select(
         "g1", slot(F.pmod(F.xxhash64("doc"), "lots")).cast("long").alias("g2"), F.lit(True).alias("asks"), "doc")
-    everyone = whole.select("doc").join(found.select(F.col("node").alias("doc"), "component"), "doc", "left").withColumn(
+    everyone = pivots.select("doc").join(found.select(F.col("node").alias("doc"), "component"), "doc", "left").withColumn(
         "g1", F.coalesce("component", "doc")).join(sizes.select(F.col("component").alias("g1"), "size"), "g1", "left")
     everyone = everyone.select("g1", F.pmod(F.xxhash64("doc"), F.ceil(F.coalesce("size", F.lit(1)) / piece)).cast("int").alias("part"), "doc")
     answers = everyone.join(opened, ["g1", "part"]).select(
         "g1", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot"), "part", "doc").select(
         "g1", slot(F.col("lot")).cast("long").alias("g2"), F.lit(False).alias("asks"), "doc")
-    outer = links_to_groups(queries.unionByName(answers).join(whole, "doc"), percent)
+    outer = links_to_groups(_with_text(queries.unionByName(answers), docs, bits), words, percent)
     roots = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
     final = components(roots.unionByName(outer))
 
     return _labelled(sets, classes, final)
 
 
+def _with_text(rows: DataFrame, docs: DataFrame, bits: int) -> DataFrame:
+    rows = write_table(rows, "group-rows")
+    return rows.join(texts_of(docs, rows, bits).dropDuplicates(["doc"]), "doc")
+
+
 def _labelled(sets: DataFrame, classes: DataFrame, final: DataFrame) -> DataFrame:
     label = classes.join(final.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
         "f1", "f2", F.coalesce("component", "rep").alias("component_id"))

@@ -4,8 +4,8 @@ Pages are scanned into blocks: runs of text with the path of block elements
 (tag with class, id and role) above them.  The paths of all pages of a host,
 merged, are its style tree.  Every node holds, over the host's distinct pages, how
 its content repeats (entropy of the blocks) and how its children vary (entropy of
-the child sequences); a node whose better value stays low in the whole branch
-below it is decoration, and the branch is cut from each page.  Elements whose
+the child sequences); a node whose better value is low is decoration and is cut from
+each page, and with its last such node a whole branch.  Elements whose
 meaning is given (``nav``, ``footer``, class ``ad`` and the like) are cut whatever
 their entropy, and ``article`` and ``main`` are content; these hold for hosts with
 too few pages, too.
@@ -174,21 +174,18 @@ def importance(nodes: DataFrame) -> DataFrame:
     return own.groupBy("host", "path").agg(F.max("m").alias("pages"), F.max("own").alias("importance"))
 
 
-def low_branches(tree: DataFrame, min_pages: int = MIN_PAGES, low: float = LOW) -> DataFrame:
-    """host, cut: paths whose whole branch is of low importance on enough pages, article and main excepted."""
-    chain = F.transform(F.sequence(F.lit(1), F.size(F.split("path", "/"))),
-                        lambda k: F.array_join(F.slice(F.split("path", "/"), 1, k), "/"))
+def low_nodes(tree: DataFrame, min_pages: int = MIN_PAGES, low: float = LOW) -> DataFrame:
+    """host, cut: nodes of low importance on enough pages, those in article and main excepted (a branch
+    goes when all its nodes are among them)."""
     inner = F.col("path").rlike(r"(^|/)(article|main)(\.|/|$)")
-    branch = tree.withColumn("kept", inner | (F.col("pages") < min_pages) | (F.col("importance") >= low)) \
-        .select("host", "path", "kept", F.explode(chain).alias("top"))
-    cut = branch.groupBy("host", "top").agg(F.max("kept").alias("kept")).filter(~F.col("kept"))
-    return cut.groupBy("host").agg(F.sort_array(F.collect_set("top")).alias("cut"))
+    poor = tree.filter(~inner & (F.col("pages") >= min_pages) & (F.col("importance") < low))
+    return poor.groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("cut"))
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, low: float = LOW) -> DataFrame:
     """page_id, url, text (blocks of the page that are left, joined by one space)."""
     own = pages.select("page_id", "url", F.col("html").cast("string").alias("html")).withColumn("host", host_of(F.col("url")))
-    cut = low_branches(importance(style_nodes(own)), min_pages, low)
+    cut = low_nodes(importance(style_nodes(own)), min_pages, low)
 
     def run(batches):
         for b in slices(batches, "html"):
@@ -196,7 +193,7 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, low: float = LOW) -> D
             for page, gone in zip(b.column("html").to_pylist(), b.column("cut").to_pylist(), strict=True):
                 gone = set(gone or ())
                 texts.append(" ".join(t for p, t, noise in blocks(page or "")
-                                      if not noise and not (gone and gone.intersection(_parents(p)))))
+                                      if not noise and p not in gone))
             yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string())],
                                              names=["page_id", "url", "text"])
 

@@ -39,9 +39,9 @@ def truncate(df: DataFrame, n: int, ids_col: str = "ids") -> DataFrame:
     return df.withColumn(ids_col, A.truncate(ids_col, n))
 
 
-def article_chunks(df: DataFrame, L: int = 256, ids_col: str = "ids") -> DataFrame:
-    """Article rule: cut at min(10*L, 2048) ids, then chunk with all-ones masks."""
-    return chunk(truncate(df, A.article_limit(L), ids_col), L, ids_col)
+def article_chunks(df: DataFrame, L: int = 256, ids_col: str = "ids", max_tokens: int | None = None) -> DataFrame:
+    """Article rule: whole articles (or their first ``max_tokens`` ids) in chunks with all-ones masks."""
+    return chunk(truncate(df, max_tokens, ids_col) if max_tokens else df, L, ids_col)
 
 
 def pad(df: DataFrame, L: int = 64, ids_col: str = "ids", pad_id: int = PAD_ID) -> DataFrame:

@@ -42,14 +42,13 @@ def batch_loss(df: DataFrame, batch_cols: list, nll_col: str = "nll", label_col:
 
 
 def evaluate(batch_losses: DataFrame, order_cols: list, loss_col: str = "loss",
-             max_batches: int | None = 5) -> DataFrame:
-    """Mean of batch means over the first ``max_batches`` batches (null/0 -> 5).
+             max_batches: int | None = None) -> DataFrame:
+    """Mean of batch means over all batches, or over the first ``max_batches``.
 
     Batches without a loss are skipped.  No valid batch gives (inf, inf).  The
     first batches are a bounded top-k (``orderBy().limit``), not a sort of all.
     """
-    n = max_batches or 5
-    first = batch_losses.orderBy(*order_cols).limit(int(n))
+    first = batch_losses.orderBy(*order_cols).limit(int(max_batches)) if max_batches else batch_losses
     return first.agg(
         F.coalesce(F.avg(loss_col), F.lit(INF)).alias("eval_loss"),
         F.count(loss_col).alias("n_batches")).withColumn("perplexity", F.exp("eval_loss"))

@@ -220,8 +220,7 @@ SQL: dict[str, str] = {
         SELECT doc_id, {_ids_text('ids[1:63]')} AS dec_input_ids, {_ids_text('m[1:63]')} AS dec_attention_mask,
                {_ids_text('ids[2:64]')} AS labels FROM p""",
     "article_chunks": f"""WITH {DOC_TOK},
-        art AS (SELECT doc_id FROM documents ORDER BY doc_id LIMIT 50000),
-        cut AS (SELECT e.doc_id, e.ids[1:{min(10 * L_ARTICLE, 2048)}] AS ids FROM d_enc e JOIN art USING (doc_id)),
+        cut AS (SELECT e.doc_id, e.ids FROM d_enc e),
         ch AS (SELECT doc_id, unnest(generate_series(0, len(ids) // {L_ARTICLE} - 1)) AS chunk_idx, ids
                FROM cut WHERE len(ids) >= {L_ARTICLE})
         SELECT doc_id, chunk_idx::INTEGER AS chunk_idx, (chunk_idx * {L_ARTICLE})::INTEGER AS start,
@@ -246,7 +245,7 @@ SQL: dict[str, str] = {
         SELECT vec_id, round(lse - zl, 6) AS nll FROM s""",
     "batch_loss": f"WITH {NLL} SELECT doc_id, chunk, round(loss, 6) AS loss, n_tokens::BIGINT AS n_tokens FROM bl",
     "evaluate": f"""WITH {NLL},
-        first AS (SELECT loss FROM bl ORDER BY doc_id, chunk LIMIT 5)
+        first AS (SELECT loss FROM bl)
         SELECT round(coalesce(avg(loss), 'inf'::DOUBLE), 6) AS eval_loss,
                round(exp(coalesce(avg(loss), 'inf'::DOUBLE)), 6) AS perplexity, count(loss)::BIGINT AS n_batches FROM first""",
     "epoch_loss": f"""WITH {NLL}

@@ -228,8 +228,8 @@ def q_shifted_pairs(spark, sf):
 
 @register("article_chunks")
 def q_article_chunks(spark, sf):
-    """First 50,000 articles by id, cut at min(10L, 2048) ids, windows of L=256."""
-    docs = read_articles(D.documents(spark, sf), "doc_id", 50000)
+    """All articles, whole, in windows of L=256."""
+    docs = read_articles(D.documents(spark, sf), "doc_id")
     vocab = D.doc_vocab(spark, sf)
     enc = tokenize.encode(docs, vocab, ["doc_id"], "text", "ids")
     ch = chunking.article_chunks(enc, D.L_ARTICLE, "ids")
@@ -304,8 +304,8 @@ def q_batch_loss(spark, sf):
 
 @register("evaluate")
 def q_evaluate(spark, sf):
-    """Mean of the first 5 batch means, perplexity."""
-    e = metrics.evaluate(_batch_losses(spark, sf), ["doc_id", "chunk"], "loss", 5)
+    """Mean of all batch means, perplexity."""
+    e = metrics.evaluate(_batch_losses(spark, sf), ["doc_id", "chunk"], "loss")
     return e.select(_r6("eval_loss").alias("eval_loss"), _r6("perplexity").alias("perplexity"),
                     F.col("n_batches").cast("long"))
 

@@ -42,7 +42,7 @@ def nonempty_records(df: DataFrame, text_col: str = "text") -> DataFrame:
     return df.where(is_nonempty(text_col))
 
 
-def read_articles(df: DataFrame, order_col: str = "doc_id", max_articles: int | float | None = 50000) -> DataFrame:
+def read_articles(df: DataFrame, order_col: str = "doc_id", max_articles: int | float | None = None) -> DataFrame:
     """Article stream with a cap on articles read (None or 0 = all).
 
     The cap counts articles, including those that later give no chunk; the

@@ -11,6 +11,7 @@ URLs before any expensive step, and adds its own rejects.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,8 +32,10 @@ def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
 def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 - nothing written yet
-        return spark.createDataFrame([], schema)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)  # nothing written yet
 
 
 def file_stream(spark: SparkSession, source: str, schema: str, files: str | None = None,
@@ -76,7 +79,8 @@ def run_page_chunks(spark: SparkSession, source: str, vocab: DataFrame, L: int =
         chunks = chunks.select("page_id", "url", "chunk_idx", "start", "input_ids", "attention_mask")
         _write_batch(chunks, paths["chunks"], batch_id)
         _write_batch(rejects, paths["rejects"], batch_id)
-        done = sp.read.parquet(paths["chunks"]).where(F.col("batch_id") == batch_id)
+        # a batch whose pages are all rejected has written no chunk file
+        done = _read_or_empty(sp, paths["chunks"], "page_id long, batch_id long").where(F.col("batch_id") == batch_id)
         metric = done.agg(F.count(F.lit(1)).alias("n_chunks"),
                           F.countDistinct("page_id").alias("n_pages"))
         _write_batch(metric, paths["metrics"], batch_id)

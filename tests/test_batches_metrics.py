@@ -54,7 +54,9 @@ def test_batch_loss_ignores_pad_and_nan(spark):
 
 def test_evaluate_mean_of_means_and_empty(spark):
     df = spark.createDataFrame([(i, float(i)) for i in range(10)], "b int, loss double")
-    e = metrics.evaluate(df, ["b"], "loss", None).first()
+    e = metrics.evaluate(df, ["b"], "loss").first()
+    assert e.eval_loss == 4.5 and e.n_batches == 10
+    e = metrics.evaluate(df, ["b"], "loss", 5).first()
     assert e.eval_loss == 2.0 and e.n_batches == 5 and math.isclose(e.perplexity, math.exp(2.0))
     empty = spark.createDataFrame([], "b int, loss double")
     e = metrics.evaluate(empty, ["b"], "loss", 5).first()

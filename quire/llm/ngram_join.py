@@ -1,10 +1,11 @@
 """N-gram Jaccard join (operator 3) over a token-group matrix.
 
 Tokens are 64-bit hashes of word shingles.  Documents of equal sets are one
-class.  Two sets that are similar enough share SHARED tokens among the first
-tokens of each, in any order of all tokens; here tokens that many documents
-have come last (a fixed-size bitmap, counted over all documents), so passages that
-many documents share seldom bring documents together.
+class.  Two sets that are similar enough share some tokens (SHARED, fewer for small sets) among
+the first tokens of each, in any order of all tokens; here tokens come the later the more documents
+have them (bitmaps of fixed size, one for each step of frequency, counted over all documents), so passages
+that many documents share seldom bring documents together.  The smaller set of a pair needs a shorter prefix than
+the larger one: a token outside the short prefix of both says nothing.
 
 1. Similar documents are partitioned into groups: those with the same smallest
    shared token meet, in pieces of bounded size that share two leading documents, and are
@@ -34,10 +35,13 @@ from quire.llm.common import SLICE_BYTES, lower_ascii, mix, slices, span_hashes,
 from quire.llm.components import components
 from quire.operators.indexing import write_table
 
-#: Documents from which a token counts as frequent, bits of a bitmap, documents in a group's piece, queries at once,
-#: and tokens that similar sets must share among their first ones.
-FREQUENT, BITMAP_BITS, PIECE, QUERIES_AT_ONCE, SHARED = 32, 26, 256, 1024, 8
+#: Documents from which a token counts as frequent, bits of the largest bitmap, documents in a group's piece, queries at
+#: once, and tokens that similar sets must share among their first ones (one for every SHARE_EACH of a set, if that is less).
+FREQUENT, BITMAP_BITS, PIECE, QUERIES_AT_ONCE, SHARED, SHARE_EACH = 8, 26, 256, 1024, 8, 16
+#: Steps of frequency, each four times the one before (so its bitmap needs a quarter of the entries).
+STEPS = 6
 _BUCKETS, _FLUSH, _SEGMENT = 64, 4_000_000, 1 << 13
+_SLICE = SLICE_BYTES // 4
 _C = mix(np.arange(11, 43, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -70,6 +74,11 @@ def needed(n, percent: int):
     return (percent * n + 99) // 100
 
 
+def needed_of_smaller(n, percent: int):
+    """Least overlap of a set of ``n`` with any similar set that is not smaller."""
+    return (2 * percent * n + 99 + percent) // (100 + percent)
+
+
 # ---------------------------------------------------------------- frequent tokens
 
 def _packed(keys: list) -> pa.RecordBatch:
@@ -89,13 +98,19 @@ def _packed(keys: list) -> pa.RecordBatch:
                                       names=["bucket", "steps", "counts"])
 
 
+def _steps(bits: int) -> list[tuple[int, int]]:
+    """(first entry, entries) of each step's bitmap, one after the other."""
+    sizes = [1 << max(bits - 2 * k, 6) for k in range(STEPS)]
+    return [(sum(sizes[:k]), n) for k, n in enumerate(sizes)]
+
+
 def frequent_tokens(docs: DataFrame, words: int, least: int, bits: int) -> np.ndarray:
-    """Bitmap of ``2 ** bits`` entries: set for every token that at least ``least`` rows have
+    """Bitmaps of ``_steps``: set in step ``k`` for every token that at least ``least * 4 ** k`` rows have
     (and for tokens that share its entry: a token taken for frequent only comes later in the order)."""
 
     def count(batches):
         held, size = [], 0
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", _SLICE):
             for s in shingle_sets(*text_buffer(b.column("text")), words):
                 held.append((s >> np.uint64(32)).astype(np.uint32))
                 size += len(s)
@@ -111,49 +126,62 @@ def frequent_tokens(docs: DataFrame, words: int, least: int, bits: int) -> np.nd
         order = np.argsort(keys, kind="stable")
         keys, n = keys[order], n[order].astype(np.int64)
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        at = keys[first][np.add.reduceat(n, first) >= least] & ((1 << bits) - 1)
-        return _words(at).to_pandas()
+        keys, n = keys[first], np.add.reduceat(n, first)
+        at = [start + (keys[n >= least << 2 * k] & (size - 1)) for k, (start, size) in enumerate(_steps(bits))]
+        return _words(np.concatenate(at)).to_pandas()
 
     rows = (docs.select("text").mapInArrow(count, "bucket int, steps binary, counts binary")
             .groupBy("bucket").applyInPandas(add, _WORDS))
-    return _collected(rows, bits)
+    start, size = _steps(bits)[-1]
+    return _collected(rows, start + size)
+
 
+def frequency(bitmaps: np.ndarray, bits: int, tokens: np.ndarray) -> np.ndarray:
+    """How many steps of frequency each token has passed."""
+    out, at = np.zeros(len(tokens), np.int8), np.arange(len(tokens))
+    for start, size in _steps(bits):
+        entry = (tokens[at] >> np.uint64(32)) & np.uint64(size - 1)
+        at = at[_marked(bitmaps, entry + np.uint64(start))]
+        out[at] += 1
+    return out
 
-def _is_frequent(bitmap: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    return _marked(bitmap, (tokens >> np.uint64(32)) & np.uint64(len(bitmap) * 64 - 1))
 
+def shared_by(n: int) -> int:
+    """Tokens that a set of ``n`` has among its first ones in common with any similar set that is not smaller."""
+    return min(max(n // SHARE_EACH, 1), SHARED)
 
-def first_tokens(tokens: np.ndarray, bitmap: np.ndarray, percent: int) -> np.ndarray:
-    """So many tokens of a set, rare ones first, that any similar set has SHARED of them among its own first ones
-    (or all that the two sets need to share, if that is less)."""
-    p = min(len(tokens) - needed(len(tokens), percent) + SHARED, len(tokens))
-    late = _is_frequent(bitmap, tokens)
-    early = tokens[~late]
-    return early[:p] if len(early) >= p else np.append(early, tokens[late][:p - len(early)])
+
+def first_tokens(tokens: np.ndarray, bitmaps: np.ndarray, bits: int, percent: int) -> np.ndarray:
+    """So many tokens of a set, rare ones first, that any similar set has ``shared_by`` (of the smaller set) of them
+    among its own first ones."""
+    p = min(len(tokens) - needed(len(tokens), percent) + shared_by(len(tokens)), len(tokens))
+    return tokens[np.argsort(frequency(bitmaps, bits, tokens), kind="stable")[:p]]
 
 
 # ---------------------------------------------------------------- sets
 
-def sketches(docs: DataFrame, bitmap: np.ndarray, words: int, percent: int) -> DataFrame:
-    """doc_id, n (set size), f1 and f2 (fingerprint of the set), first (its first tokens)."""
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+def sketches(docs: DataFrame, bitmaps: np.ndarray, bits: int, words: int, percent: int) -> DataFrame:
+    """doc_id, n (set size), f1 and f2 (fingerprint of the set), first (its first tokens, in order), short (how many
+    of them matter for sets that are not smaller)."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmaps)
 
     def run(batches):
-        for b in slices(batches, "text"):
-            n, f1, f2, first = [], [], [], []
+        for b in slices(batches, "text", _SLICE):
+            n, f1, f2, first, short = [], [], [], [], []
             for s in shingle_sets(*text_buffer(b.column("text")), words):
                 n.append(len(s))
                 f1.append(s.sum(dtype=np.uint64))
                 f2.append(np.bitwise_xor.reduce(mix(s)) if len(s) else np.uint64(0))
-                first.append(first_tokens(s, shared.value, percent) if len(s) else s)
+                first.append(first_tokens(s, shared.value, bits, percent) if len(s) else s)
+                short.append(len(s) - needed_of_smaller(len(s), percent) + shared_by(len(s)))
             ends = np.append(0, np.cumsum([len(x) for x in first]))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(np.array(f1, np.uint64).view(np.int64)),
                  pa.array(np.array(f2, np.uint64).view(np.int64)),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(first).view(np.int64)))],
-                names=["doc_id", "n", "f1", "f2", "first"])
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(first).view(np.int64))),
+                 pa.array(short, pa.int64())], names=["doc_id", "n", "f1", "f2", "first", "short"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, f1 long, f2 long, first array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, f1 long, f2 long, first array<long>, short long")
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame, bits: int) -> DataFrame:
@@ -166,7 +194,7 @@ def texts_of(docs: DataFrame, wanted: DataFrame, bits: int) -> DataFrame:
             at = np.unique(mix(b.column("doc").to_numpy().astype(np.uint64)) & mask).astype(np.int64)
             yield _words(at)
 
-    marks = _collected(wanted.select("doc").distinct().mapInArrow(mark, _WORDS), bits)
+    marks = _collected(wanted.select("doc").distinct().mapInArrow(mark, _WORDS), 1 << bits)
     shared = docs.sparkSession.sparkContext.broadcast(marks)
 
     def run(batches):
@@ -182,9 +210,11 @@ def texts_of(docs: DataFrame, wanted: DataFrame, bits: int) -> DataFrame:
 
 
 def repeated_posts(reps: DataFrame, bits: int) -> DataFrame:
-    """token, doc of the first tokens that several of ``reps`` (doc_id, first) have."""
-    posts = reps.select(F.explode("first").alias("token"))
-    repeated = write_table(posts.groupBy("token").agg(F.count(F.lit(1)).alias("docs")).filter("docs > 1").select("token"), "repeated-tokens")
+    """token, doc, short of the first tokens that several of ``reps`` (doc_id, first, short) have, one of them at
+    least in its short prefix."""
+    posts = reps.select(F.posexplode("first").alias("place", "token"), "short")
+    repeated = posts.groupBy("token").agg(F.count(F.lit(1)).alias("docs"), F.max(F.col("place") < F.col("short")).alias("some"))
+    repeated = write_table(repeated.filter("docs > 1 and some").select("token"), "repeated-tokens")
     mask = np.uint64((1 << bits) - 1)
 
     def mark(batches):
@@ -192,16 +222,20 @@ def repeated_posts(reps: DataFrame, bits: int) -> DataFrame:
             yield _words(np.unique(b.column("token").to_numpy().view(np.uint64) & mask).astype(np.int64))
 
     # a bitmap of fixed size keeps most other tokens out of the join
-    shared = reps.sparkSession.sparkContext.broadcast(_collected(repeated.mapInArrow(mark, _WORDS), bits))
+    shared = reps.sparkSession.sparkContext.broadcast(_collected(repeated.mapInArrow(mark, _WORDS), 1 << bits))
 
     def run(batches):
         for b in batches:
             tokens = b.column("first").flatten().to_numpy(zero_copy_only=False)
-            docs = np.repeat(b.column("doc_id").to_numpy(), b.column("first").value_lengths().to_numpy())
+            many = b.column("first").value_lengths().to_numpy()
+            docs, short = (np.repeat(b.column(c).to_numpy(), many) for c in ("doc_id", "short"))
+            short = np.arange(len(docs)) - np.repeat(np.cumsum(many) - many, many) < short
             keep = _marked(shared.value, tokens.view(np.uint64) & mask)
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[keep]), pa.array(docs[keep])], names=["token", "doc"])
+            yield pa.RecordBatch.from_arrays([pa.array(tokens[keep]), pa.array(docs[keep]), pa.array(short[keep])],
+                                             names=["token", "doc", "short"])
 
-    return reps.select("doc_id", "first").mapInArrow(run, "token long, doc long").join(repeated, "token", "left_semi")
+    return reps.select("doc_id", "first", "short").mapInArrow(run, "token long, doc long, short boolean").join(
+        repeated, "token", "left_semi")
 
 
 _WORDS = "word long, bits long"
@@ -215,10 +249,10 @@ def _words(at: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(word, pa.int64()), pa.array(marks, pa.int64())], names=["word", "bits"])
 
 
-def _collected(rows: DataFrame, bits: int) -> np.ndarray:
-    """A bitmap of ``2 ** bits`` entries from rows of words; it reaches the driver as a few long segments."""
-    n = 1 << max(bits - 6, 0)
-    size = min(n, _SEGMENT)
+def _collected(rows: DataFrame, entries: int) -> np.ndarray:
+    """A bitmap of so many entries from rows of words; it reaches the driver as a few long segments."""
+    size = min((entries + 63) // 64, _SEGMENT)
+    n = -(-((entries + 63) // 64) // size) * size
 
     def join(pdf):
         marks = np.zeros(size, np.int64)
@@ -262,7 +296,7 @@ def _groups(batches, words: int):
     """(asks, docs, sets) of every group, from batches sorted by group (``g1``, ``g2``)."""
     key, asks, docs, sets = None, [], [], []
     unpack = zstandard.ZstdDecompressor().decompress
-    for b in slices(batches, "text", SLICE_BYTES // 4):
+    for b in slices(batches, "text", _SLICE):
         texts = pa.array([unpack(t) for t in b.column("text").to_pylist()], pa.large_binary())
         found = shingle_sets(*text_buffer(texts), words)
         for g1, g2, ask, doc, s in zip(*(b.column(c).to_pylist() for c in ("g1", "g2", "asks", "doc")), found, strict=True):
@@ -338,13 +372,13 @@ def join_similar(docs: DataFrame, words: int = 4, percent: int = 85, frequent: i
                  bits: int = BITMAP_BITS, piece: int = PIECE, at_once: int = QUERIES_AT_ONCE) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every row of ``docs``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    bitmap = frequent_tokens(docs, words, frequent, bits)
-    sets = write_table(sketches(docs, bitmap, words, percent), "sketches")
+    bitmaps = frequent_tokens(docs, words, frequent, bits)
+    sets = write_table(sketches(docs, bitmaps, bits, words, percent), "sketches")
 
     # one document stands for all of equal sets
     live = sets.filter("n > 0 and doc_id is not null")
     classes = live.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"))
-    reps = live.select("doc_id", "n", "first").join(
+    reps = live.select("doc_id", "n", "first", "short").join(
         classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     shared = write_table(repeated_posts(reps, bits), "shared-tokens")
 
@@ -370,13 +404,16 @@ def join_similar(docs: DataFrame, words: int = 4, percent: int = 85, frequent: i
     sized = reps.select(F.col("doc_id").alias("doc"), "n")
     placed = write_table(placed.withColumn("g2", g2).join(sized, "doc"), "placed")
     matrix = placed.groupBy("token", F.col("component").alias("g1"), "g2").agg(
-        F.first("size").alias("g_size"), F.min("n").alias("n_low"), F.max("n").alias("n_high"))
+        F.first("size").alias("g_size"), F.min("n").alias("n_low"), F.max("n").alias("n_high"),
+        F.min(F.when(F.col("short"), F.col("n"))).alias("n_short"))
     smaller = (F.col("size") < F.col("g_size")) | (F.col("size") == F.col("g_size")) & (F.col("component") < F.col("g1"))
     fits = (100 * F.col("n_high") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("n_low"))
-    enough = F.least(F.lit(SHARED), F.floor((percent * F.col("n") + 99) / 100))
-    asked = write_table(placed.select("token", "doc", "n", "component", "size").join(matrix, "token")
-                        .filter(smaller & (F.col("component") != F.col("g1")) & fits)
-                        .groupBy("g1", F.col("g2").alias("part"), "doc", "n").agg(F.count(F.lit(1)).alias("common"))
+    # the token is in the short prefix of the document, or of a member that is not larger
+    tells = F.col("short") & (F.col("n_high") >= F.col("n")) | F.coalesce(F.col("n_short") <= F.col("n"), F.lit(False))
+    enough = F.greatest(F.lit(1), F.least(F.lit(SHARED), F.floor(F.least("n", "n_low") / SHARE_EACH)))
+    asked = write_table(placed.select("token", "doc", "n", "short", "component", "size").join(matrix, "token")
+                        .filter(smaller & (F.col("component") != F.col("g1")) & fits & tells)
+                        .groupBy("g1", F.col("g2").alias("part"), "doc", "n").agg(F.count(F.lit(1)).alias("common"), F.min("n_low").alias("n_low"))
                         .filter(F.col("common") >= enough).select("g1", "part", "doc"), "asked")
     opened = asked.groupBy("g1", "part").agg(F.ceil(F.count(F.lit(1)) / at_once).cast("int").alias("lots"))
     slot = lambda lot: F.col("part") * 65536 + lot

@@ -7,14 +7,14 @@ have them (bitmaps of fixed size, one for each step of frequency, counted over a
 that many documents share seldom bring documents together.  The smaller set of a pair needs a shorter prefix than
 the larger one: a token outside the short prefix of both says nothing.
 
-1. Similar documents are partitioned into groups: those with the same smallest
-   shared token meet, in pieces of bounded size that share two leading documents, and are
-   compared; linked documents form a group (a large one in pieces).
-2. The matrix has a row for each token and group of that token's documents.  A
-   document queries the groups that it shares a token with; a group's token
-   union bounds the overlap with any member, and only a group whose bound reaches the
-   threshold is opened and compared.  Between two groups the documents of the smaller one ask.
-3. Components of all links.  A link inside a component that is already whole is not needed.
+1. Similar documents are partitioned into groups: those with the same most
+   common shared token, linked or not, in pieces of bounded size (which share two leading documents).  The members of a
+   piece are compared with each other, and their links give first components.
+2. The matrix has a row for each token and piece of that token's documents.  A
+   document queries the pieces that it shares tokens with and that hold another component than its own; a piece's
+   token union bounds the overlap with any member, and only a piece whose bound reaches the
+   threshold is opened and compared.  Between two pieces the documents of one ask, those of the smaller group.
+3. Components of all links.  A link inside a first component is not needed.
 
 Defined results: null or blank text has an empty set and is linked with
 nothing; fewer words than a shingle are one shingle; a null id takes no part (its
@@ -210,11 +210,11 @@ def texts_of(docs: DataFrame, wanted: DataFrame, bits: int) -> DataFrame:
 
 
 def repeated_posts(reps: DataFrame, bits: int) -> DataFrame:
-    """token, doc, short of the first tokens that several of ``reps`` (doc_id, first, short) have, one of them at
+    """token, docs (how many have it), doc, short of the first tokens that several of ``reps`` (doc_id, first, short) have, one of them at
     least in its short prefix."""
     posts = reps.select(F.posexplode("first").alias("place", "token"), "short")
     repeated = posts.groupBy("token").agg(F.count(F.lit(1)).alias("docs"), F.max(F.col("place") < F.col("short")).alias("some"))
-    repeated = write_table(repeated.filter("docs > 1 and some").select("token"), "repeated-tokens")
+    repeated = write_table(repeated.filter("docs > 1 and some").select("token", "docs"), "repeated-tokens")
     mask = np.uint64((1 << bits) - 1)
 
     def mark(batches):
@@ -222,7 +222,7 @@ def repeated_posts(reps: DataFrame, bits: int) -> DataFrame:
             yield _words(np.unique(b.column("token").to_numpy().view(np.uint64) & mask).astype(np.int64))
 
     # a bitmap of fixed size keeps most other tokens out of the join
-    shared = reps.sparkSession.sparkContext.broadcast(_collected(repeated.mapInArrow(mark, _WORDS), 1 << bits))
+    shared = reps.sparkSession.sparkContext.broadcast(_collected(repeated.select("token").mapInArrow(mark, _WORDS), 1 << bits))
 
     def run(batches):
         for b in batches:
@@ -235,7 +235,7 @@ def repeated_posts(reps: DataFrame, bits: int) -> DataFrame:
                                              names=["token", "doc", "short"])
 
     return reps.select("doc_id", "first", "short").mapInArrow(run, "token long, doc long, short boolean").join(
-        repeated, "token", "left_semi")
+        repeated, "token")
 
 
 _WORDS = "word long, bits long"
@@ -293,22 +293,24 @@ class Incidence:
 
 
 def _groups(batches, words: int):
-    """(asks, docs, sets) of every group, from batches sorted by group (``g1``, ``g2``)."""
-    key, asks, docs, sets = None, [], [], []
+    """(asks, components, docs, sets) of every group, from batches sorted by group (``g1``, ``g2``)."""
+    key, asks, comps, docs, sets = None, [], [], [], []
     unpack = zstandard.ZstdDecompressor().decompress
     for b in slices(batches, "text", _SLICE):
         texts = pa.array([unpack(t) for t in b.column("text").to_pylist()], pa.large_binary())
         found = shingle_sets(*text_buffer(texts), words)
-        for g1, g2, ask, doc, s in zip(*(b.column(c).to_pylist() for c in ("g1", "g2", "asks", "doc")), found, strict=True):
+        for g1, g2, ask, comp, doc, s in zip(
+                *(b.column(c).to_pylist() for c in ("g1", "g2", "asks", "component", "doc")), found, strict=True):
             if (g1, g2) != key:
                 if docs:
-                    yield asks, docs, sets
-                key, asks, docs, sets = (g1, g2), [], [], []
+                    yield asks, comps, docs, sets
+                key, asks, comps, docs, sets = (g1, g2), [], [], [], []
             asks.append(ask)
+            comps.append(comp)
             docs.append(doc)
             sets.append(s)
     if docs:
-        yield asks, docs, sets
+        yield asks, comps, docs, sets
 
 
 def _edges(rows: list) -> pa.RecordBatch:
@@ -317,7 +319,7 @@ def _edges(rows: list) -> pa.RecordBatch:
 
 
 def _dealt(rows: DataFrame) -> DataFrame:
-    return (rows.select("g1", F.col("g2").cast("long").alias("g2"), "asks", "doc", "text").repartition("g1", "g2")
+    return (rows.select("g1", F.col("g2").cast("long").alias("g2"), "asks", "component", "doc", "text").repartition("g1", "g2")
             .sortWithinPartitions("g1", "g2"))
 
 
@@ -326,7 +328,7 @@ def links_in_groups(members: DataFrame, words: int, percent: int) -> DataFrame:
 
     def run(batches):
         out = []
-        for _, docs, sets in _groups(batches, words):
+        for _, _, docs, sets in _groups(batches, words):
             if len(docs) < 2:
                 continue
             inc, root = Incidence(sets), np.arange(len(docs))
@@ -341,25 +343,27 @@ def links_in_groups(members: DataFrame, words: int, percent: int) -> DataFrame:
                 out = []
         yield _edges(out)
 
-    return _dealt(members.withColumn("asks", F.lit(False))).mapInArrow(run, "a long, b long")
+    return _dealt(members.withColumn("asks", F.lit(False)).withColumn("component", F.col("doc"))).mapInArrow(run, "a long, b long")
 
 
 def links_to_groups(rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links of queries with members, in groups ``g1``, ``g2`` of ``asks`` (boolean), ``doc``, ``text``."""
+    """Links of queries with members of other components (one link for each such component), in groups ``g1``, ``g2``
+    of ``asks`` (boolean), ``component``, ``doc``, ``text``."""
 
     def run(batches):
         out = []
-        for asks, docs, sets in _groups(batches, words):
+        for asks, comps, docs, sets in _groups(batches, words):
             inside = [i for i, ask in enumerate(asks) if not ask]
             if not inside:
                 continue
-            inc = Incidence([sets[i] for i in inside])
+            inc, comp = Incidence([sets[i] for i in inside]), np.array([comps[i] for i in inside], np.int64)
             for i, ask in enumerate(asks):
                 common = inc.common(sets[i]) if ask else ()
                 if not ask or len(common) < needed(len(sets[i]), percent):
                     continue  # no member can reach the threshold
                 hit = np.flatnonzero(inc.linked(len(sets[i]), inc.overlaps(common), percent))
-                out.extend((docs[i], docs[inside[j]]) for j in hit[:1])  # the group is connected
+                hit = hit[comp[hit] != comps[i]]
+                out.extend((docs[i], docs[inside[hit[j]]]) for j in np.unique(comp[hit], return_index=True)[1])
             if len(out) > 10_000:
                 yield _edges(out)
                 out = []
@@ -383,7 +387,7 @@ def join_similar(docs: DataFrame, words: int = 4, percent: int = 85, frequent: i
     shared = write_table(repeated_posts(reps, bits), "shared-tokens")
 
     # groups of similar documents
-    pivots = shared.groupBy("doc").agg(F.min("token").alias("g1"))
+    pivots = shared.groupBy("doc").agg(F.max(F.struct("docs", "token"))["token"].alias("g1"))
     groups = pivots.groupBy("g1").agg(F.count(F.lit(1)).alias("size"), F.min("doc").alias("lead1"), F.max("doc").alias("lead2"))
     groups = groups.filter("size > 1").withColumn("pieces", F.ceil(F.col("size") / piece).cast("int"))
     members = pivots.join(groups, "g1").select("g1", F.pmod(F.xxhash64("doc"), "pieces").cast("int").alias("g2"), "doc")
@@ -393,38 +397,37 @@ def join_similar(docs: DataFrame, words: int = 4, percent: int = 85, frequent: i
     inner = write_table(links_in_groups(_with_text(members, docs, bits), words, percent), "links")
     found = components(inner)
 
-    # the matrix: groups by token, where a token has documents of several components
-    placed = shared.join(found.select(F.col("node").alias("doc"), "component"), "doc", "left").withColumn(
+    # the matrix: pieces by token, where a token has documents of several components
+    homes = pivots.join(groups.select("g1", "size", "pieces"), "g1", "left").select(
+        "doc", "g1", F.coalesce("size", F.lit(1)).alias("size"),
+        F.pmod(F.xxhash64("doc"), F.coalesce("pieces", F.lit(1))).cast("int").alias("g2"))
+    homes = homes.join(found.select(F.col("node").alias("doc"), "component"), "doc", "left").withColumn(
         "component", F.coalesce("component", "doc"))
+    homes = write_table(homes.join(reps.select(F.col("doc_id").alias("doc"), "n"), "doc"), "homes")
+    placed = shared.join(homes, "doc")
     mixed = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    placed = placed.join(mixed.select("token"), "token", "left_semi").join(sizes, "component", "left").withColumn(
-        "size", F.coalesce("size", F.lit(1)))
-    g2 = F.pmod(F.xxhash64("doc"), F.ceil(F.col("size") / piece)).cast("int")
-    sized = reps.select(F.col("doc_id").alias("doc"), "n")
-    placed = write_table(placed.withColumn("g2", g2).join(sized, "doc"), "placed")
-    matrix = placed.groupBy("token", F.col("component").alias("g1"), "g2").agg(
-        F.first("size").alias("g_size"), F.min("n").alias("n_low"), F.max("n").alias("n_high"),
-        F.min(F.when(F.col("short"), F.col("n"))).alias("n_short"))
-    smaller = (F.col("size") < F.col("g_size")) | (F.col("size") == F.col("g_size")) & (F.col("component") < F.col("g1"))
+    placed = write_table(placed.join(mixed.select("token"), "token", "left_semi"), "placed")
+    matrix = placed.groupBy("token", F.col("g1").alias("to1"), F.col("g2").alias("to2")).agg(
+        F.first("size").alias("to_size"), F.min("n").alias("n_low"), F.max("n").alias("n_high"),
+        F.min(F.when(F.col("short"), F.col("n"))).alias("n_short"),
+        F.min("component").alias("c_low"), F.max("component").alias("c_high"))
+    asks = F.struct("size", "g1", "g2") < F.struct(F.col("to_size").alias("size"), F.col("to1").alias("g1"), F.col("to2").alias("g2"))
+    others = (F.col("c_low") != F.col("component")) | (F.col("c_high") != F.col("component"))
     fits = (100 * F.col("n_high") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("n_low"))
     # the token is in the short prefix of the document, or of a member that is not larger
     tells = F.col("short") & (F.col("n_high") >= F.col("n")) | F.coalesce(F.col("n_short") <= F.col("n"), F.lit(False))
     enough = F.greatest(F.lit(1), F.least(F.lit(SHARED), F.floor(F.least("n", "n_low") / SHARE_EACH)))
-    asked = write_table(placed.select("token", "doc", "n", "short", "component", "size").join(matrix, "token")
-                        .filter(smaller & (F.col("component") != F.col("g1")) & fits & tells)
-                        .groupBy("g1", F.col("g2").alias("part"), "doc", "n").agg(F.count(F.lit(1)).alias("common"), F.min("n_low").alias("n_low"))
-                        .filter(F.col("common") >= enough).select("g1", "part", "doc"), "asked")
+    asked = write_table(placed.join(matrix, "token").filter(asks & others & fits & tells)
+                        .groupBy(F.col("to1").alias("g1"), F.col("to2").alias("part"), "doc", "n", "component")
+                        .agg(F.count(F.lit(1)).alias("common"), F.min("n_low").alias("n_low"))
+                        .filter(F.col("common") >= enough).select("g1", "part", "doc", "component"), "asked")
     opened = asked.groupBy("g1", "part").agg(F.ceil(F.count(F.lit(1)) / at_once).cast("int").alias("lots"))
-    slot = lambda lot: F.col("part") * 65536 + lot
+    slot = lambda lot: F.col("part").cast("long") * 65536 + lot
     queries = asked.join(opened, ["g1", "part"]).select(
-        "g1", slot(F.pmod(F.xxhash64("doc"), "lots")).cast("long").alias("g2"), F.lit(True).alias("asks"), "doc")
-    everyone = pivots.select("doc").join(found.select(F.col("node").alias("doc"), "component"), "doc", "left").withColumn(
-        "g1", F.coalesce("component", "doc")).join(sizes.select(F.col("component").alias("g1"), "size"), "g1", "left")
-    everyone = everyone.select("g1", F.pmod(F.xxhash64("doc"), F.ceil(F.coalesce("size", F.lit(1)) / piece)).cast("int").alias("part"), "doc")
-    answers = everyone.join(opened, ["g1", "part"]).select(
-        "g1", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot"), "part", "doc").select(
-        "g1", slot(F.col("lot")).cast("long").alias("g2"), F.lit(False).alias("asks"), "doc")
+        "g1", slot(F.pmod(F.xxhash64("doc"), "lots")).cast("long").alias("g2"), F.lit(True).alias("asks"), "doc", "component")
+    answers = homes.select("g1", F.col("g2").alias("part"), "doc", "component").join(opened, ["g1", "part"]).select(
+        "g1", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot"), "part", "doc", "component").select(
+        "g1", slot(F.col("lot")).cast("long").alias("g2"), F.lit(False).alias("asks"), "doc", "component")
     outer = links_to_groups(_with_text(queries.unionByName(answers), docs, bits), words, percent)
     roots = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
     final = components(roots.unionByName(outer))

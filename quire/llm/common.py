@@ -12,6 +12,8 @@ from quire.session import checkpoint_dir, ship_package
 
 #: Text bytes handled at once inside a task (one longer text is handled alone).
 SLICE_BYTES = 4 << 20
+#: Bytes of an Arrow batch between the JVM and a Python worker, and text bytes whose words are hashed at once.
+BATCH_BYTES, HASH_BYTES = 8 << 20, 1 << 18
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,8 +21,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Checkpoint folder known, package importable in the Python workers."""
+    """Checkpoint folder known, package importable in the Python workers, Arrow batches of bounded bytes."""
     checkpoint_dir(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     ship_package(spark)
 
 
@@ -105,6 +108,16 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((h[ends] - h[starts]) * inv[starts] + (ends - starts).astype(np.uint64))
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """``span_hashes`` of spans in order that do not overlap, a block of ``HASH_BYTES`` (one span at least) at a time."""
+    out, i = np.empty(len(starts), np.uint64), 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + HASH_BYTES, "right")))
+        out[i:j] = span_hashes(data[starts[i]:ends[j - 1]], starts[i:j] - starts[i], ends[i:j] - starts[i])
+        i = j
+    return out
+
+
 def lower_ascii(data: np.ndarray) -> np.ndarray:
     return data + (((data - np.uint8(65)) < 26).astype(np.uint8) << 5)
 

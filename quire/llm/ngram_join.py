@@ -24,6 +24,9 @@ ignored; texts of any length are used whole.
 
 from __future__ import annotations
 
+from itertools import groupby
+from operator import itemgetter
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -31,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import SLICE_BYTES, lower_ascii, mix, slices, span_hashes, spans, text_buffer
+from quire.llm.common import SLICE_BYTES, lower_ascii, mix, slices, spans, text_buffer, word_hashes
 from quire.llm.components import components
 from quire.operators.indexing import write_table
 
@@ -40,7 +43,10 @@ from quire.operators.indexing import write_table
 FREQUENT, BITMAP_BITS, PIECE, QUERIES_AT_ONCE, SHARED, SHARE_EACH = 8, 26, 256, 1024, 8, 16
 #: Steps of frequency, each four times the one before (so its bitmap needs a quarter of the entries).
 STEPS = 6
-_BUCKETS, _FLUSH, _SEGMENT = 64, 4_000_000, 1 << 13
+#: Tokens of a group's piece, beyond which a group has more pieces.
+PIECE_TOKENS = 1 << 20
+#: Bits of a 32-bit key inside its bucket, tokens counted before a task hands them on, words of a bitmap's segment.
+_KEY_BITS, _FLUSH, _SEGMENT = 22, 4_000_000, 1 << 13
 _SLICE = SLICE_BYTES // 4
 _C = mix(np.arange(11, 43, dtype=np.uint64)) | np.uint64(1)
 
@@ -50,7 +56,7 @@ def shingle_sets(data: np.ndarray, off: np.ndarray, words: int):
     n = len(off) - 1
     low = lower_ascii(data)
     starts, ends, doc = spans(~((low == 32) | ((low - np.uint8(9)) < 5)), off)
-    h = span_hashes(low, starts, ends)
+    h = word_hashes(low, starts, ends)
     many = np.bincount(doc, minlength=n)
     at = np.cumsum(many) - many
     full = max(len(h) - words + 1, 0)
@@ -87,11 +93,11 @@ def _packed(keys: list) -> pa.RecordBatch:
     first = np.flatnonzero(np.append(True, s[1:] != s[:-1])) if len(s) else np.zeros(0, np.int64)
     counts = np.minimum(np.diff(np.append(first, len(s))), 255).astype(np.uint8)
     s = s[first]
-    edges = np.searchsorted(s, np.arange(_BUCKETS + 1, dtype=np.uint64) << np.uint64(26))
+    edges = np.searchsorted(s, np.arange((1 << 32 - _KEY_BITS) + 1, dtype=np.uint64) << np.uint64(_KEY_BITS))
     rows = []
     for k, (i, j) in enumerate(zip(edges, edges[1:], strict=False)):
         if j > i:
-            steps = np.diff(s[i:j] & np.uint32((1 << 26) - 1), prepend=np.uint32(0))
+            steps = np.diff(s[i:j] & np.uint32((1 << _KEY_BITS) - 1), prepend=np.uint32(0))
             rows.append((k, (steps.astype("<u2") if steps.max() < 65536 else steps.astype("<u4")).tobytes(), counts[i:j].tobytes()))
     cols = list(zip(*rows, strict=True)) or [[], [], []]
     return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.binary())],
@@ -119,19 +125,28 @@ def frequent_tokens(docs: DataFrame, words: int, least: int, bits: int) -> np.nd
                 held, size = [], 0
         yield _packed(held)
 
-    def add(pdf):
-        keys = [np.cumsum(np.frombuffer(s, "<u2" if len(s) == 2 * len(c) else "<u4"), dtype=np.int64)
-                for s, c in zip(pdf["steps"], pdf["counts"], strict=True)]
-        keys, n = np.concatenate(keys), np.frombuffer(b"".join(pdf["counts"]), np.uint8)
-        order = np.argsort(keys, kind="stable")
-        keys, n = keys[order], n[order].astype(np.int64)
-        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        keys, n = keys[first], np.add.reduceat(n, first)
-        at = [start + (keys[n >= least << 2 * k] & (size - 1)) for k, (start, size) in enumerate(_steps(bits))]
-        return _words(np.concatenate(at)).to_pandas()
+    def marks(bucket, counts):
+        keys = np.flatnonzero(counts >= least)
+        n, keys = counts[keys].astype(np.int64), keys + (bucket << _KEY_BITS)
+        return _words(np.concatenate([start + (keys[n >= least << 2 * k] & (size - 1))
+                                      for k, (start, size) in enumerate(_steps(bits))]))
+
+    def add(batches):
+        bucket, counts = None, np.zeros(1 << _KEY_BITS, np.uint32)  # every key of one bucket: a fixed size
+        for b in batches:
+            for k, s, c in zip(*(b.column(n).to_pylist() for n in ("bucket", "steps", "counts")), strict=True):
+                if k != bucket:
+                    if bucket is not None:
+                        yield marks(bucket, counts)
+                    bucket = k
+                    counts.fill(0)
+                n = np.frombuffer(c, np.uint8)
+                counts[np.cumsum(np.frombuffer(s, "<u2" if len(s) == 2 * len(n) else "<u4"), dtype=np.int64)] += n
+        if bucket is not None:
+            yield marks(bucket, counts)
 
     rows = (docs.select("text").mapInArrow(count, "bucket int, steps binary, counts binary")
-            .groupBy("bucket").applyInPandas(add, _WORDS))
+            .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(add, _WORDS))
     start, size = _steps(bits)[-1]
     return _collected(rows, start + size)
 
@@ -275,7 +290,9 @@ class Incidence:
 
     def __init__(self, sets: list):
         self.sizes = np.array([len(s) for s in sets], np.int64)
-        self.union, self.where = np.unique(np.concatenate(sets), return_inverse=True)
+        tokens = np.concatenate(sets)
+        self.union = np.unique(tokens)
+        self.where = np.searchsorted(self.union, tokens).astype(np.int32)
         self.at = np.cumsum(self.sizes) - self.sizes
 
     def common(self, s: np.ndarray) -> np.ndarray:
@@ -292,25 +309,26 @@ class Incidence:
         return 100 * overlaps >= percent * (self.sizes + n - overlaps)
 
 
-def _groups(batches, words: int):
-    """(asks, components, docs, sets) of every group, from batches sorted by group (``g1``, ``g2``)."""
-    key, asks, comps, docs, sets = None, [], [], [], []
+def _unpacked(batches, words: int):
+    """(group, component, doc, asks, set) of every row, in order; texts are opened a few at a time."""
     unpack = zstandard.ZstdDecompressor().decompress
-    for b in slices(batches, "text", _SLICE):
-        texts = pa.array([unpack(t) for t in b.column("text").to_pylist()], pa.large_binary())
-        found = shingle_sets(*text_buffer(texts), words)
-        for g1, g2, ask, comp, doc, s in zip(
-                *(b.column(c).to_pylist() for c in ("g1", "g2", "asks", "component", "doc")), found, strict=True):
-            if (g1, g2) != key:
-                if docs:
-                    yield asks, comps, docs, sets
-                key, asks, comps, docs, sets = (g1, g2), [], [], [], []
-            asks.append(ask)
-            comps.append(comp)
-            docs.append(doc)
-            sets.append(s)
-    if docs:
-        yield asks, comps, docs, sets
+
+    def sets(rows):
+        texts = pa.array([unpack(r.pop()) for r in rows], pa.large_binary())
+        return zip(rows, shingle_sets(*text_buffer(texts), words), strict=True)
+
+    held, size = [], 0
+    for b in batches:
+        for g1, g2, comp, doc, ask, text in zip(
+                *(b.column(c).to_pylist() for c in ("g1", "g2", "component", "doc", "asks", "text")), strict=True):
+            held.append([(g1, g2), comp, doc, ask, text])
+            size += zstandard.frame_content_size(text)
+            if size >= _SLICE:
+                for row, s in sets(held):
+                    yield (*row, s)
+                held, size = [], 0
+    for row, s in sets(held):
+        yield (*row, s)
 
 
 def _edges(rows: list) -> pa.RecordBatch:
@@ -320,7 +338,7 @@ def _edges(rows: list) -> pa.RecordBatch:
 
 def _dealt(rows: DataFrame) -> DataFrame:
     return (rows.select("g1", F.col("g2").cast("long").alias("g2"), "asks", "component", "doc", "text").repartition("g1", "g2")
-            .sortWithinPartitions("g1", "g2"))
+            .sortWithinPartitions("g1", "g2", "asks"))  # members first, so that queries need not be held
 
 
 def links_in_groups(members: DataFrame, words: int, percent: int) -> DataFrame:
@@ -328,7 +346,8 @@ def links_in_groups(members: DataFrame, words: int, percent: int) -> DataFrame:
 
     def run(batches):
         out = []
-        for _, _, docs, sets in _groups(batches, words):
+        for _, rows in groupby(_unpacked(batches, words), itemgetter(0)):
+            _, _, docs, _, sets = zip(*rows, strict=True)
             if len(docs) < 2:
                 continue
             inc, root = Incidence(sets), np.arange(len(docs))
@@ -352,21 +371,27 @@ def links_to_groups(rows: DataFrame, words: int, percent: int) -> DataFrame:
 
     def run(batches):
         out = []
-        for asks, comps, docs, sets in _groups(batches, words):
-            inside = [i for i, ask in enumerate(asks) if not ask]
-            if not inside:
-                continue
-            inc, comp = Incidence([sets[i] for i in inside]), np.array([comps[i] for i in inside], np.int64)
-            for i, ask in enumerate(asks):
-                common = inc.common(sets[i]) if ask else ()
-                if not ask or len(common) < needed(len(sets[i]), percent):
+        for _, rows in groupby(_unpacked(batches, words), itemgetter(0)):
+            inc, comps, docs, sets = None, [], [], []
+            for _, comp, doc, ask, s in rows:
+                if not ask:
+                    comps.append(comp)
+                    docs.append(doc)
+                    sets.append(s)
+                    continue
+                if not docs:
+                    break
+                if inc is None:
+                    inc, sets, comps = Incidence(sets), None, np.array(comps, np.int64)
+                common = inc.common(s)
+                if len(common) < needed(len(s), percent):
                     continue  # no member can reach the threshold
-                hit = np.flatnonzero(inc.linked(len(sets[i]), inc.overlaps(common), percent))
-                hit = hit[comp[hit] != comps[i]]
-                out.extend((docs[i], docs[inside[hit[j]]]) for j in np.unique(comp[hit], return_index=True)[1])
-            if len(out) > 10_000:
-                yield _edges(out)
-                out = []
+                hit = np.flatnonzero(inc.linked(len(s), inc.overlaps(common), percent))
+                hit = hit[comps[hit] != comp]
+                out.extend((doc, docs[hit[j]]) for j in np.unique(comps[hit], return_index=True)[1])
+                if len(out) > 10_000:
+                    yield _edges(out)
+                    out = []
         yield _edges(out)
 
     return _dealt(rows).mapInArrow(run, "a long, b long")
@@ -388,8 +413,11 @@ def join_similar(docs: DataFrame, words: int = 4, percent: int = 85, frequent: i
 
     # groups of similar documents
     pivots = shared.groupBy("doc").agg(F.max(F.struct("docs", "token"))["token"].alias("g1"))
-    groups = pivots.groupBy("g1").agg(F.count(F.lit(1)).alias("size"), F.min("doc").alias("lead1"), F.max("doc").alias("lead2"))
-    groups = groups.filter("size > 1").withColumn("pieces", F.ceil(F.col("size") / piece).cast("int"))
+    pivots = write_table(pivots.join(reps.select(F.col("doc_id").alias("doc"), "n"), "doc"), "pivots")
+    groups = pivots.groupBy("g1").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("tokens"),
+                                      F.min("doc").alias("lead1"), F.max("doc").alias("lead2"))
+    groups = groups.filter("size > 1").withColumn(
+        "pieces", F.ceil(F.greatest(F.col("size") / piece, F.col("tokens") / PIECE_TOKENS)).cast("int"))
     members = pivots.join(groups, "g1").select("g1", F.pmod(F.xxhash64("doc"), "pieces").cast("int").alias("g2"), "doc")
     leads = groups.select("g1", "lead1", "lead2", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("g2")).select(
         "g1", "g2", F.explode(F.array("lead1", "lead2")).alias("doc"))
@@ -399,11 +427,10 @@ def join_similar(docs: DataFrame, words: int = 4, percent: int = 85, frequent: i
 
     # the matrix: pieces by token, where a token has documents of several components
     homes = pivots.join(groups.select("g1", "size", "pieces"), "g1", "left").select(
-        "doc", "g1", F.coalesce("size", F.lit(1)).alias("size"),
+        "doc", "n", "g1", F.coalesce("size", F.lit(1)).alias("size"),
         F.pmod(F.xxhash64("doc"), F.coalesce("pieces", F.lit(1))).cast("int").alias("g2"))
-    homes = homes.join(found.select(F.col("node").alias("doc"), "component"), "doc", "left").withColumn(
-        "component", F.coalesce("component", "doc"))
-    homes = write_table(homes.join(reps.select(F.col("doc_id").alias("doc"), "n"), "doc"), "homes")
+    homes = write_table(homes.join(found.select(F.col("node").alias("doc"), "component"), "doc", "left").withColumn(
+        "component", F.coalesce("component", "doc")), "homes")
     placed = shared.join(homes, "doc")
     mixed = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
     placed = write_table(placed.join(mixed.select("token"), "token", "left_semi"), "placed")

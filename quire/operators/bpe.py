@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.operators.indexing import write_table
-from quire.operators.tokenize import GPT2_PATTERN, HOT_VOCAB, pretoken_array
+from quire.operators.tokenize import GPT2_PATTERN, HOT_VOCAB, by_key, pretoken_array
 
 BYTE_ID_OFFSET = 1
 FIRST_MERGE_ID = 257
@@ -165,9 +165,8 @@ def bpe_encode(df: DataFrame, merges: list[tuple[str, str]], key_cols: list, tex
     """Texts -> BPE ids.  Word types are encoded once; the word table is
     broadcast when it has at most ``hot_size`` rows, else shuffle-joined."""
     keep = [c for c in df.columns if c != text_col]
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    toks = (df.repartition(n, *key_cols)
-              .select(*keep, F.posexplode_outer(pretoken_array(text_col, pattern)).alias("_pos", "_w")))
+    toks = (by_key(df, key_cols, text_col)
+              .select(*keep, "_row", F.posexplode_outer(pretoken_array(text_col, pattern)).alias("_pos", "_w")))
     types = toks.where(F.col("_w").isNotNull()).select("_w").distinct()
     merged = merged_types(types, "_w", merges)
     if len(merges) <= literal_limit:
@@ -187,5 +186,5 @@ def bpe_encode(df: DataFrame, merges: list[tuple[str, str]], key_cols: list, tex
     small = table.count() <= hot_size
     joined = toks.join(F.broadcast(table) if small else table, "_w", "left")
     item = F.when(F.col("_ids").isNotNull(), F.struct(F.col("_pos").alias("p"), F.col("_ids").alias("v")))
-    out = joined.groupBy(*keep).agg(F.array_sort(F.collect_list(item)).alias("_s"))
+    out = joined.groupBy(*keep, "_row").agg(F.array_sort(F.collect_list(item)).alias("_s"))
     return out.select(*keep, F.flatten(F.transform("_s", lambda x: x["v"])).alias(out_col))

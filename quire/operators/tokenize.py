@@ -19,7 +19,7 @@ Physical shape (see README, "scale notes"):
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.operators.indexing import with_global_index, write_table
@@ -81,14 +81,19 @@ def vocab_size_column(config_size: Column, tokenizer_size: Column) -> Column:
     return F.greatest(F.coalesce(config_size, F.lit(0)), tokenizer_size)
 
 
-def _by_key(df: DataFrame, key_cols: list) -> DataFrame:
-    """Hash-partition rows by key with an explicit partition count.
+def by_key(df: DataFrame, key_cols: list, value_col: str) -> DataFrame:
+    """Hash-partition rows by key with an explicit partition count, and tell rows apart that
+    repeat all columns but ``value_col`` by ``_row``, their number in order of ``value_col``.
+
+    Rows that are equal in that column too may change numbers when a task is
+    run again: they are interchangeable.
 
     An explicit count keeps adaptive execution from changing the number of
     partitions under the hash partitioning that later operators rely on.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *key_cols)
+    repeats = Window.partitionBy(*[c for c in df.columns if c != value_col]).orderBy(value_col)
+    return df.repartition(n, *key_cols).withColumn("_row", F.row_number().over(repeats))
 
 
 def _regroup(exploded: DataFrame, group_cols: list, pos_col: str, val_col: str, out_col: str) -> DataFrame:
@@ -109,8 +114,8 @@ def encode(df: DataFrame, vocab: DataFrame, key_cols: list, text_col: str = "tex
     """Replace ``text_col`` by ``out_col`` = token ids in text order (unknown -> UNK_ID)."""
     keep = [c for c in df.columns if c != text_col]
     n_ids = vocab_size(vocab)
-    base = _by_key(df, key_cols)
-    toks = base.select(*keep, F.posexplode_outer(pretoken_array(text_col, pattern)).alias("_pos", "_tok"))
+    base = by_key(df, key_cols, text_col)
+    toks = base.select(*keep, "_row", F.posexplode_outer(pretoken_array(text_col, pattern)).alias("_pos", "_tok"))
     hot = vocab.where(F.col("id") < hot_size + FIRST_ID).select(F.col("token").alias("_tok"), F.col("id").alias("_id"))
     looked = toks.join(F.broadcast(hot), "_tok", "left")
     if n_ids > hot_size + FIRST_ID:
@@ -127,20 +132,20 @@ def encode(df: DataFrame, vocab: DataFrame, key_cols: list, text_col: str = "tex
         looked = looked.where(~miss).unionByName(tail)
     ided = looked.withColumn(
         "_id", F.when(F.col("_tok").isNotNull(), F.coalesce("_id", F.lit(UNK_ID))))
-    return _regroup(ided, keep, "_pos", "_id", out_col)
+    return _regroup(ided, [*keep, "_row"], "_pos", "_id", out_col).drop("_row")
 
 
 def decode(df: DataFrame, vocab: DataFrame, key_cols: list, ids_col: str = "ids",
            out_col: str = "text", hot_size: int = HOT_VOCAB) -> DataFrame:
     """Ids back to text; special ids (end-of-text, unknown) are skipped."""
     keep = [c for c in df.columns if c != ids_col]
-    base = _by_key(df, key_cols)
-    ex = (base.select(*keep, F.posexplode_outer(ids_col).alias("_pos", "_id"))
+    base = by_key(df, key_cols, ids_col)
+    ex = (base.select(*keep, "_row", F.posexplode_outer(ids_col).alias("_pos", "_id"))
           .withColumn("_id", F.when(F.col("_id") >= FIRST_ID, F.col("_id"))))
     voc = vocab.select("id", F.col("token").alias("_tok"))
     joined = lookup_ids(ex, voc, "_id", hot_size)
-    out = _regroup(joined, keep, "_pos", "_tok", "_toks")
-    return out.withColumn(out_col, F.array_join("_toks", "")).drop("_toks")
+    out = _regroup(joined, [*keep, "_row"], "_pos", "_tok", "_toks")
+    return out.withColumn(out_col, F.array_join("_toks", "")).drop("_toks", "_row")
 
 
 def lookup_ids(df: DataFrame, table: DataFrame, id_col: str, hot_size: int = HOT_VOCAB) -> DataFrame:

@@ -3,7 +3,7 @@ import re
 import regex
 from pyspark.sql import functions as F
 
-from quire.operators import chunking, tokenize
+from quire.operators import bpe, chunking, tokenize
 from quire.operators.tokenize import FIRST_ID, PAD_ID, UNK_ID
 from tests.conftest import SF_SMALL
 
@@ -111,3 +111,15 @@ def test_gpt2_pattern_java_runs(spark):
     df = spark.createDataFrame([("I'm here  now",)], "t string")
     toks = df.select(tokenize.pretoken_array("t", tokenize.GPT2_PATTERN)).first()[0]
     assert toks == re.findall(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?[^\s\w]+|\s+(?!\S)|\s+", "I'm here  now")
+
+
+def test_repeated_rows_stay_apart(spark):
+    docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (1, "b"), (2, None), (2, None)], "doc_id long, text string")
+    vocab = tokenize.fit_vocab(docs)
+    for hot in (tokenize.HOT_VOCAB, 1):
+        enc = tokenize.encode(docs, vocab, ["doc_id"], hot_size=hot)
+        assert enc.columns == ["doc_id", "ids"]
+        back = tokenize.decode(enc, vocab, ["doc_id"], hot_size=hot)
+        assert sorted((r.doc_id, r.text) for r in back.collect()) == [(1, "a b"), (1, "a b"), (1, "b"), (2, ""), (2, "")]
+    got = bpe.bpe_encode(docs, [], ["doc_id"]).collect()
+    assert sorted((r.doc_id, len(r.ids or [])) for r in got) == [(1, 1), (1, 3), (1, 3), (2, 0), (2, 0)]

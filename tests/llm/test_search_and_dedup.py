@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from quire.llm import components, ngram_join, nn_descent, suffix_dedup, topk
+from quire.llm import common, components, ngram_join, nn_descent, suffix_dedup, topk
 
 
 def _words(rng, n, kinds=5000):
@@ -177,3 +177,13 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     assert shared[10:-10] not in left["suffix_dedup"][5].text and left["suffix_dedup"][5].n_chars == len(left["suffix_dedup"][5].text)
     assert left["suffix_dedup"][7].text == texts[7]
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == set(left["suffix_dedup"])
+
+
+def test_word_hashes_by_blocks_equal_hashes_of_the_whole():
+    data = np.frombuffer(b"one two " * 9 + b"x" * 50 + b" end", np.uint8)
+    starts, ends, _ = common.spans(data != 32, np.array([0, len(data)]))
+    for block in (1, 7, 40, 1 << 18):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(common, "HASH_BYTES", block)
+            assert (common.word_hashes(data, starts, ends) == common.span_hashes(data, starts, ends)).all()
+    assert not len(common.word_hashes(data[:0], starts[:0], ends[:0]))

@@ -14,6 +14,9 @@ from quire.llm import ngram_join, packing, suffix_dedup, toxicity
 from quire.llm.common import prepare, table
 from quire.llm.queries import tokenizer_path
 
+#: Words of a shingle and percent of shared shingles from which two documents of the pipeline are similar (op3's own are 4 and 85).
+SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
+
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, fitted on the labels of the data folder, does not reject."""
@@ -27,7 +30,7 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of smallest id of every group of linked documents."""
     prepare(spark)
-    groups = ngram_join.join_similar(docs)
+    groups = ngram_join.join_similar(docs, words=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
     gone = groups.filter("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 

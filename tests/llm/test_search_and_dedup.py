@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from quire.llm import common, components, ngram_join, nn_descent, suffix_dedup, topk
+from quire.llm import common, components, ngram_join, nn_descent, stages, suffix_dedup, topk
 
 
 def _words(rng, n, kinds=5000):
@@ -179,6 +179,15 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == set(left["suffix_dedup"])
 
 
+def test_similar_stage_takes_five_words_and_80_percent(spark):
+    base = [f"w{i}" for i in range(200)]
+    near = [f"n{i}" if i in (30, 70, 110, 150) else w for i, w in enumerate(base)]  # 176/216 of five words, 181/213 of four
+    far = [f"n{i}" if i in (25, 60, 95, 130, 165) else w for i, w in enumerate(base)]  # 171/221 of five words
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate([base, near, far])], "doc_id long, text string")
+    assert sorted(r.doc_id for r in stages.one_of_similar(spark, docs, "").collect()) == [0, 2]
+    assert sorted(r.component_id for r in ngram_join.join_similar(docs).collect()) == [0, 1, 2]
+
+
 def test_word_hashes_by_blocks_equal_hashes_of_the_whole():
     data = np.frombuffer(b"one two " * 9 + b"x" * 50 + b" end", np.uint8)
     starts, ends, _ = common.spans(data != 32, np.array([0, len(data)]))

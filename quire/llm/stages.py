@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from quire.llm import ngram_join, packing, suffix_dedup, toxicity
 from quire.llm.common import prepare, table
 from quire.llm.queries import tokenizer_path
+from quire.operators.indexing import write_table
 
 #: Words of a shingle and percent of shared shingles from which two documents of the pipeline are similar (op3's own are 4 and 85).
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
@@ -28,11 +29,26 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of every group of linked documents."""
+    """One row of every group of linked documents, that of smallest id (a null id comes last).
+
+    Rows are joined by a key of their own, so rows of one id with different texts are different documents, rows
+    with a null id take part, and of equal rows one stays; blank texts are alike only where their ids are equal, too."""
     prepare(spark)
-    groups = ngram_join.join_similar(docs, words=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
-    gone = groups.filter("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    names = {c: f"_{i}" for i, c in enumerate(docs.columns)}
+    # written, so that a row has the same key wherever it is read
+    rows = write_table(docs.select(*(F.col(c).alias(n) for c, n in names.items())).withColumn(
+        "key", F.monotonically_increasing_id()), "keyed-documents")
+    doc_id, text = F.col(names["doc_id"]), F.col(names["text"]).cast("string")
+    groups = ngram_join.join_similar(rows.select(F.col("key").alias("doc_id"), text.alias("text")),
+                                     words=SHINGLE_WORDS, percent=SIMILAR_PERCENT).withColumnRenamed("doc_id", "key")
+    blank = F.when(text.rlike(r"\A[\x20\x09-\x0D]*\z"), text)
+    empty = F.col("n_shingles") == 0
+    # the first row of each group, by partial sums: no group meets in one task
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "key"))["key"]
+    kept = rows.select("key", doc_id.alias("id"), blank.alias("blank")).join(groups, "key").groupBy(
+        F.when(~empty, F.col("component_id")).alias("a"), F.when(empty, F.col("id")).alias("b"),
+        F.when(empty, F.col("blank")).alias("c")).agg(first.alias("key"))
+    return rows.join(kept.select("key"), "key", "left_semi").select(*(F.col(n).alias(c) for c, n in names.items()))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -188,6 +188,24 @@ def test_similar_stage_takes_five_words_and_80_percent(spark):
     assert sorted(r.component_id for r in ngram_join.join_similar(docs).collect()) == [0, 1, 2]
 
 
+def test_similar_stage_keeps_one_row_of_each_group(spark):
+    rng = random.Random(4)
+    text = [" ".join(_words(rng, 150)) for _ in range(7)]  # more than 400 bytes each
+    assert min(map(len, text)) > 400
+    rows = [(1, text[0]), (2, text[1]), (2, text[1]), (2, text[1]),  # a repeated row
+            (None, text[2]), (None, text[2]), (None, text[3]), (None, text[0]),  # null ids: repeated, alone, like another
+            (5, text[4]), (5, text[0]), (6, text[4]), (6, text[5]), (9, text[5]),  # two texts under one id
+            (7, ""), (7, ""), (8, ""), (8, None), (None, " "), (None, " ")]
+    docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, key int").repartition(5)
+    kept = stages.one_of_similar(spark, docs, "")
+    assert kept.columns == docs.columns
+    want = [(1, text[0]), (2, text[1]), (None, text[2]), (None, text[3]), (5, text[4]), (6, text[5]), (7, ""), (8, ""), (8, None), (None, " ")]
+    assert sorted(map(repr, [(r.doc_id, r.text) for r in kept.collect()])) == sorted(map(repr, want))
+    whole = stages.without_repeats(spark, kept, "").collect()
+    assert sorted(map(repr, [(r.doc_id, r.text or "") for r in whole])) == sorted(map(repr, [(i, t or "") for i, t in want]))
+    assert stages.one_of_similar(spark, docs.filter("false"), "").count() == 0
+
+
 def test_word_hashes_by_blocks_equal_hashes_of_the_whole():
     data = np.frombuffer(b"one two " * 9 + b"x" * 50 + b" end", np.uint8)
     starts, ends, _ = common.spans(data != 32, np.array([0, len(data)]))

@@ -3,9 +3,10 @@
 The graph starts from neighbours inside blocks of vectors that lie on the same sides of
 random directions' medians (several times), then every node's neighbours and
 reverse neighbours are compared with each other, round by round, by joins of the edge table
-with itself through the node; what comes out better is kept.  A query starts at the
+with itself through the node; what comes out better is kept.  Graph and search measure
+the vectors as they are, in double precision (results are the exact distances).  A query starts at the
 neighbours of its own node and keeps its ``beam`` nearest nodes; the neighbours of those not yet
-expanded are measured until none of them comes in.  Distances of results are exact, in double precision.
+expanded are measured until none of them comes in.
 
 Defined results: a row with a null id, or with a null, empty, zero or not wholly finite vector,
 takes no part; equal vectors are one node with their smallest ids (as many as an answer can
@@ -29,7 +30,7 @@ from quire.operators.indexing import write_table
 #: rounds, beam.
 NEIGHBOURS, REVERSE, DIRECTIONS, BLOCK, ROUNDS, BEAM = 24, 20, 6, 4096, 2, 128
 _FLUSH, _ROWS = 400_000, 1024
-_EDGES = "node long, near long, dist float"
+_EDGES = "node long, near long, dist double"
 
 
 def _best(node: np.ndarray, near: np.ndarray, dist: np.ndarray, k: int):
@@ -48,12 +49,12 @@ def _best(node: np.ndarray, near: np.ndarray, dist: np.ndarray, k: int):
 
 
 def _batch(node, near, dist) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(near, pa.int64()), pa.array(dist, pa.float32())],
+    return pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(near, pa.int64()), pa.array(dist, pa.float64())],
                                       names=["node", "near", "dist"])
 
 
 def _compare(groups, k: int):
-    """Each group's ids, half-precision vectors and worst neighbours: the ``k`` nearest of each member among
+    """Each group's ids, vectors and worst neighbours: the ``k`` nearest of each member among
     the group's others that beat its worst; results are merged inside the task before they leave."""
     held, size = [], 0
     for ids, v, worst in groups:
@@ -75,14 +76,10 @@ def _compare(groups, k: int):
         yield _batch(*_best(*(np.concatenate(c) for c in zip(*held, strict=True)), k))
 
 
-def _half(batch) -> np.ndarray:
-    return np.frombuffer(b"".join(batch.column("half").to_pylist()), "<f2").reshape(batch.num_rows, -1).astype(np.float32)
-
-
-def _members(batches, keys):
+def _members(batches, keys, kind: str):
     for g in sorted_groups(batches, keys):
         ids, first = np.unique(g.column("id").to_numpy(), return_index=True)
-        yield ids, _half(g)[first], g.column("worst").to_numpy()[first]
+        yield ids, matrix(g.column("v").to_pylist(), kind)[first].astype(np.float64), g.column("worst").to_numpy()[first]
 
 
 def _nearest(edges: DataFrame, k: int) -> DataFrame:
@@ -105,34 +102,37 @@ def _nearest(edges: DataFrame, k: int) -> DataFrame:
     return edges.repartition("node").sortWithinPartitions("node").mapInArrow(merge, _EDGES)
 
 
-def build_graph(nodes: DataFrame, neighbours: int = NEIGHBOURS, reverse: int = REVERSE, directions: int = DIRECTIONS,
+def build_graph(nodes: DataFrame, kind: str, neighbours: int = NEIGHBOURS, reverse: int = REVERSE, directions: int = DIRECTIONS,
                 block: int = BLOCK, rounds: int = ROUNDS) -> DataFrame:
-    """node, near, dist (squared, half precision) from ``nodes``: id, half (binary)."""
+    """node, near, dist (squared) from ``nodes``: id, v (packed as ``kind``)."""
+    keys = ["way", "size", "slot"]
     total = nodes.count()
     # blocks: each way halves the vectors on so many random axes
     axes = max(0, int(np.ceil(np.log2(max(total, 1) / block))))
 
     def project(batches):
         for b in batches:
-            v = [np.frombuffer(x, "<f2").astype(np.float64) for x in b.column("half").to_pylist()]
+            v = [np.frombuffer(x, kind).astype(np.float64) for x in b.column("v").to_pylist()]
             for way in range(directions):
                 p = [(np.random.default_rng((way, len(x))).standard_normal((axes, len(x))) @ x).tolist() for x in v]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("id"), b.column("half"), pa.array([way] * len(v), pa.int32()), pa.array([len(x) for x in v], pa.int32()),
-                     pa.array(p, pa.list_(pa.float64()))], names=["id", "half", "way", "size", "places"])
+                    [b.column("id"), b.column("v"), pa.array([way] * len(v), pa.int32()), pa.array([len(x) for x in v], pa.int32()),
+                     pa.array(p, pa.list_(pa.float64()))], names=["id", "v", "way", "size", "places"])
 
-    placed = write_table(nodes.mapInArrow(project, "id long, half binary, way int, size int, places array<double>"), "directions")
+    placed = write_table(nodes.mapInArrow(project, "id long, v binary, way int, size int, places array<double>"), "directions")
     cuts = placed.groupBy("way", "size").agg(F.array(F.lit(0.0), *[
         F.percentile_approx(F.col("places")[x], 0.5) for x in range(axes)]).alias("cuts"))
     slot = F.concat_ws("", F.transform("places", lambda p, x: (p > F.get("cuts", x + 1)).cast("int").cast("string")))
     # a row for each way and vector length: a bounded broadcast
     dealt = placed.join(F.broadcast(cuts), ["way", "size"]).select(
-        "way", "size", slot.alias("slot"), "id", "half", F.lit(float("inf")).alias("worst"))
+        "way", "size", slot.alias("slot"), "id", "v", F.lit(float("inf")).alias("worst"))
 
     def start(batches):
-        yield from _compare(_members(batches, ["way", "size", "slot"]), neighbours)
+        yield from _compare(_members(batches, keys, kind), neighbours)
+
+    def meet(batches):
+        yield from _compare(_members(batches, ["via"], kind), neighbours)
 
-    keys = ["way", "size", "slot"]
     graph = write_table(_nearest(dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(start, _EDGES), neighbours), "graph")
     for _ in range(rounds):
         back = Window.partitionBy("near").orderBy("dist", "node")
@@ -141,13 +141,10 @@ def build_graph(nodes: DataFrame, neighbours: int = NEIGHBOURS, reverse: int = R
         around = graph.select(F.col("node").alias("via"), F.col("near").alias("id")).unionByName(reversed_).unionByName(
             nodes.select(F.col("id").alias("via"), "id")).distinct()
 
-        def meet(batches):
-            yield from _compare(_members(batches, ["via"]), neighbours)
-
         known = graph.groupBy(F.col("node").alias("id")).agg(
             F.when(F.count(F.lit(1)) >= neighbours, F.max("dist")).alias("worst"))
-        ready = nodes.join(known, "id", "left").withColumn("worst", F.coalesce(F.col("worst").cast("double"), F.lit(float("inf"))))
-        met = around.join(ready, "id").select("via", "id", "half", "worst").repartition("via").sortWithinPartitions("via").mapInArrow(meet, _EDGES)
+        ready = nodes.join(known, "id", "left").withColumn("worst", F.coalesce("worst", F.lit(float("inf"))))
+        met = around.join(ready, "id").select("via", "id", "v", "worst").repartition("via").sortWithinPartitions("via").mapInArrow(meet, _EDGES)
         graph = write_table(_nearest(graph.unionByName(met), neighbours), "graph")
     return graph
 
@@ -177,50 +174,26 @@ def search(queries: DataFrame, vectors: DataFrame, k: int, beam: int = BEAM, id_
     pack = lambda v: v.astype(kind).tobytes() if v.any() else None
     nodes = distinct_vectors(packed(vectors.unionByName(queries), pack, id_col, vector_col), k + 1)
     nodes = write_table(nodes.select(F.element_at("ids", 1).alias("id"), "ids", "v"), "nodes")
-    halves = write_table(packed_halves(nodes, kind), "half-vectors")
-    edges = build_graph(halves, **graph)
+    edges = build_graph(nodes.select("id", "v"), kind, **graph)
     links = write_table(edges.groupBy("node").agg(F.collect_list("near").alias("nears")), "links")
 
-    # a query starts at its own node, which is the node of its vector; the search measures half precision
+    # a query starts at its own node, which is the node of its vector
     asked = write_table(packed(queries, pack, id_col, vector_col).distinct().join(
         nodes.select(F.col("id").alias("node"), "v"), "v").select(F.col("id").alias("query"), "node", F.col("v").alias("qv")), "queries")
-    half = halves.select(F.col("id").alias("node"), F.col("half").alias("v"))
-    asks = asked.select("query", "node").join(half.withColumnRenamed("v", "qv"), "node").drop("node")
+    vectors_ = nodes.select(F.col("id").alias("node"), "v")
+    asks = asked.select("query", "qv")
     known = write_table(asked.select("query", "node", F.lit(0.0).alias("dist"), F.lit(False).alias("opened")), "beam")
     while True:
         fresh = known.filter("not opened").join(links, "node").select("query", F.explode("nears").alias("node")).distinct()
         fresh = fresh.join(known.select("query", "node"), ["query", "node"], "left_anti")
-        pairs = fresh.join(half, "node").join(asks, "query")
-        both = known.withColumn("opened", F.lit(True)).unionByName(_measure(pairs, "<f2").withColumn("opened", F.lit(False)))
+        pairs = fresh.join(vectors_, "node").join(asks, "query")
+        both = known.withColumn("opened", F.lit(True)).unionByName(_measure(pairs, kind).withColumn("opened", F.lit(False)))
         order = Window.partitionBy("query").orderBy("dist", "node")
         known = write_table(both.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= beam).drop("r"), "beam")
         if known.filter("not opened").isEmpty():
             break
-    exact = _measure(known.select("query", "node").join(nodes.select(F.col("id").alias("node"), "v"), "node")
-                     .join(asked.select("query", "qv"), "query"), kind)
-    rows = exact.join(nodes.select(F.col("id").alias("node"), "ids"), "node").select(
+    rows = known.select("query", "node", "dist").join(nodes.select(F.col("id").alias("node"), "ids"), "node").select(
         "query", "dist", F.explode("ids").alias("vec_id")).filter("vec_id <> query")
     order = Window.partitionBy("query").orderBy("dist", "vec_id")
     return rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         F.col("query").alias("query_id"), "rank", "vec_id", F.col("dist").alias("score"))
-
-
-def packed_halves(nodes: DataFrame, kind: str) -> DataFrame:
-    """id, half: vectors in half precision, scaled to a largest component of 1 at most (for the graph only)."""
-    top = nodes.select("v").mapInArrow(_tops(kind), "top double").agg(F.max("top")).first()[0] or 1.0
-
-    def run(batches):
-        for b in batches:
-            half = [(np.frombuffer(v, kind).astype(np.float64) / top).astype("<f2").tobytes() for v in b.column("v").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(half, pa.binary())], names=["id", "half"])
-
-    return nodes.select("id", "v").mapInArrow(run, "id long, half binary")
-
-
-def _tops(kind: str):
-    def run(batches):
-        for b in batches:
-            tops = [float(np.abs(np.frombuffer(v, kind).astype(np.float64)).max()) for v in b.column("v").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([max(tops, default=0.0)], pa.float64())], names=["top"])
-
-    return run

@@ -155,6 +155,30 @@ def test_nn_descent(spark):
     assert nn_descent.search(given.filter("false"), given.filter("false"), 3).count() == 0
 
 
+def _recall(got, m, k=10):
+    by = {}
+    for r in got.collect():
+        by.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for a, found in by.items():
+        d = ((m - m[a]) ** 2).sum(axis=1)
+        d[a] = np.inf
+        hits += len(found & set(np.argsort(d, kind="stable")[:k].tolist()))
+    return hits / (k * len(by))
+
+
+def _given(spark, m):
+    return spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "vec_id long, embedding array<float>").repartition(4)
+
+
+def test_nn_descent_with_one_very_large_vector(spark):
+    m = np.random.default_rng(3).standard_normal((400, 8)).astype(np.float32).astype(np.float64)
+    m[399] *= 2.0 ** 40
+    given = _given(spark, m)
+    got = nn_descent.search(given.filter("vec_id % 50 = 0"), given, 10, block=64, beam=48, neighbours=12, reverse=8)
+    assert _recall(got, m) >= 0.9
+
+
 def test_pipeline_stages_take_effect(spark, tmp_path):
     rng = random.Random(9)
     shared = " ".join(_words(rng, 120))

@@ -1,7 +1,8 @@
 """Approximate nearest neighbours (operator 7): an NN-descent graph, searched greedily.
 
 The graph starts from neighbours inside blocks of vectors that lie on the same sides of
-random directions' medians (several times), then every node's neighbours and
+random directions' medians (several times; a block that is too large is cut again at its own
+medians until none is), then every node's neighbours and
 reverse neighbours are compared with each other, round by round, by joins of the edge table
 with itself through the node; what comes out better is kept.  Graph and search measure
 the vectors as they are, in double precision (results are the exact distances).  A query starts at the
@@ -29,6 +30,8 @@ from quire.operators.indexing import write_table
 #: Neighbours of a node, reverse neighbours compared in a round, ways to cut blocks at the start and their size,
 #: rounds, beam.
 NEIGHBOURS, REVERSE, DIRECTIONS, BLOCK, ROUNDS, BEAM = 24, 20, 6, 4096, 2, 128
+#: Axes that cut a block again at once, and cuts after which blocks are dealt by a hash (vectors that no axis tells apart).
+AXES, DEEP = 4, 16
 _FLUSH, _ROWS = 400_000, 1024
 _EDGES = "node long, near long, dist double"
 
@@ -102,30 +105,55 @@ def _nearest(edges: DataFrame, k: int) -> DataFrame:
     return edges.repartition("node").sortWithinPartitions("node").mapInArrow(merge, _EDGES)
 
 
-def build_graph(nodes: DataFrame, kind: str, neighbours: int = NEIGHBOURS, reverse: int = REVERSE, directions: int = DIRECTIONS,
-                block: int = BLOCK, rounds: int = ROUNDS) -> DataFrame:
-    """node, near, dist (squared) from ``nodes``: id, v (packed as ``kind``)."""
-    keys = ["way", "size", "slot"]
-    total = nodes.count()
-    # blocks: each way halves the vectors on so many random axes
-    axes = max(0, int(np.ceil(np.log2(max(total, 1) / block))))
+def _blocks(nodes: DataFrame, kind: str, total: int, directions: int, block: int) -> DataFrame:
+    """way, size, slot, id, v: ``directions`` times every node (once if all fit), in cells of ``block`` nodes at most."""
+    cell = ["way", "size", "slot"]
+    ways = F.explode(F.array(*map(F.lit, range(directions if total > block else 1))))
+    left = nodes.select("id", "v", ways.alias("way"), F.length("v").alias("size"), F.lit("").alias("slot"))
+    done, depth, most = None, 0, total
+    while most > block:
+        axes = int(np.ceil(np.log2(most / block)))
+        if depth < DEEP:
+            cells = _cut(left, kind, min(axes, AXES) if depth else axes, depth, cell)
+        else:
+            salt = F.pmod(F.xxhash64("id", "way", F.lit(depth)), F.lit(2 << axes))
+            cells = left.select("way", "size", F.concat_ws("/", "slot", salt).alias("slot"), "id")
+        cells = write_table(cells, "cells")
+        counts = write_table(cells.groupBy(*cell).agg(F.count(F.lit(1)).alias("n")), "cell-sizes")
+        most = counts.agg(F.max("n")).first()[0]
+        # a row for each cell that is too large, ``directions / block`` of the nodes at most: a bounded broadcast
+        big = F.broadcast(counts.filter(F.col("n") > block).select(*cell))
+        small = cells.join(big, cell, "left_anti")
+        done = small if done is None else done.unionByName(small)
+        left, depth = cells.join(big, cell, "left_semi").join(nodes, "id"), depth + 1
+    return left if done is None else done.join(nodes, "id")
+
+
+def _cut(rows: DataFrame, kind: str, axes: int, depth: int, cell: list[str]) -> DataFrame:
+    """way, size, slot, id of ``rows`` with longer slots: the sides of so many new directions' medians, those of the
+    row's own cell."""
 
     def project(batches):
         for b in batches:
-            v = [np.frombuffer(x, kind).astype(np.float64) for x in b.column("v").to_pylist()]
-            for way in range(directions):
-                p = [(np.random.default_rng((way, len(x))).standard_normal((axes, len(x))) @ x).tolist() for x in v]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("id"), b.column("v"), pa.array([way] * len(v), pa.int32()), pa.array([len(x) for x in v], pa.int32()),
-                     pa.array(p, pa.list_(pa.float64()))], names=["id", "v", "way", "size", "places"])
-
-    placed = write_table(nodes.mapInArrow(project, "id long, v binary, way int, size int, places array<double>"), "directions")
-    cuts = placed.groupBy("way", "size").agg(F.array(F.lit(0.0), *[
+            ways, v = b.column("way").to_pylist(), [np.frombuffer(x, kind).astype(np.float64) for x in b.column("v").to_pylist()]
+            to = {(w, n): np.random.default_rng((depth, w, n)).standard_normal((axes, n))
+                  for w, n in {(w, len(x)) for w, x in zip(ways, v, strict=True)}}
+            p = [(to[w, len(x)] @ x).tolist() for w, x in zip(ways, v, strict=True)]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in (*cell, "id")), pa.array(p, pa.list_(pa.float64()))],
+                                             names=[*cell, "id", "places"])
+
+    placed = write_table(rows.mapInArrow(project, "way int, size int, slot string, id long, places array<double>"), "directions")
+    cuts = placed.groupBy(*cell).agg(F.array(F.lit(0.0), *[
         F.percentile_approx(F.col("places")[x], 0.5) for x in range(axes)]).alias("cuts"))
-    slot = F.concat_ws("", F.transform("places", lambda p, x: (p > F.get("cuts", x + 1)).cast("int").cast("string")))
-    # a row for each way and vector length: a bounded broadcast
-    dealt = placed.join(F.broadcast(cuts), ["way", "size"]).select(
-        "way", "size", slot.alias("slot"), "id", "v", F.lit(float("inf")).alias("worst"))
+    sides = F.concat_ws("", F.transform("places", lambda p, x: (p > F.get("cuts", x + 1)).cast("int").cast("string")))
+    return placed.join(F.broadcast(cuts), cell).select("way", "size", F.concat_ws("/", "slot", sides).alias("slot"), "id")
+
+
+def build_graph(nodes: DataFrame, kind: str, neighbours: int = NEIGHBOURS, reverse: int = REVERSE, directions: int = DIRECTIONS,
+                block: int = BLOCK, rounds: int = ROUNDS) -> DataFrame:
+    """node, near, dist (squared) from ``nodes``: id, v (packed as ``kind``)."""
+    keys, total = ["way", "size", "slot"], nodes.count()
+    dealt = _blocks(nodes, kind, total, directions, block).withColumn("worst", F.lit(float("inf")))
 
     def start(batches):
         yield from _compare(_members(batches, keys, kind), neighbours)

@@ -179,6 +179,18 @@ def test_nn_descent_with_one_very_large_vector(spark):
     assert _recall(got, m) >= 0.9
 
 
+def test_nn_descent_blocks_are_bounded(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    m = rng.standard_normal((900, 8))
+    m[:300] = 5 + 1e-4 * rng.standard_normal((300, 8))  # a third around one centre
+    same = [(1000 + i, np.array([1.0] * 7 + [i * 1e-40], "<f4")) for i in range(200)]  # no direction tells them apart
+    rows = [(i, v.astype("<f4").tobytes()) for i, v in [*enumerate(m), *same]]
+    nodes = spark.createDataFrame(rows, "id long, v binary").repartition(4)
+    monkeypatch.setattr(nn_descent, "DEEP", 3)
+    cells = nn_descent._blocks(nodes, "<f4", len(rows), 2, 64).groupBy("way", "size", "slot").count().collect()
+    assert max(r["count"] for r in cells) <= 64 and sum(r["count"] for r in cells) == 2 * len(rows)
+
+
 def test_pipeline_stages_take_effect(spark, tmp_path):
     rng = random.Random(9)
     shared = " ".join(_words(rng, 120))

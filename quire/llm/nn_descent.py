@@ -4,7 +4,7 @@ The graph starts from neighbours inside blocks of vectors that lie on the same s
 random directions' medians (several times; a block that is too large is cut again at its own
 medians until none is), then every node's neighbours and
 reverse neighbours are compared with each other, round by round, by joins of the edge table
-with itself through the node; what comes out better is kept.  Graph and search measure
+with itself through the node; what comes out better is kept, until hardly an edge changes.  Graph and search measure
 the vectors as they are, in double precision (results are the exact distances).  A query starts at the
 neighbours of its own node and keeps its ``beam`` nearest nodes; the neighbours of those not yet
 expanded are measured until none of them comes in.
@@ -28,8 +28,8 @@ from quire.llm.vectors import distinct_vectors, matrix, packed
 from quire.operators.indexing import write_table
 
 #: Neighbours of a node, reverse neighbours compared in a round, ways to cut blocks at the start and their size,
-#: rounds, beam.
-NEIGHBOURS, REVERSE, DIRECTIONS, BLOCK, ROUNDS, BEAM = 24, 20, 6, 4096, 2, 128
+#: share of edges that change in the last round, beam.
+NEIGHBOURS, REVERSE, DIRECTIONS, BLOCK, DELTA, BEAM = 24, 20, 6, 4096, 0.001, 128
 #: Axes that cut a block again at once, and cuts after which blocks are dealt by a hash (vectors that no axis tells apart).
 AXES, DEEP = 4, 16
 _FLUSH, _ROWS = 400_000, 1024
@@ -150,7 +150,7 @@ def _cut(rows: DataFrame, kind: str, axes: int, depth: int, cell: list[str]) ->
 
 
 def build_graph(nodes: DataFrame, kind: str, neighbours: int = NEIGHBOURS, reverse: int = REVERSE, directions: int = DIRECTIONS,
-                block: int = BLOCK, rounds: int = ROUNDS) -> DataFrame:
+                block: int = BLOCK, delta: float = DELTA) -> DataFrame:
     """node, near, dist (squared) from ``nodes``: id, v (packed as ``kind``)."""
     keys, total = ["way", "size", "slot"], nodes.count()
     dealt = _blocks(nodes, kind, total, directions, block).withColumn("worst", F.lit(float("inf")))
@@ -162,18 +162,27 @@ def build_graph(nodes: DataFrame, kind: str, neighbours: int = NEIGHBOURS, rever
         yield from _compare(_members(batches, ["via"], kind), neighbours)
 
     graph = write_table(_nearest(dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(start, _EDGES), neighbours), "graph")
-    for _ in range(rounds):
+    before = None
+    while total > block:  # else all pairs have met
         back = Window.partitionBy("near").orderBy("dist", "node")
         reversed_ = graph.withColumn("r", F.row_number().over(back)).filter(F.col("r") <= reverse).select(
             F.col("near").alias("via"), F.col("node").alias("id"))
-        around = graph.select(F.col("node").alias("via"), F.col("near").alias("id")).unionByName(reversed_).unionByName(
-            nodes.select(F.col("id").alias("via"), "id")).distinct()
+        around = write_table(graph.select(F.col("node").alias("via"), F.col("near").alias("id")).unionByName(reversed_).unionByName(
+            nodes.select(F.col("id").alias("via"), "id")).distinct(), "around")
+        # where nobody is new, all have met
+        fresh = around if before is None else around.join(before, ["via", "id"], "left_anti")
+        open_ = around.join(fresh.select("via").distinct(), "via", "left_semi")
+        before = around
 
         known = graph.groupBy(F.col("node").alias("id")).agg(
             F.when(F.count(F.lit(1)) >= neighbours, F.max("dist")).alias("worst"))
         ready = nodes.join(known, "id", "left").withColumn("worst", F.coalesce("worst", F.lit(float("inf"))))
-        met = around.join(ready, "id").select("via", "id", "v", "worst").repartition("via").sortWithinPartitions("via").mapInArrow(meet, _EDGES)
-        graph = write_table(_nearest(graph.unionByName(met), neighbours), "graph")
+        met = open_.join(ready, "id").select("via", "id", "v", "worst").repartition("via").sortWithinPartitions("via").mapInArrow(meet, _EDGES)
+        better = write_table(_nearest(graph.unionByName(met), neighbours), "graph")
+        changed = better.join(graph.select("node", "near"), ["node", "near"], "left_anti").count()
+        graph = better
+        if changed <= delta * graph.count():
+            break
     return graph
 
 

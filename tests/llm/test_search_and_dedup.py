@@ -179,6 +179,17 @@ def test_nn_descent_with_one_very_large_vector(spark):
     assert _recall(got, m) >= 0.9
 
 
+def test_nn_descent_goes_on_until_edges_stay(spark):
+    m = np.random.default_rng(4).standard_normal((2000, 8)).astype("<f4")
+    nodes = spark.createDataFrame([(i, v.tobytes()) for i, v in enumerate(m)], "id long, v binary").repartition(4)
+    edges = nn_descent.build_graph(nodes, "<f4", neighbours=16, reverse=12, block=8, directions=2).collect()
+    d = ((m[:, None].astype(float) - m[None]) ** 2).sum(axis=2)
+    np.fill_diagonal(d, np.inf)
+    near = np.argsort(d, axis=1)[:, :10]
+    found = {(e.node, e.near) for e in edges}
+    assert sum((i, int(j)) in found for i, row in enumerate(near) for j in row) >= 0.8 * near.size
+
+
 def test_nn_descent_blocks_are_bounded(spark, monkeypatch):
     rng = np.random.default_rng(5)
     m = rng.standard_normal((900, 8))

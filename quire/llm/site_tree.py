@@ -6,9 +6,11 @@ merged, are its style tree.  Every node holds, over the host's distinct pages, h
 its content repeats (entropy of the blocks) and how its children vary (entropy of
 the child sequences); a node whose better value is low is decoration and is cut from
 each page, and with its last such node a whole branch.  Elements whose
-meaning is given (``nav``, ``footer``, class ``ad`` and the like) are cut whatever
+meaning is given (``nav``, ``footer`` and the like) are cut whatever
 their entropy, and ``article`` and ``main`` are content; these hold for hosts with
-too few pages, too.
+too few pages, too.  A form, or a class, id or role with a word such as ``ad``, is cut unless it
+holds an ``article`` or ``main`` or, on a page without text in these, most of the page's text outside links; where the word is only a part of a name
+(``article-header``), the tree overrules it, too.
 
 Defined results: null or empty html has empty text; a null url's pages form one
 host without a tree; truncated markup ends where the page ends; repeated pages
@@ -59,31 +61,51 @@ _SPACE = re.compile(r"\s+")
 _PART = re.compile(r"[a-z]+")
 
 
-def _label(tag: str, attrs: str) -> tuple[str, bool]:
-    """(name of the node in a path, whether its class, id or role marks noise)."""
-    marks = [v.strip("\"'").lower() for _, v in _ATTR.findall(attrs)] if attrs else []
-    name = ".".join([tag, *(re.sub(r"[\s/]+", ".", m) for m in marks)])
-    words = {w for m in marks for w in _PART.findall(m)}
-    return name, bool(words & NOISE_WORDS) and tag not in ("html", "body", *CONTENT_TAGS)
+#: How a block is marked: by nothing, by part of a name (the tree may overrule it), by a whole name, form or tag.
+FREE, WEAK, NOISE = 0, 1, 2
 
 
-def blocks(page: str) -> list[tuple[str, str, bool]]:
-    """(path, text, noise by meaning) of every block with text, in page order."""
-    out: list[tuple[str, str, bool]] = []
-    stack: list[tuple[str, str, bool]] = []
+def _label(tag: str, attrs: str) -> tuple[str, int]:
+    """(name of the node in a path, how its class, id or role marks noise)."""
+    marks = [v.strip("\"'").lower() for _, v in _ATTR.findall(attrs)] if attrs else []
+    name = ".".join([tag, *(re.sub(r"[\s/]+", ".", m) for m in marks)])
+    if tag in ("html", "body", *CONTENT_TAGS):
+        return name, FREE
+    if any(w in NOISE_WORDS for m in marks for w in m.split()):
+        return name, NOISE
+    return name, WEAK if any(w in NOISE_WORDS for m in marks for w in _PART.findall(m)) else FREE
+
+
+def blocks(page: str) -> list[tuple[str, str, int]]:
+    """(path, text, how noise is marked) of every block with text, in page order."""
+    out: list[tuple[str, str, bool, list]] = []
+    # tag, name, noise whatever it holds, and what a marked node holds: mark, characters outside links, article or main
+    stack: list[tuple[str, str, bool, list | None]] = []
     parts: list[str] = []
-    at = 0
+    at = linked = plain = total = 0
+    given = False  # text in article or main
 
     def flush():
+        nonlocal plain, total, given
         if parts:
             text = _SPACE.sub(" ", entities.unescape("".join(parts))).strip()
             parts.clear()
             if text:
-                out.append(("/".join(x[1] for x in stack), text, any(x[2] for x in stack)))
+                marked, fixed = [x[3] for x in stack if x[3]], any(x[2] for x in stack)
+                out.append(("/".join(x[1] for x in stack), text, fixed, marked))
+                if not fixed:
+                    total += plain
+                    given = given or any(x[0] in CONTENT_TAGS for x in stack)
+                    for m in marked:
+                        m[1] += plain
+            plain = 0
 
     while True:
         m = _TOKEN.search(page, at)
-        parts.append(page[at:m.start() if m else len(page)])
+        part = page[at:m.start() if m else len(page)]
+        parts.append(part)
+        if not linked:
+            plain += len(_SPACE.sub("", part))
         if m is None:
             break
         at = m.end()
@@ -97,18 +119,25 @@ def blocks(page: str) -> list[tuple[str, str, bool]]:
             if tag == "br":
                 parts.append(" ")
                 continue
-            name, noise = _label(tag, attrs)
-            if tag in INLINE and not noise:
+            name, mark = _label(tag, attrs)
+            if tag in INLINE and not mark:
+                linked = 1 if tag == "a" else linked
                 continue
             flush()
+            linked = 1 if tag == "a" else linked
             if tag in VOID:
                 continue
             while stack and tag in IMPLIED.get(stack[-1][0], ()):
                 stack.pop()
             inside = any(x[0] in CONTENT_TAGS for x in stack)
-            noise = noise or tag in NOISE_TAGS or tag == "header" and not inside
+            fixed = tag in NOISE_TAGS and tag != "form" or tag == "header" and not inside
+            if tag in CONTENT_TAGS and not any(x[2] for x in stack):
+                for x in stack:
+                    if x[3]:
+                        x[3][2] = True
             if not attrs.endswith("/") or tag not in ("svg", "path"):
-                stack.append((tag, name, noise))
+                mark = NOISE if tag == "form" else mark
+                stack.append((tag, name, fixed, [mark, 0, False] if mark else None))
         elif end:
             tag = end.lower()
             if any(x[0] == tag for x in stack):
@@ -117,8 +146,10 @@ def blocks(page: str) -> list[tuple[str, str, bool]]:
                     pass
             elif tag not in INLINE:
                 flush()
+            linked = 0 if tag == "a" else linked
     flush()
-    return out
+    return [(path, text, NOISE if fixed else max((m[0] for m in marked if not m[2] and (given or 2 * m[1] <= total)), default=FREE))
+            for path, text, fixed, marked in out]
 
 
 def _parents(path: str) -> list[str]:
@@ -131,17 +162,19 @@ def _digest(text: str) -> int:
 
 
 def style_nodes(pages: DataFrame) -> DataFrame:
-    """One row per node and feature of each page: host, path, kind (content or style), feature, page_key."""
+    """One row per node and feature of each page: host, path, kind (content, style, or weak: content of blocks that
+    part of a name marks), feature, page_key."""
 
     def run(batches):
         for b in slices(batches, "html"):
             cols: list[list] = [[], [], [], [], []]
             for host, page in zip(b.column("host").to_pylist(), b.column("html").to_pylist(), strict=True):
-                found = [(p, t) for p, t, noise in blocks(page or "") if not noise]
-                if not found or not host:
+                every = blocks(page or "")
+                found, weak = ([(p, t) for p, t, noise in every if noise == k] for k in (FREE, WEAK))
+                if not (found or weak) or not host:
                     continue
-                key = _digest("\n".join(t for _, t in found))
-                rows, children = {(p, "content", _digest(t)) for p, t in found}, {}
+                key = _digest("\n".join(t for _, t in found or weak))
+                rows, children = {(p, "content", _digest(t)) for p, t in found} | {(p, "weak", _digest(t)) for p, t in weak}, {}
                 for p, _ in found:
                     chain = _parents(p)
                     for up, down in zip(chain, chain[1:], strict=False):
@@ -171,15 +204,20 @@ def importance(nodes: DataFrame) -> DataFrame:
         F.sum(F.col("c") * F.log("c")).alias("weighed"), F.sum("c").alias("total"))
     own = sums.join(sizes, ["host", "path", "kind"]).withColumn(
         "own", F.when(F.col("m") > 1, 1 - F.col("weighed") / F.col("total") / F.log("m")).otherwise(1.0))
-    return own.groupBy("host", "path").agg(F.max("m").alias("pages"), F.max("own").alias("importance"))
+    return own.groupBy("host", "path").agg(F.max("m").alias("pages"), F.max("own").alias("importance"),
+                                           F.max(F.col("kind") == "weak").alias("weak"))
 
 
 def low_nodes(tree: DataFrame, min_pages: int = MIN_PAGES, low: float = LOW) -> DataFrame:
-    """host, cut: nodes of low importance on enough pages, those in article and main excepted (a branch
-    goes when all its nodes are among them)."""
+    """host, cut (nodes of low importance on enough pages, those in article and main excepted: a branch
+    goes when all its nodes are among them), spared (nodes marked by part of a name whose importance is not low)."""
     inner = F.col("path").rlike(r"(^|/)(article|main)(\.|/|$)")
-    poor = tree.filter(~inner & (F.col("pages") >= min_pages) & (F.col("importance") < low))
-    return poor.groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("cut"))
+    enough = F.col("pages") >= min_pages
+    poor = ~inner & enough & (F.col("importance") < low)
+    spared = F.col("weak") & enough & (F.col("importance") >= low)
+    return tree.filter(poor | spared).groupBy("host").agg(
+        F.sort_array(F.collect_set(F.when(poor, F.col("path")))).alias("cut"),
+        F.sort_array(F.collect_set(F.when(spared, F.col("path")))).alias("spared"))
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, low: float = LOW) -> DataFrame:
@@ -190,12 +228,12 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, low: float = LOW) -> D
     def run(batches):
         for b in slices(batches, "html"):
             texts = []
-            for page, gone in zip(b.column("html").to_pylist(), b.column("cut").to_pylist(), strict=True):
-                gone = set(gone or ())
+            for page, gone, spared in zip(*(b.column(c).to_pylist() for c in ("html", "cut", "spared")), strict=True):
+                gone, spared = set(gone or ()), set(spared or ())
                 texts.append(" ".join(t for p, t, noise in blocks(page or "")
-                                      if not noise and p not in gone))
+                                      if p not in gone and (not noise or noise == WEAK and p in spared)))
             yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string())],
                                              names=["page_id", "url", "text"])
 
     schema = own.select("page_id", "url").schema.add("text", "string")
-    return own.join(cut, "host", "left").select("page_id", "url", "html", "cut").mapInArrow(run, schema)
+    return own.join(cut, "host", "left").select("page_id", "url", "html", "cut", "spared").mapInArrow(run, schema)

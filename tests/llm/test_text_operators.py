@@ -129,6 +129,17 @@ def test_site_tree_cuts_repeated_branches(spark):
     assert site_tree.extract(pages.filter("false")).count() == 0
 
 
+def test_site_tree_keeps_text_in_wrappers_with_noise_words(spark):
+    story = lambda i: f"story {i} " + " ".join(f"w{i}x{k}" for k in range(40))
+    wraps = ["<div class='content has-sidebar'>%s</div>", "<div id='search-and-main'>%s</div>", "<form>%s</form>",
+             "<div class='sidebar'><main>%s</main></div>", "<div class='page-with-nav'><article>%s</article></div>"]
+    rows = [(100 * h + i, f"http://h{h}.example/{i}", "<body><div class='article-header'><h1>" + f"title {h} {i}</h1></div>"
+             + wrap % f"<p>{story(i)}</p>" + "<div class='ad'>buy now</div><div class='site-footer'>the same line</div>"
+             f"<form>search {i}</form></body>") for h, wrap in enumerate(wraps) for i in range(12)]
+    got = {r.page_id: r.text for r in site_tree.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {100 * h + i: f"title {h} {i} {story(i)}" for h in range(len(wraps)) for i in range(12)}
+
+
 @pytest.mark.parametrize("name", ["op1_chat_format", "op10_url_filter"])
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()

@@ -105,7 +105,7 @@ def blocks(page: str) -> list[tuple[str, str, int]]:
         part = page[at:m.start() if m else len(page)]
         parts.append(part)
         if not linked:
-            plain += len(_SPACE.sub("", part))
+            plain += len(part.strip())
         if m is None:
             break
         at = m.end()

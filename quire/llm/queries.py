@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe_codec, chat, ngram_join, nn_descent, packing, site_tree, suffix_dedup, topk, toxicity, url_filter
+from quire.llm import (bpe_codec, chat, ngram_join, nn_descent, packing, site_tree, suffix_dedup, token_counts, topk,
+                       toxicity, url_filter)
 from quire.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +115,11 @@ def op10(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge_urls(pages, url_filter.listed_urls(pages)).select(
         "page_id", "host", "path", "rule", "verdict")
+
+
+@register("op13_token_counts")
+def op13(spark, sf_dir):
+    """Bytes and tokens of every whole text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, tokenizer_path("piece_bpe_32k.model")).withColumn(
+        "over_limit", F.col("n_tokens") > 4096)

@@ -43,3 +43,49 @@ SELECT page_id, host, path, rule,
   coalesce(kind, CASE WHEN canon <> '' AND canon IN (SELECT canon FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
 FROM q LEFT JOIN fit USING (k)
 """
+
+
+def _crc_table() -> str:
+    """The 256 values of the reflected polynomial EDB88320 as an SQL list."""
+    out = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        out.append(f"{c}::UBIGINT")
+    return "[" + ", ".join(out) + "]"
+
+
+def crc32_sql(text: str) -> str:
+    """crc32 of a text's UTF-8 bytes; a CTE ``crc(tab)`` holds the table."""
+    codes = (f"list_transform(range(octet_length(encode({text}))::BIGINT), lambda i: "
+             f"('0x' || substr(hex(encode({text})), (2 * i + 1)::BIGINT, 2))::UBIGINT)")
+    return (f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {codes}), lambda h, x: "
+            "xor(h >> 8, crc.tab[(xor(h, x) & 255)::BIGINT + 1])), 4294967295::UBIGINT)")
+
+
+SQL["op12_spelling"] = f"""
+WITH RECURSIVE crc AS (SELECT {_crc_table()} AS tab),
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') || ':' AS id, translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+kinds AS (SELECT id || run AS key, run, count(*) AS k FROM runs WHERE length(run) >= 7 GROUP BY id, run),
+hashed AS (SELECT run, k, {crc32_sql("key")} AS h FROM kinds, crc),
+words AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2)
+         ELSE run END AS word, sum(k)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 7 AND sum(k) >= 2),
+cuts AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+         FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word AS a, b.word AS b FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT c.word, w.word FROM cuts c JOIN words w ON c.rest = w.word
+  UNION SELECT w.word, c.word FROM cuts c JOIN words w ON c.rest = w.word),
+best AS (SELECT a AS word, count(*) AS n_near, first(b ORDER BY n DESC, b) AS b, max(n) AS m
+         FROM near JOIN words ON words.word = near.b GROUP BY a),
+known AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * n THEN b END AS form,
+                 CASE WHEN m >= 10 * n THEN m END AS form_n FROM words LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS up FROM known
+          UNION ALL SELECT chain.word, known.form FROM chain JOIN known ON known.word = chain.up WHERE known.form IS NOT NULL)
+SELECT known.word, form, up AS root, n, n_near, form_n
+FROM known JOIN chain USING (word) WHERE up IN (SELECT word FROM known WHERE form IS NULL)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import (bpe_codec, chat, ngram_join, nn_descent, packing, site_tree, suffix_dedup, token_counts, topk,
+from quire.llm import (bpe_codec, chat, ngram_join, nn_descent, packing, site_tree, spelling, suffix_dedup, token_counts, topk,
                        toxicity, url_filter)
 from quire.llm.common import prepare, table
 
@@ -123,3 +123,9 @@ def op13(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs, tokenizer_path("piece_bpe_32k.model")).withColumn(
         "over_limit", F.col("n_tokens") > 4096)
+
+
+@register("op12_spelling")
+def op12(spark, sf_dir):
+    """Every word with its number of near words, its form and its root."""
+    return spelling.group_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -89,3 +89,34 @@ chain AS (SELECT word, word AS up FROM known
 SELECT known.word, form, up AS root, n, n_near, form_n
 FROM known JOIN chain USING (word) WHERE up IN (SELECT word FROM known WHERE form IS NULL)
 """
+
+
+SQL["op11_conversation_trie"] = f"""
+WITH crc AS (SELECT {_crc_table()} AS tab),
+given AS (
+  SELECT conv_id AS c, octet_length(encode(coalesce(text, ''))) AS bytes,
+         md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS x, turn
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, bytes, x, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, x) AS i FROM given),
+sizes AS (SELECT c, max(i) AS n, c::VARCHAR AS t FROM own GROUP BY c),
+hashed AS (SELECT c, n, c - c % 5 AS base, ({crc32_sql("t")} % 9)::BIGINT AS h FROM sizes, crc),
+convs AS (SELECT a.c, a.n, a.base, a.h, least(a.h, coalesce(b.n, 0)) AS k FROM hashed a LEFT JOIN sizes b ON b.c = a.base),
+turns AS (
+  SELECT v.c, i AS d, bytes, x FROM convs v JOIN own o ON o.c = v.base AND i <= v.k
+  UNION ALL SELECT v.c, k + i - h, bytes, x FROM convs v JOIN own o ON o.c = v.c AND i > v.h),
+paths AS (
+  SELECT c, 0 AS d, '' AS p, NULL AS up, 0 AS bytes FROM convs
+  UNION ALL SELECT c, d, p, coalesce(lag(p) OVER (PARTITION BY c ORDER BY d), ''), bytes
+  FROM (SELECT c, d, bytes, string_agg(x, '') OVER (PARTITION BY c ORDER BY d) AS p FROM turns)),
+nodes AS (SELECT d, p, any_value(up) AS up, any_value(bytes) AS bytes, count(*) AS n, min(c) AS m FROM paths GROUP BY d, p),
+kids AS (SELECT d - 1 AS d, up AS p, count(*) AS k FROM nodes WHERE d > 0 GROUP BY d, up),
+known AS (SELECT nodes.*, coalesce(k, 0) AS k FROM nodes LEFT JOIN kids USING (d, p)),
+sums AS (
+  SELECT q.d, q.p, count(*) FILTER (u.k = 0) AS leaves, sum((u.n - 1) * u.bytes)::BIGINT AS saved
+  FROM known u JOIN paths q ON q.c = u.m AND q.d <= u.d GROUP BY q.d, q.p),
+lasts AS (SELECT c, max(d) AS d FROM paths GROUP BY c),
+ends AS (SELECT d, p, string_agg(c::VARCHAR, ',' ORDER BY c) AS e FROM paths JOIN lasts USING (c, d) GROUP BY d, p)
+SELECT a.m AS conv_id, a.d::BIGINT AS depth, u.m AS parent_conv_id, a.n AS n_convs, a.k AS n_children, leaves AS n_leaves,
+       saved AS saved_tokens, sha256(coalesce(e, '')) AS ends_sha256
+FROM known a JOIN sums USING (d, p) LEFT JOIN ends USING (d, p) LEFT JOIN nodes u ON u.d = a.d - 1 AND u.p = a.up
+"""

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import (bpe_codec, chat, ngram_join, nn_descent, packing, site_tree, spelling, suffix_dedup, token_counts, topk,
-                       toxicity, url_filter)
+from quire.llm import (bpe_codec, chat, conversation_trie, ngram_join, nn_descent, packing, site_tree, spelling,
+                       suffix_dedup, token_counts, topk, toxicity, url_filter)
 from quire.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +129,9 @@ def op13(spark, sf_dir):
 def op12(spark, sf_dir):
     """Every word with its number of near words, its form and its root."""
     return spelling.group_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op11_conversation_trie")
+def op11(spark, sf_dir):
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return conversation_trie.build(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))

@@ -9,20 +9,20 @@ Physical shape (see README, "scale notes"):
 * the vocabulary count is a hash aggregate with map-side partial counts, so a
   hot token costs one row per map task, not one row per occurrence;
 * ranking uses the distributed dense index (no single-task window);
-* encode repartitions the *texts* by key once (smaller than shuffling one
-  tuple per token), explodes pre-tokens, looks ids up with a broadcast hash
-  join and regroups per key with no further exchange.  The broadcast side is
-  bounded by ``hot_size`` rows; a larger vocabulary splits into a broadcast
-  hot part and a shuffle-joined cold tail, where no key is hot by definition.
+* encode and decode look items up where the row is (``operators.lookup``): a broadcast dictionary
+  bounded in bytes, and a join of the distinct misses only.  No text is shuffled, and the plan is
+  the same for a vocabulary of any size.
 """
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.operators.indexing import with_global_index, write_table
+from quire.operators.lookup import lookup
 
 # Pre-token patterns.  PRETOKEN_PATTERN is the form accepted by
 # both Java regex and RE2; GPT2_PATTERN is the published byte-level GPT-2 rule
@@ -38,7 +38,10 @@ FIRST_ID = 2
 EOS_TOKEN = "<|endoftext|>"
 UNK_TOKEN = "<|unk|>"
 
+#: Entries of the broadcast part of a vocabulary (its bytes are bounded by ``lookup.DICT_BYTES``).
 HOT_VOCAB = 500_000
+#: Tokens of the trie that unknown pre-tokens are split by.
+PIECES = 50_000
 
 
 def pretoken_array(col: Column | str, pattern: str = PRETOKEN_PATTERN) -> Column:
@@ -81,71 +84,76 @@ def vocab_size_column(config_size: Column, tokenizer_size: Column) -> Column:
     return F.greatest(F.coalesce(config_size, F.lit(0)), tokenizer_size)
 
 
-def by_key(df: DataFrame, key_cols: list, value_col: str) -> DataFrame:
-    """Hash-partition rows by key with an explicit partition count, and tell rows apart that
-    repeat all columns but ``value_col`` by ``_row``, their number in order of ``value_col``.
+def encode(df: DataFrame, vocab: DataFrame, key_cols: list | None = None, text_col: str = "text",
+           out_col: str = "ids", pattern: str = PRETOKEN_PATTERN, hot_size: int = HOT_VOCAB,
+           fallback=None, max_tokens: int | None = None) -> DataFrame:
+    """Replace ``text_col`` by ``out_col`` = token ids in text order (unknown -> ``UNK_ID``); null and empty texts give no ids.
 
-    Rows that are equal in that column too may change numbers when a task is
-    run again: they are interchangeable.
-
-    An explicit count keeps adaptive execution from changing the number of
-    partitions under the hash partitioning that later operators rely on.
-    """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    repeats = Window.partitionBy(*[c for c in df.columns if c != value_col]).orderBy(value_col)
-    return df.repartition(n, *key_cols).withColumn("_row", F.row_number().over(repeats))
-
-
-def _regroup(exploded: DataFrame, group_cols: list, pos_col: str, val_col: str, out_col: str) -> DataFrame:
-    """Collect ``val_col`` back into one array per group in ``pos_col`` order.
-
-    Rows with a null value (empty input, skipped special ids) contribute
-    nothing, so a group with no value still yields an empty array.
-    """
-    item = F.when(F.col(val_col).isNotNull(),
-                  F.struct(F.col(pos_col).alias("p"), F.col(val_col).alias("v")))
-    pairs = F.array_sort(F.collect_list(item))
-    return exploded.groupBy(*group_cols).agg(F.transform(pairs, lambda x: x["v"]).alias(out_col))
-
-
-def encode(df: DataFrame, vocab: DataFrame, key_cols: list, text_col: str = "text",
-           out_col: str = "ids", pattern: str = PRETOKEN_PATTERN,
-           hot_size: int = HOT_VOCAB) -> DataFrame:
-    """Replace ``text_col`` by ``out_col`` = token ids in text order (unknown -> UNK_ID)."""
-    keep = [c for c in df.columns if c != text_col]
-    n_ids = vocab_size(vocab)
-    base = by_key(df, key_cols, text_col)
-    toks = base.select(*keep, "_row", F.posexplode_outer(pretoken_array(text_col, pattern)).alias("_pos", "_tok"))
-    hot = vocab.where(F.col("id") < hot_size + FIRST_ID).select(F.col("token").alias("_tok"), F.col("id").alias("_id"))
-    looked = toks.join(F.broadcast(hot), "_tok", "left")
-    if n_ids > hot_size + FIRST_ID:
-        # Large vocabulary: the cold tail is joined by shuffle.  The looked-up
-        # rows are written once to the shared checkpoint folder (so the
-        # pre-token regex does not run twice and a lost executor does not
-        # recompute them); the regroup then shuffles by key.
-        looked = write_table(looked, "encode-looked")
-        cold = vocab.where(F.col("id") >= hot_size + FIRST_ID).select(
-            F.col("token").alias("_tok"), F.col("id").alias("_cid"))
-        miss = F.col("_id").isNull() & F.col("_tok").isNotNull()
-        tail = (looked.where(miss).drop("_id").join(cold, "_tok", "left")
-                .withColumnRenamed("_cid", "_id"))
-        looked = looked.where(~miss).unionByName(tail)
-    ided = looked.withColumn(
-        "_id", F.when(F.col("_tok").isNotNull(), F.coalesce("_id", F.lit(UNK_ID))))
-    return _regroup(ided, [*keep, "_row"], "_pos", "_id", out_col).drop("_row")
-
-
-def decode(df: DataFrame, vocab: DataFrame, key_cols: list, ids_col: str = "ids",
+    ``max_tokens`` cuts the pre-tokens before any lookup.  ``fallback`` (see ``prefix_pieces``) splits unknown pre-tokens into
+    known ones.  ``key_cols`` is not needed any more: rows keep their own identity."""
+    from quire.sources.corpus import spread
+    toks = pretoken_array(text_col, pattern)
+    if max_tokens:
+        toks = F.slice(toks, 1, int(max_tokens))
+    base = spread(df).withColumn("_toks", toks).drop(text_col)
+    rank, ids = (F.col("id") - FIRST_ID).alias("rank"), "id"
+    if fallback is None:
+        return lookup(base, "_toks", vocab.select("token", "id", rank), "token", ids, "rank", out_col, UNK_ID, most=hot_size)
+    # an unknown pre-token becomes several ids, so every value is a list
+    table = vocab.select("token", F.array("id").alias("ids"), rank)
+    out = lookup(base, "_toks", table, "token", "ids", "rank", out_col, [UNK_ID], most=hot_size, fallback=fallback)
+    flat = F.flatten(out_col)
+    return out.withColumn(out_col, F.slice(flat, 1, int(max_tokens)) if max_tokens else flat)
+
+
+def prefix_pieces(vocab: DataFrame, size: int = PIECES):
+    """Fallback for unknown pre-tokens: greedy longest prefixes among the ``size`` most frequent tokens of ``vocab``.
+
+    From the left, the longest of these tokens that the rest begins with is taken; a character that none begins with is
+    ``UNK_ID``.  The tokens are a broadcast trie of at most ``size`` entries (a parameter that the result depends on);
+    each distinct unknown pre-token is split once."""
+    rows = vocab.where(F.col("id") < size + FIRST_ID).select("token", "id").collect()  # ``size`` at most
+    pieces = vocab.sparkSession.sparkContext.broadcast({r["token"]: r["id"] for r in rows if r["token"]})
+
+    def split(items: DataFrame) -> DataFrame:
+        def run(batches):
+            trie: dict = {}
+            for token, i in pieces.value.items():
+                node = trie
+                for ch in token:
+                    node = node.setdefault(ch, {})
+                node[""] = i
+            for b in batches:
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), pa.array([_greedy(trie, t) for t in b.column(0).to_pylist()], pa.list_(pa.int32()))],
+                    names=["item", "value"])
+
+        return items.mapInArrow(run, "item string, value array<int>")
+
+    return split
+
+
+def _greedy(trie: dict, text: str) -> list[int]:
+    out, at = [], 0
+    while at < len(text):
+        node, best, end, i = trie, UNK_ID, at + 1, at
+        while i < len(text) and text[i] in node:
+            node = node[text[i]]
+            i += 1
+            if "" in node:
+                best, end = node[""], i
+        out.append(best)
+        at = end
+    return out
+
+
+def decode(df: DataFrame, vocab: DataFrame, key_cols: list | None = None, ids_col: str = "ids",
            out_col: str = "text", hot_size: int = HOT_VOCAB) -> DataFrame:
-    """Ids back to text; special ids (end-of-text, unknown) are skipped."""
-    keep = [c for c in df.columns if c != ids_col]
-    base = by_key(df, key_cols, ids_col)
-    ex = (base.select(*keep, "_row", F.posexplode_outer(ids_col).alias("_pos", "_id"))
-          .withColumn("_id", F.when(F.col("_id") >= FIRST_ID, F.col("_id"))))
-    voc = vocab.select("id", F.col("token").alias("_tok"))
-    joined = lookup_ids(ex, voc, "_id", hot_size)
-    out = _regroup(joined, [*keep, "_row"], "_pos", "_tok", "_toks")
-    return out.withColumn(out_col, F.array_join("_toks", "")).drop("_toks", "_row")
+    """Ids back to text; special ids (end-of-text, unknown) and ids outside the vocabulary are skipped."""
+    base = df.withColumn("_own", F.filter(ids_col, lambda x: x >= FIRST_ID)).drop(ids_col)
+    table = vocab.select("token", "id", (F.col("id") - FIRST_ID).alias("rank"))
+    out = lookup(base, "_own", table, "id", "token", "rank", "_toks", None, most=hot_size)
+    return out.withColumn(out_col, F.array_join("_toks", "")).drop("_toks")
 
 
 def lookup_ids(df: DataFrame, table: DataFrame, id_col: str, hot_size: int = HOT_VOCAB) -> DataFrame:

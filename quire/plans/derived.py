@@ -80,3 +80,11 @@ def run_names(spark: SparkSession, sf: str) -> DataFrame:
 def logits(spark: SparkSession, sf: str) -> DataFrame:
     """One logits vector per row: the embedding vector, its label as the target id."""
     return table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("logits"), "label")
+
+
+def given_vocab(spark: SparkSession, sf: str) -> DataFrame:
+    """A vocabulary that was not fitted on the documents: that of the conversations' texts, stored and loaded again."""
+    from quire.session import scratch_path
+    path = scratch_path(spark, "given-vocab")
+    tokenize.save_vocab(tokenize.fit_vocab(table(spark, sf, "conversations").select("text"), "text"), path)
+    return tokenize.load_vocab(spark, path)

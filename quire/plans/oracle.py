@@ -178,7 +178,9 @@ SQL: dict[str, str] = {
         FROM ch c JOIN kept k USING (page_id)""",
     "chunks_per_url": f"""WITH {CRAWL}
         SELECT seq, url, (CASE WHEN reason IS NULL THEN n_ids // {L_PAGE} ELSE 0 END)::BIGINT AS n_chunks FROM judged""",
-    "crawl_rejects": f"WITH {CRAWL} SELECT seq, url, reason FROM judged WHERE reason IS NOT NULL",
+    "crawl_rejects": f"""WITH {CRAWL}
+        SELECT seq, url, CASE WHEN seq = min(seq) OVER (PARTITION BY url) THEN reason ELSE 'blocklisted' END AS reason
+        FROM judged WHERE reason IS NOT NULL""",
     "crawl_summary": f"""WITH {CRAWL},
         per AS (SELECT seq, (CASE WHEN reason IS NULL THEN n_ids // {L_PAGE} ELSE 0 END) AS n FROM judged)
         SELECT count_if(n > 0) AS successful, coalesce(sum(n), 0)::BIGINT AS chunks, count_if(n > 0) = 0 AS no_success FROM per""",
@@ -323,3 +325,109 @@ SQL["run_snapshots"] = f"""WITH {HISTORY},
     SELECT run, epoch, eval_loss, 'best' AS kind FROM kept WHERE eval_loss < best_before
     UNION ALL SELECT run, epoch, eval_loss, 'earlystop' AS kind FROM kept WHERE counter >= 3"""
 SQL["article_text_regex"] = SQL["article_text_kept"]
+
+
+def bpe_encode_sql(merges: int) -> str:
+    """A fit merge by merge as a recursion over word types (rows of ``w`` >= 0; row -r holds merge r), then the ids of every text.
+
+    Each symbol stands between chr(1) and chr(2), so one replacement merges a pair from left to right."""
+    from quire.operators.bpe import byte_chars
+    chars = "[" + ", ".join(_q(c) for c in byte_chars()) + "]"
+    start = ("list_aggregate(list_transform(range(octet_length(encode(token))::BIGINT), lambda i: chr(1) || "
+             f"ch.c[('0x' || substr(hex(encode(token)), (2 * i + 1)::BIGINT, 2))::INT + 1] || chr(2)), 'string_agg', '')")
+    return f"""WITH RECURSIVE ch AS (SELECT {chars} AS c), {DOCS},
+    l AS (SELECT doc_id, regexp_extract_all(text, {_q(PRETOKEN_RE2)}) AS l FROM docs),
+    tok AS (SELECT doc_id, unnest(generate_series(0, len(l) - 1)) AS pos, unnest(l) AS token FROM l),
+    types AS MATERIALIZED (SELECT row_number() OVER (ORDER BY token) AS w, token, n, {start} AS sym
+              FROM (SELECT token, count(*) AS n FROM tok GROUP BY token), ch),
+    fit(w, sym, n, a, b) USING KEY (w) AS (
+      SELECT w, sym, n, NULL::VARCHAR, NULL::VARCHAR FROM types
+      UNION ALL (
+        WITH s AS (SELECT n, string_split(sym[2:len(sym) - 1], chr(2) || chr(1)) AS l FROM recurring.fit WHERE w > 0),
+        pairs AS (SELECT n, unnest(l[1:len(l) - 1]) AS a, unnest(l[2:]) AS b FROM s WHERE len(l) > 1),
+        best AS (SELECT a AS x, b AS y FROM pairs GROUP BY a, b ORDER BY sum(n) DESC, a, b LIMIT 1),
+        made AS (SELECT -count(*) - 1 AS w FROM recurring.fit WHERE w < 0)
+        SELECT f.w, replace(f.sym, chr(1) || x || chr(2) || chr(1) || y || chr(2), chr(1) || x || y || chr(2)), f.n, NULL, NULL
+        FROM recurring.fit f, best, made
+        WHERE f.w > 0 AND made.w >= -{merges} AND contains(f.sym, chr(1) || x || chr(2) || chr(1) || y || chr(2))
+        UNION ALL SELECT made.w, NULL, NULL, x, y FROM best, made WHERE made.w >= -{merges})),
+    ids AS (SELECT a || b AS s, 256 - w AS id FROM fit WHERE w < 0
+            UNION ALL SELECT unnest(c), unnest(range(1, 257)) FROM ch),
+    parts AS (SELECT w, unnest(generate_series(0, len(l) - 1)) AS i, unnest(l) AS s
+              FROM (SELECT w, string_split(sym[2:len(sym) - 1], chr(2) || chr(1)) AS l FROM fit WHERE w > 0)),
+    coded AS (SELECT token, string_agg(id::VARCHAR, ' ' ORDER BY i) AS ids, count(*) AS k
+              FROM parts JOIN ids USING (s) JOIN types USING (w) GROUP BY token)
+    SELECT doc_id, coalesce(sum(k), 0)::BIGINT AS n_ids, coalesce(string_agg(ids, ' ' ORDER BY pos), '') AS ids
+    FROM docs LEFT JOIN tok USING (doc_id) LEFT JOIN coded USING (token) GROUP BY doc_id"""
+
+
+#: As many as the query makes.
+SQL["bpe_encode"] = bpe_encode_sql(512)
+
+# a vocabulary of the conversations, unknown id 1
+GIVEN = f"""convs AS (SELECT conv_id, turn, text FROM conversations),
+c_tok AS (SELECT unnest(regexp_extract_all(text, {_q(PRETOKEN_RE2)})) AS token FROM convs),
+c_vocab AS (SELECT token, (row_number() OVER (ORDER BY cnt DESC, token ASC) + 1)::INTEGER AS id, cnt AS count
+            FROM (SELECT token, count(*) AS cnt FROM c_tok GROUP BY token)),
+{DOCS},
+g_l AS (SELECT doc_id, regexp_extract_all(text, {_q(PRETOKEN_RE2)}) AS l FROM docs),
+g_tok AS (SELECT doc_id, unnest(generate_series(0, len(l) - 1)) AS pos, unnest(l) AS token FROM g_l),
+g_ids AS (SELECT doc_id, pos, t.token, v.token AS known, coalesce(v.id, 1) AS id FROM g_tok t LEFT JOIN c_vocab v USING (token))"""
+
+SQL["given_vocab_ids"] = f"""WITH {GIVEN}
+    SELECT doc_id, count(id)::BIGINT AS n_ids, (count(*) FILTER (id = 1))::BIGINT AS n_unknown,
+           coalesce(string_agg(id::VARCHAR, ' ' ORDER BY pos), '') AS ids, coalesce(string_agg(known, '' ORDER BY pos), '') AS decoded
+    FROM docs LEFT JOIN g_ids USING (doc_id) GROUP BY doc_id"""
+
+SQL["given_vocab_pieces"] = f"""WITH RECURSIVE {GIVEN},
+    pieces AS MATERIALIZED (SELECT token, id FROM c_vocab WHERE id < 50002),
+    longest AS (SELECT max(length(token)) AS m FROM pieces),
+    cut(token, k, f, id) AS (
+      SELECT token, 0, 1, NULL::INTEGER FROM (SELECT DISTINCT token FROM g_ids WHERE known IS NULL)
+      UNION ALL
+      SELECT token, k + 1, f + greatest(coalesce(max(l) FILTER (pid IS NOT NULL), 1), 1), coalesce(arg_max(pid, l) FILTER (pid IS NOT NULL), 1)
+      FROM (SELECT c.token, c.k, c.f, length(p.token) AS l, p.id AS pid FROM
+              (SELECT cut.token, cut.k, cut.f, unnest(generate_series(1, least(m, length(cut.token) - cut.f + 1))) AS n
+               FROM cut, longest WHERE cut.f <= length(cut.token)) c
+            LEFT JOIN pieces p ON p.token = substr(c.token, c.f, c.n))
+      GROUP BY token, k, f),
+    own AS (SELECT token, string_agg(id::VARCHAR, ' ' ORDER BY k) AS ids, count(*) AS n, count(*) FILTER (id = 1) AS u
+            FROM cut WHERE k > 0 GROUP BY token)
+    SELECT doc_id, coalesce(sum(CASE WHEN known IS NULL THEN n ELSE 1 END) FILTER (g_ids.id IS NOT NULL), 0)::BIGINT AS n_ids,
+           coalesce(sum(u) FILTER (known IS NULL), 0)::BIGINT AS n_unknown,
+           coalesce(string_agg(CASE WHEN known IS NULL THEN own.ids ELSE g_ids.id::VARCHAR END, ' ' ORDER BY pos), '') AS ids
+    FROM docs LEFT JOIN g_ids USING (doc_id) LEFT JOIN own ON own.token = g_ids.token GROUP BY doc_id"""
+
+SQL["padded_loss"] = f"""WITH {GIVEN},
+    total AS (SELECT sum(count + 1) + 2 AS t FROM c_vocab),
+    lab AS (SELECT doc_id, g_ids.id, coalesce(v.count, 0) AS c FROM g_ids LEFT JOIN c_vocab v ON v.token = g_ids.known
+            WHERE pos BETWEEN 1 AND 255)
+    SELECT doc_id, round(avg(-ln((c + 1) / t)), 6) AS loss, count(c)::BIGINT AS n_tokens
+    FROM docs LEFT JOIN lab USING (doc_id) CROSS JOIN total GROUP BY doc_id"""
+
+
+def epoch_batches_sql(rounds: int = 4) -> str:
+    """The permutation round by round; places from n on go through it again."""
+    half = lambda r, c: (f"('0x' || substring(md5('{SEED}:' || epoch || ':{r}:' || {c}), 1, 15))::BIGINT")
+    state, ctes = "s0", []
+    for r in range(rounds):
+        new = (f"(l + {half(r, 'r')}) % a AS l, r" if r % 2 == 0 else f"l, (r + {half(r, 'l')}) % b AS r")
+        ctes.append(f"s{r + 1} AS (SELECT i, epoch, a, b, n, {new} FROM s{r})")
+    return f"""WITH RECURSIVE {DOC_TOK},
+    size AS (SELECT n, (floor(sqrt(n - 1)) + 1)::BIGINT AS a FROM (SELECT count(*) AS n FROM docs)),
+    walk(i, epoch, x, a, b, n) AS (
+      SELECT i, epoch, NULL::BIGINT, a, ((n + a - 1) // a)::BIGINT, n
+      FROM (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS i FROM docs), (SELECT unnest([1, 2]) AS epoch), size
+      UNION ALL (
+        WITH s0 AS (SELECT i, epoch, a, b, n, coalesce(x, i) % a AS l, coalesce(x, i) // a AS r FROM walk WHERE x IS NULL OR x >= n),
+        {", ".join(ctes)}
+        SELECT i, epoch, r * a + l, a, b, n FROM s{rounds})),
+    place AS (SELECT doc_id, epoch, x // 32 AS batch_id, x % 32 AS pos FROM walk
+              JOIN (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM docs) USING (i) WHERE x < n),
+    rows_ AS (SELECT doc_id, {_ids_text(_pad('ids', 64))} AS ids, least(len(ids), 64) AS n_real FROM d_enc)
+    SELECT epoch::INTEGER AS epoch, batch_id::BIGINT AS batch_id, count(*)::BIGINT AS n_rows,
+           string_agg(doc_id::VARCHAR, ' ' ORDER BY pos) AS doc_ids, md5(string_agg(ids, ' ' ORDER BY pos)) AS ids_md5,
+           sum(n_real)::BIGINT AS n_real FROM place JOIN rows_ USING (doc_id) GROUP BY epoch, batch_id"""
+
+
+SQL["epoch_batches"] = epoch_batches_sql()

@@ -95,44 +95,38 @@ def q_page_chunks(spark, sf):
                      F.size("attention_mask").cast("int").alias("mask_len"))
 
 
+def _crawled(spark, sf):
+    """(URL list, chunks, rejects) of a full pass; the stored pages are parsed once, for the vocabulary and the pass."""
+    urls = D.url_list(spark, sf)
+    stored = crawl.clean_stored(table(spark, sf, "pages"))
+    vocab = tokenize.fit_vocab(stored.where(F.col("reject_reason").isNull()), "text")
+    return urls, *crawl.crawl_pass(urls, stored, vocab, D.L_PAGE)
+
+
 @register("chunks_per_url")
 def q_chunks_per_url(spark, sf):
     """A5: chunks per URL of the crawl list (0 when rejected), full crawl pass."""
-    urls = D.url_list(spark, sf)
-    pages = table(spark, sf, "pages")
-    kept = D.kept_pages(spark, sf)
-    vocab = tokenize.fit_vocab(kept, "text")
-    chunks, _ = crawl.crawl_pass(urls, pages, vocab, D.L_PAGE)
+    urls, chunks, _ = _crawled(spark, sf)
     return crawl.report(chunks, urls)
 
 
 @register("crawl_rejects")
 def q_crawl_rejects(spark, sf):
-    """Rejected URLs with the reason (fetch failed, short text, few tokens)."""
-    urls = D.url_list(spark, sf)
-    pages = table(spark, sf, "pages")
-    vocab = tokenize.fit_vocab(D.kept_pages(spark, sf), "text")
-    _, rejects = crawl.crawl_pass(urls, pages, vocab, D.L_PAGE)
-    return rejects
+    """Rejected URLs with the reason (fetch failed, short text, few tokens; blocklisted after the first failure)."""
+    return _crawled(spark, sf)[2]
 
 
 @register("crawl_summary")
 def q_crawl_summary(spark, sf):
     """A5: successful URLs, chunk total and the zero-success flag of one pass."""
-    urls = D.url_list(spark, sf)
-    pages = table(spark, sf, "pages")
-    vocab = tokenize.fit_vocab(D.kept_pages(spark, sf), "text")
-    chunks, _ = crawl.crawl_pass(urls, pages, vocab, D.L_PAGE)
+    urls, chunks, _ = _crawled(spark, sf)
     return crawl.summary(crawl.report(chunks, urls))
 
 
 @register("skip_blocklist")
 def q_skip_blocklist(spark, sf):
     """Second pass skips URLs blocklisted by the first; returns the URLs still crawled."""
-    urls = D.url_list(spark, sf)
-    pages = table(spark, sf, "pages")
-    vocab = tokenize.fit_vocab(D.kept_pages(spark, sf), "text")
-    _, rejects = crawl.crawl_pass(urls, pages, vocab, D.L_PAGE)
+    urls, _, rejects = _crawled(spark, sf)
     block = crawl.blocklist_from(rejects)
     return crawl.skip_blocklist(urls, block).select("seq", "url")
 
@@ -195,6 +189,42 @@ def q_decode_roundtrip(spark, sf):
                                           (F.col("decoded") == F.col("text")).alias("same"))
 
 
+@register("given_vocab_ids")
+def q_given_vocab_ids(spark, sf):
+    """Documents under a stored vocabulary of other texts: unknown ids, and a decode that drops them."""
+    vocab = D.given_vocab(spark, sf)
+    enc = tokenize.encode(D.documents(spark, sf), vocab, text_col="text", out_col="ids").withColumn("own", F.col("ids"))
+    dec = tokenize.decode(enc, vocab, ids_col="own", out_col="decoded")
+    return dec.select("doc_id", F.size("ids").cast("long").alias("n_ids"),
+                      F.size(F.filter("ids", lambda x: x == tokenize.UNK_ID)).cast("long").alias("n_unknown"),
+                      A.ids_text("ids").alias("ids"), "decoded")
+
+
+@register("given_vocab_pieces")
+def q_given_vocab_pieces(spark, sf):
+    """Unknown pre-tokens split into the longest tokens of the stored vocabulary that they begin with."""
+    vocab = D.given_vocab(spark, sf)
+    enc = tokenize.encode(D.documents(spark, sf), vocab, text_col="text", out_col="ids", fallback=tokenize.prefix_pieces(vocab))
+    return enc.select("doc_id", F.size("ids").cast("long").alias("n_ids"),
+                      F.size(F.filter("ids", lambda x: x == tokenize.UNK_ID)).cast("long").alias("n_unknown"),
+                      A.ids_text("ids").alias("ids"))
+
+
+@register("padded_loss")
+def q_padded_loss(spark, sf):
+    """Loss of padded rows under a stored vocabulary, labels that are padding left out (add-one corpus frequencies)."""
+    vocab = D.given_vocab(spark, sf)
+    enc = tokenize.encode(D.documents(spark, sf), vocab, text_col="text", out_col="ids", max_tokens=256)
+    toks = chunking.shift(chunking.pad(enc, 256, "ids")).select("doc_id", F.explode("labels").alias("label"))
+    total = vocab.agg(F.sum(F.col("count") + 1)).first()[0] or 0
+    # unknown and padding are ids of their own, with a count of nothing
+    counts = vocab.select("id", "count").unionByName(
+        spark.createDataFrame([(tokenize.PAD_ID, 0), (tokenize.UNK_ID, 0)], "id int, count long"))
+    per_id = counts.select("id", (-F.log((F.col("count") + 1) / F.lit(float(total + 2)))).alias("nll"))
+    b = metrics.batch_loss(tokenize.lookup_ids(toks, per_id, "label"), ["doc_id"], "nll", "label")
+    return b.select("doc_id", _r6("loss").alias("loss"), F.col("n_tokens").cast("long"))
+
+
 @register("padded_rows")
 def q_padded_rows(spark, sf):
     """Ids truncated / right-padded with eos to 64, real-token mask."""
@@ -269,6 +299,20 @@ def q_batches(spark, sf):
                        F.size("rows").cast("long").alias("n_rows"))
 
 
+@register("epoch_batches")
+def q_epoch_batches(spark, sf):
+    """Batches of token rows (ids and masks) over two epochs, each in its own order without a sort."""
+    rows = chunking.pad(D.encoded_docs(spark, sf), 64, "ids")
+    b = batching.epochs(rows, ["doc_id"], 2, D.BATCH_SIZE, D.SEED)
+    out = batching.collect(b, ["doc_id", "input_ids", "attention_mask"], ["epoch", "batch_id"])
+    joined = lambda c, of: F.array_join(F.transform("rows", lambda r: of(r[c])), " ")
+    return out.select("epoch", "batch_id", F.size("rows").cast("long").alias("n_rows"),
+                      joined("doc_id", lambda x: x.cast("string")).alias("doc_ids"),
+                      F.md5(joined("input_ids", A.ids_text)).alias("ids_md5"),
+                      F.aggregate("rows", F.lit(0).cast("long"), lambda n, r: n + F.aggregate(
+                          r["attention_mask"], F.lit(0).cast("long"), lambda k, m: k + m)).alias("n_real"))
+
+
 @register("batch_sizes")
 def q_batch_sizes(spark, sf):
     return batching.batch_sizes(_batched(spark, sf))
@@ -495,7 +539,8 @@ def q_stream_padded_rows(spark, sf):
 
 # --------------------------------------------------------------------------- byte-level BPE
 
-BPE_MERGES = 32
+#: Merges of the query's vocabulary (a parameter of ``fit_bpe``, which has no bound of its own).
+BPE_MERGES = 512
 
 
 @register("bpe_encode")
@@ -503,6 +548,6 @@ def q_bpe_encode(spark, sf):
     """P6 mode b: byte-level BPE merges fitted on the documents, then every document encoded."""
     from quire.operators import bpe
     docs = D.documents(spark, sf)
-    merges = bpe.fit_bpe(docs, "text", BPE_MERGES)
-    enc = bpe.bpe_encode(docs, merges, ["doc_id"], "text", "ids")
+    merges = bpe.fit_bpe(docs, "text", BPE_MERGES, tokenize.PRETOKEN_PATTERN)
+    enc = bpe.bpe_encode(docs, merges, ["doc_id"], "text", "ids", tokenize.PRETOKEN_PATTERN)
     return enc.select("doc_id", F.size("ids").cast("long").alias("n_ids"), A.ids_text("ids").alias("ids"))

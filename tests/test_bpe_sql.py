@@ -1,7 +1,7 @@
+import random
 from collections import Counter
 
 import regex
-from pyspark.sql import functions as F
 
 from quire.functions.sql import register_sql_functions
 from quire.operators import bpe
@@ -59,18 +59,50 @@ def test_chunk_ids_udtf(spark):
     assert [(r.chunk_idx, r.start, r.input_ids) for r in out] == [(0, 0, [1, 2, 3]), (1, 3, [4, 5, 6])]
 
 
-def test_merge_blocks_equal_single_pass(spark):
-    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").orderBy("doc_id").limit(5)
-    merges = bpe.fit_bpe(docs, "text", 7, cut_every=4)
-    types = docs.select(F.explode(F.split("text", " ")).alias("w")).distinct()
-    one = {r.w: r._sym for r in bpe.merged_types(types, "w", merges, block=100).collect()}
-    many = {r.w: r._sym for r in bpe.merged_types(types, "w", merges, block=2).collect()}
-    assert one == many
+def test_many_merges_and_ties_equal_sequential_reference(spark, monkeypatch):
+    """Few letters, runs of one letter and many equal counts: rounds of several merges keep the order of a fit merge by merge."""
+    rnd = random.Random(2)
+    texts = [" ".join("".join(rnd.choice("aab c") for _ in range(rnd.randint(1, 12))) for _ in range(30)) for _ in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts + ["é" * 9, "aaaaaaa aaaa", ""])), "doc_id long, text string")
+    texts = [r.text for r in docs.collect()]
+    ref, ref_enc = _reference(texts, 40)
+    for candidates, cut in ((4096, 3), (5, 16)):
+        monkeypatch.setattr(bpe, "CANDIDATES", candidates)
+        assert bpe.fit_bpe(docs, "text", 40, cut_every=cut) == ref
+    got = {r.doc_id: r.ids for r in bpe.bpe_encode(docs, ref, hot_size=3).collect()}
+    assert [got[i] for i in range(len(texts))] == ref_enc
 
 
-def test_symbol_join_path_equals_literal_path(spark):
-    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").orderBy("doc_id").limit(5)
-    merges = bpe.fit_bpe(docs, "text", 5)
-    a = {r.doc_id: r.ids for r in bpe.bpe_encode(docs, merges, ["doc_id"]).collect()}
-    b = {r.doc_id: r.ids for r in bpe.bpe_encode(docs, merges, ["doc_id"], literal_limit=0).collect()}
-    assert a == b
+def test_next_merges_are_the_sequential_ones():
+    """Every run that ``next_merges`` gives, at any cut of the candidate list, against one merge at a time."""
+    rnd = random.Random(7)
+    for _ in range(60):
+        words = [(["a", "b", "c", "d"][:rnd.randint(2, 4)], rnd.randint(1, 3)) for _ in range(8)]
+        words = [([rnd.choice(letters) for _ in range(rnd.randint(2, 7))], n) for letters, n in words]
+        for keep in (2, 4, 100):
+            state = [(list(s), n) for s, n in words]
+            pairs = _pair_counts(state)
+            run = bpe.next_merges([(n, *p) for p, n in pairs][:keep], 0 if len(pairs) <= keep else pairs[keep][1])
+            for p in run:
+                assert _pair_counts(state)[0][0] == p
+                state = [(_merged(s, p), n) for s, n in state]
+
+
+def _pair_counts(state):
+    pc = Counter()
+    for s, n in state:
+        for p in zip(s, s[1:]):
+            pc[p] += n
+    return sorted(pc.items(), key=lambda kv: (-kv[1], kv[0]))
+
+
+def _merged(s, p):
+    o, i = [], 0
+    while i < len(s):
+        if tuple(s[i:i + 2]) == p:
+            o.append(s[i] + s[i + 1])
+            i += 2
+        else:
+            o.append(s[i])
+            i += 1
+    return o

@@ -16,7 +16,7 @@ from quire.llm.common import binary_array, ragged, text_buffer
 from quire.llm.merges import MergeTable, merge_all
 
 #: Text bytes encoded at once.
-ENCODE_BYTES = 8 << 20
+ENCODE_BYTES = 1 << 20
 
 
 def chunk_bounds(data: np.ndarray, off: np.ndarray) -> np.ndarray:

@@ -87,6 +87,7 @@ _POW: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hash's base and of its inverse; a worker keeps a table for ``HASH_BYTES`` at most (4 MB)."""
     if n <= len(_POW[0]):
         return _POW[0][:n], _POW[1][:n]
     out = []
@@ -94,7 +95,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
         p = np.full(n, base, np.uint64)
         p[0] = 1
         out.append(np.multiply.accumulate(p))
-    if n <= 2 * SLICE_BYTES:
+    if n <= HASH_BYTES + 1:
         _POW[:] = out
     return out[0], out[1]
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from quire.llm.common import lower_ascii, slices, span_hashes, spans, text_buffer
+from quire.llm.common import lower_ascii, slices, span_hashes, spans, text_buffer, word_hashes
 from quire.operators.indexing import write_table
 
 FIT_ROWS, STEMS, MIN_Z, MIN_ODDS = 20_000, 2_000, 3.0, 1.5
@@ -95,7 +95,7 @@ def stem_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, words: np.
     yield np.arange(len(starts)), words
     for k in PREFIXES:
         at = np.flatnonzero(ends - starts > k)
-        yield at, span_hashes(data, starts[at], starts[at] + k) ^ np.uint64(k)
+        yield at, word_hashes(data, starts[at], starts[at] + k) ^ np.uint64(k)
 
 
 def features(data: np.ndarray, off: np.ndarray, fixed: Lookup, person: Lookup, stems: Lookup) -> np.ndarray:
@@ -104,7 +104,7 @@ def features(data: np.ndarray, off: np.ndarray, fixed: Lookup, person: Lookup, s
     out = np.zeros((n, len(FEATURES)))
     low = lower_ascii(data)
     starts, ends, doc = spans(_INSIDE[low], off)
-    words = span_hashes(low, starts, ends)
+    words = word_hashes(low, starts, ends)
     count = lambda which, w=None: np.bincount(which, w, minlength=n)[:n]
     sums = lambda flags: np.append(0, np.cumsum(flags))[off[1:]] - np.append(0, np.cumsum(flags))[off[:-1]]
     total = np.maximum(count(doc), 1)
@@ -142,7 +142,7 @@ def features(data: np.ndarray, off: np.ndarray, fixed: Lookup, person: Lookup, s
     mixed = (swapped[e2] > swapped[s2]) & (letter[e2] > letter[s2])
     out[:, 13] = 100 * count(d2, mixed) / total
     at = np.flatnonzero(mixed)
-    read = span_hashes(_LOOK[low], s2[at], e2[at])
+    read = word_hashes(_LOOK[low], s2[at], e2[at])
     out[:, 14] = np.log1p(count(d2[at], (fixed(read) > 0) | (stems(read) > 0)))
     out[:, 15] = 100 * count(doc, ends - starts == 1) / total
     out[:, 16] = np.log1p(count(doc))
@@ -173,7 +173,7 @@ def learn_stems(rows: DataFrame, most: int = STEMS) -> tuple[list, list]:
             data, off = text_buffer(b.column("text"))
             low = lower_ascii(data)
             starts, ends, doc = spans(_INSIDE[low], off)
-            words = span_hashes(low, starts, ends)
+            words = word_hashes(low, starts, ends)
             found = [(keys, doc[at]) for at, keys in stem_keys(low, starts, ends, words)]
             keys, where = (np.concatenate(x) for x in zip(*found, strict=True))
             if not len(keys):

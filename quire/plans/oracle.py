@@ -431,3 +431,20 @@ def epoch_batches_sql(rounds: int = 4) -> str:
 
 
 SQL["epoch_batches"] = epoch_batches_sql()
+
+_STREAM = f"""{KEPT}, {_tok_ctes('kept', 'page_id', 'k').strip()},
+    firsts AS (SELECT url, min(page_id) AS page_id FROM pages GROUP BY url),
+    verdict AS (SELECT f.url, f.page_id AS first, coalesce(len(e.ids), 0) AS n,
+                       CASE WHEN length(a.text) <= 200 THEN 'short_text' WHEN coalesce(len(e.ids), 0) < {L_PAGE} THEN 'few_tokens' END AS reason
+                FROM firsts f JOIN art a USING (page_id) LEFT JOIN k_enc e USING (page_id))"""
+
+SQL["stream_recrawl"] = f"""WITH {_STREAM}
+    SELECT page_id, url, CASE WHEN page_id = first THEN reason ELSE 'blocklisted' END AS reason
+    FROM pages JOIN verdict USING (url) WHERE reason IS NOT NULL
+    UNION ALL SELECT -page_id - 1, url, 'blocklisted' FROM pages JOIN verdict USING (url) WHERE reason IS NOT NULL"""
+
+SQL["stream_metric_log"] = f"""WITH {_STREAM},
+    r AS (SELECT reason, n FROM pages JOIN verdict USING (url))
+    SELECT 'n_chunks' AS tag, coalesce(sum(n // {L_PAGE}) FILTER (reason IS NULL), 0)::BIGINT AS value FROM r
+    UNION ALL SELECT 'n_pages', count(*) FILTER (reason IS NULL) FROM r
+    UNION ALL SELECT 'n_rejects', count(*) FILTER (reason IS NOT NULL) FROM r"""

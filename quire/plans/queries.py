@@ -526,6 +526,29 @@ def q_stream_rejects(spark, sf):
     return spark.read.parquet(paths["rejects"]).select(F.col("seq").alias("page_id"), "url", "reason")
 
 
+@register("stream_recrawl")
+def q_stream_recrawl(spark, sf):
+    """The pages arrive, and again after a restart of the stream; failed URLs of the first time are blocklisted by keyed state."""
+    from quire.session import scratch_path
+    from quire.streaming.jobs import run_page_chunks
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    src, out = scratch_path(spark, "page-files"), scratch_path(spark, "recrawl")
+    vocab = tokenize.fit_vocab(D.kept_pages(spark, sf), "text")
+    for part in (pages, pages.withColumn("page_id", -F.col("page_id") - 1)):
+        part.write.mode("append").parquet(src)
+        paths = run_page_chunks(spark, src, vocab, D.L_PAGE, out=out)
+    return spark.read.parquet(paths["rejects"]).select(F.col("seq").alias("page_id"), "url", "reason")
+
+
+@register("stream_metric_log")
+def q_stream_metric_log(spark, sf):
+    """Metrics observed while the batches of a page stream are written, as (tag, value) summed over the steps."""
+    from quire.streaming.jobs import run_page_chunks
+    vocab = tokenize.fit_vocab(D.kept_pages(spark, sf), "text")
+    paths = run_page_chunks(spark, sf, vocab, D.L_PAGE, files="pages.parquet", max_files_per_trigger=1)
+    return spark.read.parquet(paths["log"]).groupBy("tag").agg(F.sum("value").cast("long").alias("value"))
+
+
 @register("stream_padded_rows")
 def q_stream_padded_rows(spark, sf):
     """Documents as a record stream -> padded rows; equals padded_rows."""

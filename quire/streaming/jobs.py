@@ -4,18 +4,19 @@ Pages or records arrive as files; each micro-batch is processed with the same
 batch operators inside ``foreachBatch`` (encode regroups rows, which a plain
 streaming plan could only do with a watermark).  Sinks are Parquet folders
 partitioned by ``batch_id``; a batch re-run after a failure overwrites its own
-partition, so the output is exactly-once.  The failed-URL set (T3) is a table
-next to the sink: a batch reads the entries of earlier batches, skips those
-URLs before any expensive step, and adds its own rejects.
+partition, so the output is exactly-once.  The failed-URL set (T3) is keyed state in the state
+store: a URL's state says whether it has failed in an earlier batch, and is recovered with the stream.
+Metrics of a batch are observed while it is written, not read back from the sink.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 from quire.operators import chunking, crawl, tokenize
+from quire.operators.indexing import write_table
 from quire.operators.tokenize import PAD_ID
 from quire.session import scratch_path
 
@@ -29,13 +30,54 @@ def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
        .partitionBy("batch_id").parquet(path))
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)  # nothing written yet
+def observed(df: DataFrame, metrics: dict, write) -> dict:
+    """Runs ``write(df)`` and returns the ``metrics`` (name -> aggregate) of the rows that went through."""
+    seen = Observation()
+    write(df.observe(seen, *(c.alias(k) for k, c in metrics.items())))
+    return {k: seen.get[k] for k in metrics}
+
+
+def write_metrics(spark: SparkSession, path: str, run: str, step: int, values: dict) -> None:
+    """Metric log rows (run, tag, step, value) of one batch; the same batch written again replaces them."""
+    rows = [(run, k, step, float(v or 0)) for k, v in values.items()]
+    _write_batch(spark.createDataFrame(rows, "run string, tag string, step long, value double"), path, step)
+
+
+class FailedUrls(StatefulProcessor):
+    """Keyed state of a URL: the reason of its first failure.  Rows pass through with ``known``: failed in an earlier batch.
+
+    Of the rows of one batch the page of smallest id speaks for the URL.  Rows are not gathered."""
+
+    def init(self, handle) -> None:
+        self.failed = handle.getValueState("failed", "reason string")
+
+    def handleInputRows(self, key, rows, timerValues):
+        known, first, why = self.failed.exists(), None, None
+        for pdf in rows:
+            if len(pdf):
+                at = pdf["page_id"].idxmin()
+                if first is None or pdf.at[at, "page_id"] < first:
+                    first, why = pdf.at[at, "page_id"], pdf.at[at, "why"]
+            yield pdf.assign(known=known)
+        if not known and isinstance(why, str):
+            self.failed.update((why,))
+
+    def close(self) -> None:
+        pass
+
+
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+def judged_pages(pages: DataFrame, L: int) -> DataFrame:
+    """A page stream as page_id, url, text, why (it fails by itself), known (its URL failed in an earlier batch).
+
+    Pages without a URL or an id are left out: nothing could name them."""
+    ids = F.size(tokenize.pretoken_array("text"))  # a pre-token is an id
+    rows = crawl.clean_pages(pages.where("url IS NOT NULL AND page_id IS NOT NULL")).select(
+        "page_id", "url", "text", F.coalesce("reject_reason", F.when(ids < L, F.lit(crawl.REASON_FEW_TOKENS))).alias("why"))
+    return rows.groupBy("url").transformWithStateInPandas(
+        FailedUrls(), "page_id bigint, url string, text string, why string, known boolean", "Append", "None")
 
 
 def file_stream(spark: SparkSession, source: str, schema: str, files: str | None = None,
@@ -61,33 +103,40 @@ def run_page_chunks(spark: SparkSession, source: str, vocab: DataFrame, L: int =
                     max_files_per_trigger: int | None = None,
                     max_docs: int | None = None) -> dict:
     """Stream pages -> article text -> ids -> windows, with blocklist,
-    rejects and a per-batch metric log.  Runs to completion (``availableNow``).
+    rejects and a metric log.  Runs to completion (``availableNow``).
 
-    Returns the folder names: chunks, rejects (= blocklist), metrics.
+    The stream is one pass: a URL that has failed, in this batch or an earlier one, is ``blocklisted`` when it comes again.
+    Returns the folder names: chunks, rejects, metrics (counts of each batch), log (run, tag, step, value).
     """
     base = out or scratch_path(spark, "page-chunks")
-    paths = {k: f"{base}/{k}" for k in ("chunks", "rejects", "metrics")}
+    paths = {k: f"{base}/{k}" for k in ("chunks", "rejects", "metrics", "log")}
     vocab = vocab.persist()
 
     def each(batch: DataFrame, batch_id: int):
         sp = batch.sparkSession
-        pages = batch.select("page_id", "url", "html")
-        urls = pages.select(F.col("page_id").alias("seq"), "url")
-        known = _read_or_empty(sp, paths["rejects"], "seq long, url string, reason string, batch_id long")
-        block = known.where(F.col("batch_id") < batch_id).select("url", "reason")
-        chunks, rejects = crawl.crawl_pass(urls, pages, vocab, L, block)
-        chunks = chunks.select("page_id", "url", "chunk_idx", "start", "input_ids", "attention_mask")
-        _write_batch(chunks, paths["chunks"], batch_id)
-        _write_batch(rejects, paths["rejects"], batch_id)
-        # a batch whose pages are all rejected has written no chunk file
-        done = _read_or_empty(sp, paths["chunks"], "page_id long, batch_id long").where(F.col("batch_id") == batch_id)
-        metric = done.agg(F.count(F.lit(1)).alias("n_chunks"),
-                          F.countDistinct("page_id").alias("n_pages"))
-        _write_batch(metric, paths["metrics"], batch_id)
-
-    q = (page_stream(spark, source, files, max_files_per_trigger, max_docs).writeStream
-         .foreachBatch(each).option("checkpointLocation", f"{base}/_checkpoint")
-         .trigger(availableNow=True).start())
+        # one action on the stateful plan: everything below reads the written rows
+        rows = write_table(batch, "stream-batch")
+        fresh = rows.where("NOT known")
+        pages = fresh.select("page_id", "url", "text", F.when(F.col("why") != crawl.REASON_FEW_TOKENS, F.col("why")).alias("reject_reason"))
+        chunks, rejects = crawl.crawl_pass(fresh.select(F.col("page_id").alias("seq"), "url"), pages, vocab, L)
+        rejects = rejects.unionByName(rows.where("known").select(
+            F.col("page_id").alias("seq"), "url", F.lit(crawl.REASON_BLOCKED).alias("reason")))
+        chunks = chunks.select(F.col("seq").alias("page_id"), "url", "chunk_idx", "start", "input_ids", "attention_mask")
+        done = observed(chunks, {"n_chunks": F.count(F.lit(1)), "n_pages": F.count_if(F.col("chunk_idx") == 0)},
+                        lambda df: _write_batch(df, paths["chunks"], batch_id))
+        done |= observed(rejects, {"n_rejects": F.count(F.lit(1))}, lambda df: _write_batch(df, paths["rejects"], batch_id))
+        _write_batch(sp.createDataFrame([(done["n_chunks"], done["n_pages"])], "n_chunks long, n_pages long"), paths["metrics"], batch_id)
+        write_metrics(sp, paths["log"], base.rstrip("/").rsplit("/", 1)[-1], batch_id, done)
+
+    before = spark.conf.get(STATE_PROVIDER)
+    spark.conf.set(STATE_PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        pages = page_stream(spark, source, files, max_files_per_trigger, max_docs)
+        q = (judged_pages(pages, L).writeStream.outputMode("append")
+             .foreachBatch(each).option("checkpointLocation", f"{base}/_checkpoint")
+             .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(STATE_PROVIDER, before)
     q.awaitTermination()
     vocab.unpersist()
     return paths

@@ -60,3 +60,42 @@ def test_stream_cap_and_vocab_roundtrip(spark, tmp_path):
     v = tokenize.fit_vocab(D.kept_pages(spark, SF_SMALL), "text")
     save_vocab(v, str(tmp_path / "v"))
     assert sorted(load_vocab(spark, str(tmp_path / "v")).collect()) == sorted(v.collect())
+
+
+def test_failed_url_is_skipped_in_later_batches(spark, tmp_path):
+    """Three deliveries and restarts; the result is that of one batch pass over all of them."""
+    from quire.operators import crawl
+    long, short = "<article>" + "word " * 80 + "</article>", "<article>no</article>"
+    few = "<article>" + "x" * 300 + "</article>"
+    parts = [[(0, "u/ok", long), (1, "u/short", short), (2, "u/few", few), (3, "u/none", None), (4, "u/short", long)],
+             [(10, "u/short", long), (11, "u/ok", long), (12, "u/new", short), (13, None, long)],
+             [(20, "u/few", few), (21, "u/new", short), (22, "u/none", None), (23, "u/ok", long)]]
+    vocab = tokenize.fit_vocab(spark.createDataFrame([("word word",)], "text string"))
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for i, part in enumerate(parts):
+        spark.createDataFrame(part, "page_id long, url string, html string").coalesce(1).write.mode("append").parquet(src)
+        paths = run_page_chunks(spark, src, vocab, 16, out=out)
+        run_page_chunks(spark, src, vocab, 16, out=out)  # nothing new
+    rejects = sorted((r.seq, r.url, r.reason) for r in spark.read.parquet(paths["rejects"]).collect())
+    pages = spark.createDataFrame([p for part in parts for p in part if p[1]], "page_id long, url string, html string")
+    chunks, bad = crawl.crawl_pass(pages.select(F.col("page_id").alias("seq"), "url"), pages, vocab, 16)
+    assert rejects == sorted(map(tuple, bad.collect()))
+    assert [r[0] for r in rejects if r[2] == "blocklisted"] == [4, 10, 20, 21, 22]
+    got = spark.read.parquet(paths["chunks"])
+    assert sorted((r.page_id, r.chunk_idx) for r in got.collect()) == sorted((r.seq, r.chunk_idx) for r in chunks.collect())
+    log = spark.read.parquet(paths["log"])
+    total = {r.tag: r.v for r in log.groupBy("tag").agg(F.sum("value").alias("v")).collect()}
+    assert total == {"n_chunks": got.count(), "n_pages": 3, "n_rejects": len(rejects)}
+    assert sorted((r.step, r.tag) for r in log.collect()) == sorted((i, t) for i in range(3) for t in total)
+
+
+def test_metric_log_is_replaced_on_replay(spark, tmp_path):
+    from quire.streaming.jobs import observed, write_metrics
+    path = str(tmp_path / "log")
+    for value in (3, 5):
+        write_metrics(spark, path, "run", 7, {"loss": value, "none": None})
+    write_metrics(spark, path, "run", 8, {"loss": 1})
+    rows = sorted((r.run, r.step, r.tag, r.value) for r in spark.read.parquet(path).collect())
+    assert rows == [("run", 7, "loss", 5.0), ("run", 7, "none", 0.0), ("run", 8, "loss", 1.0)]
+    seen = observed(spark.range(9), {"n": F.count(F.lit(1)), "top": F.max("id")}, lambda df: df.write.parquet(str(tmp_path / "x")))
+    assert seen == {"n": 9, "top": 8}

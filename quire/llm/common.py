@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quire.session import checkpoint_dir, ship_package
 
 #: Text bytes handled at once inside a task (one longer text is handled alone).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 #: Bytes of an Arrow batch between the JVM and a Python worker, and text bytes whose words are hashed at once.
 BATCH_BYTES, HASH_BYTES = 8 << 20, 1 << 18
 
@@ -52,6 +52,7 @@ def slices(batches, text: str, limit: int = SLICE_BYTES):
             j = max(i + 1, int(np.searchsorted(off, off[i] + limit, "right")) - 1)
             yield b.slice(i, j - i)
             i = j
+    pa.default_memory_pool().release_unused()  # workers outlive the task
 
 
 def ragged(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:

@@ -47,7 +47,7 @@ STEPS = 6
 PIECE_TOKENS = 1 << 20
 #: Bits of a 32-bit key inside its bucket, tokens counted before a task hands them on, words of a bitmap's segment.
 _KEY_BITS, _FLUSH, _SEGMENT = 22, 4_000_000, 1 << 13
-_SLICE = SLICE_BYTES // 4
+_SLICE = SLICE_BYTES
 _C = mix(np.arange(11, 43, dtype=np.uint64)) | np.uint64(1)
 
 

@@ -7,17 +7,17 @@ stripped one by one, empty ones dropped, and joined with one space.  Tags
 separate words, entities do not; comments, the doctype and processing
 instructions are not text.
 
-Two forms are offered:
+Character references are resolved by their whole name (``&notify`` is no
+``&not``); an unknown one stays as it is, without its semicolon.  Ruby annotations
+(``rt``, ``rp``) and templates are no text of the page, CDATA sections are.
 
-* ``page_text`` - an Arrow ``pandas_udf`` over the standard-library HTML
-  tokenizer (the definition; handles unclosed and nested tags).
-* ``page_text_regex`` - built-in regular expressions only (JVM side, no Python
-  worker); equal on well-formed pages, used as a fast path and as the shape of
-  the SQL twin.
+``page_text`` is an Arrow ``pandas_udf`` over the standard-library HTML tokenizer
+(handles unclosed and nested tags); it shares nothing with ``quire.llm``.
 """
 
 from __future__ import annotations
 
+from html.entities import html5
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -32,24 +32,38 @@ VOID_ELEMENTS = frozenset((
     "menuitem", "meta", "param", "source", "track", "wbr",
     "basefont", "bgsound", "command", "frame", "image", "isindex", "nextid", "spacer",
 ))
-# Named entities that occur in crawled pages, decoded by the
-# regex form with an optional semicolon ('&amp' last so '&amp;lt;' stays '&lt;').
+# Elements whose text is not the page's.
+OTHER_TEXT = frozenset(("rt", "rp", "template"))
+# Named entities that occur in crawled pages, as the SQL twin decodes
+# them, with an optional semicolon ('&amp' last so '&amp;lt;' stays '&lt;').
 REGEX_ENTITIES = (
     ("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&#39;", "'"), ("&apos;", "'"),
     ("&nbsp;?", "\u00a0"), ("&middot;?", "·"), ("&copy;?", "©"),
     ("&reg;?", "®"), ("&amp;?", "&"),
 )
-SEP = "\u0001"
+
+
+def reference(name: str) -> str:
+    """The text of the character reference ``&name;`` (or ``&name``)."""
+    if not name.startswith("#"):
+        return html5.get(name + ";", "&" + name)
+    code = int(name[2:], 16) if name[1] in "xX" else int(name[1:])
+    if code < 256:  # numbers below 256 are often meant as windows-1252, which lacks five of them
+        try:
+            return bytes([code]).decode("windows-1252")
+        except UnicodeDecodeError:
+            return chr(code)
+    return chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "\ufffd"
 
 
 class _TextCollector(HTMLParser):
     """Tag-stack walk equal to building the tree and reading its strings."""
 
     def __init__(self, drop: frozenset, prefer_article: bool):
-        super().__init__(convert_charrefs=True)
+        super().__init__(convert_charrefs=False)  # it would resolve the beginnings of longer names
         self.drop = drop
         self.prefer_article = prefer_article
-        self.stack: list[tuple[str, bool, bool]] = []   # (tag, dropped, in_article)
+        self.stack: list[tuple[str, bool, bool, bool]] = []   # (tag, dropped, in_article, other text)
         self.buf: list[str] = []
         self.page_nodes: list[str] = []
         self.article_nodes: list[str] = []
@@ -62,8 +76,7 @@ class _TextCollector(HTMLParser):
         self.buf = []
         if not node:
             return
-        dropped = self.stack[-1][1] if self.stack else False
-        if dropped:
+        if self.stack and (self.stack[-1][1] or self.stack[-1][3]):
             return
         self.page_nodes.append(node)
         if self.stack and self.stack[-1][2]:
@@ -73,15 +86,13 @@ class _TextCollector(HTMLParser):
         self._flush()
         if tag in VOID_ELEMENTS:
             return
-        parent_dropped = self.stack[-1][1] if self.stack else False
-        parent_article = self.stack[-1][2] if self.stack else False
+        _, parent_dropped, in_article, other = self.stack[-1] if self.stack else ("", False, False, False)
         dropped = parent_dropped or tag in self.drop
-        in_article = parent_article
         if (self.prefer_article and tag == "article" and not dropped
                 and not self.article_seen):
             self.article_seen = True
             in_article = True
-        self.stack.append((tag, dropped, in_article))
+        self.stack.append((tag, dropped, in_article, other or tag in OTHER_TEXT))
 
     def handle_startendtag(self, tag, attrs):
         self._flush()
@@ -96,8 +107,16 @@ class _TextCollector(HTMLParser):
     def handle_data(self, data):
         self.buf.append(data)
 
+    def handle_entityref(self, name):
+        self.buf.append(reference(name))
+
+    def handle_charref(self, name):
+        self.buf.append(reference("#" + name))
+
     def handle_comment(self, data):
         self._flush()
+        if data.startswith("[CDATA["):  # how some versions of the tokenizer hand it on
+            self.unknown_decl(data[1:].removesuffix("]]"))
 
     def handle_decl(self, decl):
         self._flush()
@@ -107,6 +126,9 @@ class _TextCollector(HTMLParser):
 
     def unknown_decl(self, data):
         self._flush()
+        if data[:6].upper() == "CDATA[":
+            self.buf.append(data[6:])
+            self._flush()
 
     def result(self) -> str:
         self.close()
@@ -145,23 +167,3 @@ def page_text(col: Column | str, drop=PLAIN_DROP, prefer_article: bool = False)
 def article_text(col: Column | str, drop=ARTICLE_DROP) -> Column:
     """Text of the first ``<article>`` left after dropping, else of the page."""
     return page_text(col, drop=drop, prefer_article=True)
-
-
-def page_text_regex(col: Column | str, drop=PLAIN_DROP, prefer_article: bool = False) -> Column:
-    """Regex form of the same rule: JVM only, no Python worker.
-
-    Exact on pages whose dropped elements are closed; the parser form is the
-    definition for malformed input.
-    """
-    c = F.col(col) if isinstance(col, str) else col
-    for tag in drop:
-        c = F.regexp_replace(c, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", SEP)
-    if prefer_article:
-        art = F.regexp_extract(c, r"(?is)<article\b.*</article\s*>", 0)
-        c = F.when(art != "", art).otherwise(c)
-    c = F.regexp_replace(c, r"(?s)<!--.*?-->", SEP)
-    c = F.regexp_replace(c, r"(?s)<[^>]*>", SEP)
-    for pat, rep in REGEX_ENTITIES:
-        c = F.regexp_replace(c, pat, rep)
-    parts = F.transform(F.split(c, SEP, -1), lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", ""))
-    return F.array_join(F.filter(parts, lambda x: x != ""), " ")

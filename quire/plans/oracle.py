@@ -324,7 +324,6 @@ SQL["run_snapshots"] = f"""WITH {HISTORY},
     kept AS (SELECT * FROM s WHERE fs IS NULL OR epoch <= fs)
     SELECT run, epoch, eval_loss, 'best' AS kind FROM kept WHERE eval_loss < best_before
     UNION ALL SELECT run, epoch, eval_loss, 'earlystop' AS kind FROM kept WHERE counter >= 3"""
-SQL["article_text_regex"] = SQL["article_text_kept"]
 
 
 def bpe_encode_sql(merges: int) -> str:

@@ -55,16 +55,6 @@ def q_article_text_kept(spark, sf):
                                          F.length("text").cast("long").alias("n_chars"))
 
 
-@register("article_text_regex")
-def q_article_text_regex(spark, sf):
-    """P2/P3/F3, JVM-only form: the same text by built-in regular expressions (no Python worker)."""
-    from quire.functions.html import ARTICLE_DROP, page_text_regex
-    pages = table(spark, sf, "pages")
-    txt = pages.select("page_id", "url", page_text_regex("html", ARTICLE_DROP, True).alias("text"))
-    kept = txt.where(F.length("text") > 200)
-    return kept.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
-
-
 @register("crawl_corpus_lines")
 def q_crawl_corpus_lines(spark, sf):
     """URL list -> stored page -> plain text -> one line per non-empty page."""

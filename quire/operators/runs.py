@@ -7,15 +7,16 @@ partitioned by run (the epochs of one run are few) or a grouped aggregate.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 INF = float("inf")
-# The run-name format and its matching pattern, the default
-# model name of the run registry and the learning-rate decay per epoch.
+# The run-name format and its matching pattern, and the learning-rate decay per epoch.
 RUN_NAME_FORMAT = "yyyy-MM-dd_HH-mm-ss"
 RUN_NAME_PATTERN = r"^\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2}$"
-DEFAULT_MODEL_NAME = "GPTBackbone"
 LR_DECAY = 0.95
 
 
@@ -25,10 +26,6 @@ def run_name(ts: Column, resume: Column | None = None) -> Column:
     return F.coalesce(resume, name) if resume is not None else name
 
 
-def data_mode(use_streaming: Column) -> Column:
-    return F.when(use_streaming, F.lit("streaming")).otherwise(F.lit("local"))
-
-
 def number_epochs(df: DataFrame, run_col: str, order_col: str, start_epoch: int = 1,
                   out_col: str = "epoch") -> DataFrame:
     """Epoch numbers in ``order_col`` order within each run, starting at ``start_epoch``."""
@@ -57,7 +54,8 @@ def running_best(df: DataFrame, run_col: str = "run", epoch_col: str = "epoch",
 
 
 def early_stop(df: DataFrame, patience: int = 3, delta: float = 1e-3, run_col: str = "run",
-               epoch_col: str = "epoch", loss_col: str = "eval_loss", truncate: bool = False) -> DataFrame:
+               epoch_col: str = "epoch", loss_col: str = "eval_loss", truncate: bool = False,
+               state: DataFrame | None = None) -> DataFrame:
     """Patience counter per epoch, as windows.
 
     Sequential rule: v < best - delta -> best = v, counter = 0; else v < best ->
@@ -66,23 +64,69 @@ def early_stop(df: DataFrame, patience: int = 3, delta: float = 1e-3, run_col: s
     epochs since the last epoch that improved by more than delta.
 
     Adds ``counter`` and ``stop``; with ``truncate`` the epochs after the first
-    stop are dropped.
+    stop are dropped.  ``state`` (run, best, counter; at most a row per run, see ``early_stop_state``) is what an earlier part of the
+    run has left: the rule goes on from it, and runs without a row start anew.
     """
     w = Window.partitionBy(run_col).orderBy(epoch_col)
     v = F.col(loss_col)
-    out = df.withColumn("_bb", _best_before(run_col, epoch_col, loss_col))
+    best, before = _best_before(run_col, epoch_col, loss_col), F.lit(0)
+    if state is not None:
+        df = df.join(state.select(F.col("run").alias(run_col), F.col("best").alias("_sb"), F.col("counter").alias("_sc")), run_col, "left")
+        best = F.least(best, F.coalesce("_sb", F.lit(INF)))
+        before = F.when(F.col("_grp") == 0, F.coalesce("_sc", F.lit(0))).otherwise(0)
+    out = df.withColumn("_bb", best)
     out = (out.withColumn("_reset", F.coalesce(v < F.col("_bb") - F.lit(delta), F.lit(False)).cast("int"))
               .withColumn("_miss", (~F.coalesce(v < F.col("_bb"), F.lit(False))).cast("int")))
     out = out.withColumn("_grp", F.sum("_reset").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     wg = (Window.partitionBy(run_col, "_grp").orderBy(epoch_col)
           .rowsBetween(Window.unboundedPreceding, 0))
-    out = (out.withColumn("counter", F.sum("_miss").over(wg).cast("int"))
+    out = (out.withColumn("counter", (F.sum("_miss").over(wg) + before).cast("int"))
               .withColumn("stop", F.col("counter") >= patience))
     if truncate:
         first_stop = F.min(F.when(F.col("stop"), F.col(epoch_col))).over(Window.partitionBy(run_col))
         out = (out.withColumn("_fs", first_stop)
                   .where(F.col("_fs").isNull() | (F.col(epoch_col) <= F.col("_fs"))).drop("_fs"))
-    return out.drop("_bb", "_reset", "_miss", "_grp")
+    return out.drop("_bb", "_reset", "_miss", "_grp", "_sb", "_sc")
+
+
+def early_stop_state(df: DataFrame, patience: int = 3, delta: float = 1e-3, run_col: str = "run", epoch_col: str = "epoch",
+                     loss_col: str = "eval_loss", state: DataFrame | None = None) -> DataFrame:
+    """``run, best, counter`` after every epoch of ``df`` (with ``epoch``): what ``early_stop`` needs to go on from there."""
+    stop = early_stop(df, patience, delta, run_col, epoch_col, loss_col, state=state)
+    w = Window.partitionBy(run_col).orderBy(epoch_col).rowsBetween(Window.unboundedPreceding, 0)
+    best = F.coalesce(F.nanvl(F.min(loss_col).over(w), F.lit(INF)), F.lit(INF))
+    if state is not None:
+        stop = stop.join(state.select(F.col("run").alias(run_col), F.col("best").alias("_sb")), run_col, "left")
+        best = F.least(best, F.coalesce("_sb", F.lit(INF)))
+    return stop.select(F.col(run_col).alias("run"), F.col(epoch_col).alias("epoch"), best.alias("best"), "counter")
+
+
+def full_snapshots(history: DataFrame, config: DataFrame, patience: int = 3, delta: float = 1e-3) -> DataFrame:
+    """What a run leaves on disk: for the last new best and for the early stop (``kind``) the epoch, the histories up to it, the state
+    of the early-stop rule and the run's config.
+
+    ``history``: run, epoch, train_loss, eval_loss, lr.  ``config``: run, config (JSON).  A run's histories are as long as the run;
+    runs are independent, and only the kept snapshots carry them."""
+    kept = running_best(early_stop(history, patience, delta, truncate=True))
+    ends = kept.groupBy("run").agg(F.max(F.when(F.col("is_best"), F.col("epoch"))).alias("best"),
+                                   F.min(F.when(F.col("stop"), F.col("epoch"))).alias("earlystop"))
+    marks = ends.select("run", F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(k).alias("at"))
+                                                   for k in ("best", "earlystop")))).alias("m")).select("run", "m.kind", "m.at").where("at IS NOT NULL")
+    upto = history.join(marks, "run").where(F.col("epoch") <= F.col("at"))
+    in_order = F.array_sort(F.collect_list(F.struct("epoch", "train_loss", "eval_loss", "lr")))
+    rows = upto.groupBy("run", "kind", "at").agg(in_order.alias("h")).withColumnRenamed("at", "epoch")
+    state = early_stop_state(history, patience, delta).select("run", "epoch", F.struct("best", "counter").alias("early_stop"))
+    return rows.join(state, ["run", "epoch"]).join(config.select("run", "config"), "run", "left").select(
+        "run", "kind", "epoch", F.col("h.train_loss").alias("train_loss_history"), F.col("h.eval_loss").alias("eval_loss_history"),
+        F.col("h.lr").alias("lr_history"), "early_stop", "config")
+
+
+def resume(snapshots: DataFrame, later: DataFrame, patience: int = 3, delta: float = 1e-3) -> DataFrame:
+    """Counters of the epochs ``later`` (run, epoch, eval_loss) of runs resumed from their 'best' snapshot: the epochs after it, judged
+    from the snapshot's state; runs without a snapshot start with epoch 1 and no state."""
+    best = snapshots.where("kind = 'best'").select("run", F.col("epoch").alias("_at"), "early_stop.best", "early_stop.counter")
+    rows = later.join(best.select("run", "_at"), "run", "left").where(F.col("epoch") > F.coalesce("_at", F.lit(0))).drop("_at")
+    return early_stop(rows, patience, delta, state=best)
 
 
 def best_epoch(df: DataFrame, run_col: str = "run", epoch_col: str = "epoch",
@@ -94,17 +138,7 @@ def best_epoch(df: DataFrame, run_col: str = "run", epoch_col: str = "epoch",
         F.min(loss_col).alias("best_loss"))
 
 
-def history_from_events(events: DataFrame) -> DataFrame:
-    """Derived loss histories: a run per user, an epoch per active day,
-    ``eval_loss = round(avg(value), 6)``, ``train_loss = round(avg(ln(1 + value)), 6)``."""
-    day = events.groupBy(F.col("user_id").alias("run"), F.to_date("ts").alias("day")).agg(
-        F.round(F.avg("value"), 6).alias("eval_loss"),
-        F.round(F.avg(F.log1p("value")), 6).alias("train_loss"),
-        F.min("ts").alias("first_ts"))
-    return number_epochs(day, "run", "day")
-
-
-def runs_from_history(history: DataFrame, model_name: str = DEFAULT_MODEL_NAME) -> DataFrame:
+def runs_from_history(history: DataFrame, model_name: str, root: str = "runs") -> DataFrame:
     """Run registry rows ``(run_time, model_name, epoch, eval_loss, path, kind)``: one 'best' row
     per run with a finite loss, named by the time the run started."""
     start = history.groupBy("run").agg(F.min("first_ts").alias("start_ts"))
@@ -113,7 +147,7 @@ def runs_from_history(history: DataFrame, model_name: str = DEFAULT_MODEL_NAME)
     return best.select(
         rt.alias("run_time"), F.lit(model_name).alias("model_name"),
         F.col("best_epoch").alias("epoch"), F.col("best_loss").alias("eval_loss"),
-        F.concat(F.lit("training_runs/"), rt, F.lit(f"/checkpoints/{model_name}_best.pt")).alias("path"),
+        F.concat(F.lit(f"{root}/"), rt, F.lit(f"/{model_name}/best")).alias("path"),
         F.lit("best").alias("kind"))
 
 
@@ -124,7 +158,7 @@ def list_runs(names: DataFrame, name_col: str = "run_time") -> DataFrame:
 
 
 def promote(registry: DataFrame, runs: DataFrame, run_times: DataFrame,
-            model_name: str = DEFAULT_MODEL_NAME) -> DataFrame:
+            model_name: str, root: str = "registry") -> DataFrame:
     """Registry after promoting the best checkpoint of each requested run.
 
     ``registry``: ``(model_name, run_time, epoch, eval_loss, path)``.  For each
@@ -137,12 +171,12 @@ def promote(registry: DataFrame, runs: DataFrame, run_times: DataFrame,
     found = run_times.join(best, "run_time", "left")
     checked = found.withColumn(
         "path", F.when(F.col("path").isNull(),
-                       F.raise_error(F.concat(F.lit("Checkpoint not found: "), F.col("run_time"))))
+                       F.raise_error(F.concat(F.lit("no best snapshot of run "), F.col("run_time"))))
         .otherwise(F.col("path")))
     latest = checked.groupBy("model_name").agg(
         F.max_by(F.struct("run_time", "epoch", "eval_loss", "path"), "seq").alias("_n"))
     new = latest.select("model_name", "_n.run_time", "_n.epoch", "_n.eval_loss",
-                        F.concat(F.lit("inference_checkpoints/"), F.col("model_name"), F.lit(".pt")).alias("path"))
+                        F.concat(F.lit(f"{root}/"), F.col("model_name")).alias("path"))
     return registry.join(new.select("model_name"), "model_name", "left_anti").unionByName(new)
 
 
@@ -156,13 +190,6 @@ def resume_point(history: DataFrame, run_col: str = "run", epoch_col: str = "epo
                         (F.coalesce(F.col("best_epoch"), F.lit(0)) + 1).cast("int").alias("start_epoch")))
 
 
-def resume_history(history: DataFrame, run_col: str = "run", epoch_col: str = "epoch",
-                   loss_col: str = "eval_loss") -> DataFrame:
-    """History as saved in the best snapshot: epochs up to the best epoch."""
-    best = best_epoch(history, run_col, epoch_col, loss_col).select(run_col, "best_epoch")
-    return history.join(best, run_col).where(F.col(epoch_col) <= F.col("best_epoch")).drop("best_epoch")
-
-
 def merge_config(base: Column, override: Column) -> Column:
     """Map merge where keys of ``override`` win (dict update); a null override changes nothing."""
     override = F.coalesce(override, F.create_map().cast("map<string,string>"))
@@ -223,3 +250,46 @@ def zip_histories(*arrays: Column) -> Column:
     """Zip per-epoch arrays position by position; the shortest wins (``arrays_zip`` alone pads with null)."""
     n = F.least(*[F.size(a) for a in arrays])
     return F.slice(F.arrays_zip(*arrays), 1, n)
+
+
+def publish(registry: DataFrame, root: str) -> int:
+    """Publish a registry as the next version below ``root``; returns its number.
+
+    The table is written to a folder of its own, read back and compared (rows and an order-free hash), and only then named by
+    one small file of the manifest, which is committed whole or not at all.  A reader (``published``) follows the manifest, so it sees
+    the old version until the new one is complete, and a failed write leaves the old one.  One writer at a time."""
+    spark = registry.sparkSession
+    manifest = _manifest(spark, root)
+    version = (manifest.agg(F.max("version")).first()[0] or 0) + 1
+    path = f"{root.rstrip('/')}/v{version}-{uuid.uuid4().hex[:8]}"
+    # written once; what is compared is what was computed
+    seen = Observation()
+    cols = sorted(registry.columns)
+    digest = F.sum(F.xxhash64(*cols).bitwiseAND(F.lit((1 << 40) - 1)))
+    registry.observe(seen, F.count(F.lit(1)).alias("n"), digest.alias("digest")).write.parquet(path)
+    back = spark.read.schema(registry.schema).parquet(path).agg(F.count(F.lit(1)).alias("n"), digest.alias("digest")).first()
+    if (back["n"], back["digest"]) != (seen.get["n"], seen.get["digest"]):
+        raise RuntimeError(f"registry version {version} was not written whole; the published one stays")
+    spark.createDataFrame([(version, path, back["n"])], _MANIFEST).coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/manifest")
+    return version
+
+
+_MANIFEST = "version int, path string, n_rows long"
+
+
+def _manifest(spark, root: str) -> DataFrame:
+    try:
+        return spark.read.schema(_MANIFEST).parquet(f"{root.rstrip('/')}/manifest")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _MANIFEST)  # nothing published yet
+
+
+def published(spark, root: str, version: int | None = None) -> DataFrame | None:
+    """The newest published registry below ``root`` (or ``version``); None if there is none."""
+    rows = _manifest(spark, root)
+    if version is not None:
+        rows = rows.where(F.col("version") == version)
+    last = rows.orderBy(F.desc("version")).limit(1).collect()
+    return spark.read.parquet(last[0]["path"]) if last else None

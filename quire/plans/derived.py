@@ -60,11 +60,25 @@ def url_list(spark: SparkSession, sf: str) -> DataFrame:
     return a.unionByName(b)
 
 
+def history_from_events(events: DataFrame) -> DataFrame:
+    """Derived loss histories: a run per user, an epoch per active day,
+    ``eval_loss = round(avg(value), 6)``, ``train_loss = round(avg(ln(1 + value)), 6)``."""
+    day = events.groupBy(F.col("user_id").alias("run"), F.to_date("ts").alias("day")).agg(
+        F.round(F.avg("value"), 6).alias("eval_loss"),
+        F.round(F.avg(F.log1p("value")), 6).alias("train_loss"),
+        F.min("ts").alias("first_ts"))
+    return runs.number_epochs(day, "run", "day")
+
+
+#: Model name of the derived runs.
+MODEL_NAME = "quire-model"
+
+
 def history(spark: SparkSession, sf: str) -> DataFrame:
     """Loss histories (one row per run and day: far smaller than ``events``),
     written once because the run queries read them in several branches."""
     from quire.operators.indexing import write_table
-    return write_table(runs.history_from_events(table(spark, sf, "events")), "history")
+    return write_table(history_from_events(table(spark, sf, "events")), "history")
 
 
 def run_names(spark: SparkSession, sf: str) -> DataFrame:

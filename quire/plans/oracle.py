@@ -282,8 +282,8 @@ SQL: dict[str, str] = {
         req AS (SELECT DISTINCT run_time FROM names
                 WHERE regexp_matches(run_time, '^\\d{{4}}-\\d{{2}}-\\d{{2}}_\\d{{2}}-\\d{{2}}-\\d{{2}}$')),
         f AS (SELECT q.run_time, r.epoch, r.eval_loss FROM req q JOIN rr r USING (run_time))
-        SELECT 'GPTBackbone' AS model_name, arg_max(run_time, run_time) AS run_time, arg_max(epoch, run_time) AS epoch,
-               arg_max(eval_loss, run_time) AS eval_loss, 'inference_checkpoints/GPTBackbone.pt' AS path FROM f""",
+        SELECT 'quire-model' AS model_name, arg_max(run_time, run_time) AS run_time, arg_max(epoch, run_time) AS epoch,
+               arg_max(eval_loss, run_time) AS eval_loss, 'registry/quire-model' AS path FROM f""",
     "resume_point": f"""WITH {HISTORY}, {BEST},
         r AS (SELECT DISTINCT run FROM history)
         SELECT r.run, b.best_epoch, (coalesce(b.best_epoch, 0) + 1)::INTEGER AS start_epoch FROM r LEFT JOIN best b USING (run)""",
@@ -447,3 +447,41 @@ SQL["stream_metric_log"] = f"""WITH {_STREAM},
     SELECT 'n_chunks' AS tag, coalesce(sum(n // {L_PAGE}) FILTER (reason IS NULL), 0)::BIGINT AS value FROM r
     UNION ALL SELECT 'n_pages', count(*) FILTER (reason IS NULL) FROM r
     UNION ALL SELECT 'n_rejects', count(*) FILTER (reason IS NOT NULL) FROM r"""
+
+_FOLD = f"""{HISTORY},
+    bb AS (SELECT run, epoch, eval_loss, train_loss,
+           coalesce(min(eval_loss) OVER (PARTITION BY run ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                    'inf'::DOUBLE) AS best_before FROM history),
+    fl AS (SELECT *, CASE WHEN eval_loss < best_before - 0.001 THEN 1 ELSE 0 END AS reset,
+                     CASE WHEN eval_loss < best_before THEN 0 ELSE 1 END AS miss FROM bb),
+    g AS (SELECT *, sum(reset) OVER (PARTITION BY run ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp FROM fl),
+    c AS (SELECT run, epoch, eval_loss, train_loss, best_before,
+          CAST(sum(miss) OVER (PARTITION BY run, grp ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS INTEGER) AS counter FROM g)"""
+
+# the fold over the whole run, never interrupted
+SQL["resumed_early_stop"] = f"""WITH {_FOLD} SELECT run, epoch, eval_loss, counter, counter >= 3 AS stop FROM c"""
+
+SQL["full_snapshots"] = f"""WITH {_FOLD},
+    s AS (SELECT *, min(CASE WHEN counter >= 3 THEN epoch END) OVER (PARTITION BY run) AS fs FROM c),
+    marks AS (SELECT run, 'best' AS kind, max(epoch) AS at_ FROM s WHERE (fs IS NULL OR epoch <= fs) AND eval_loss < best_before GROUP BY run
+              UNION ALL SELECT DISTINCT run, 'earlystop', fs FROM s WHERE fs IS NOT NULL)
+    SELECT m.run, m.kind, m.at_ AS epoch,
+           string_agg(round(c.eval_loss * 1e6)::BIGINT::VARCHAR, ' ' ORDER BY c.epoch) AS eval_history,
+           string_agg(round(c.train_loss * 1e6)::BIGINT::VARCHAR, ' ' ORDER BY c.epoch) AS train_history, count(*) AS n_lr,
+           round(min(c.eval_loss), 6) AS best, arg_max(c.counter, c.epoch) AS counter, m.run::VARCHAR AS config_run
+    FROM marks m JOIN c ON c.run = m.run AND c.epoch <= m.at_ GROUP BY m.run, m.kind, m.at_"""
+
+SQL["history_files"] = f"""WITH {HISTORY}
+    SELECT run, epoch, round(train_loss, 6) AS train_loss, round(eval_loss, 6) AS eval_loss, round(eval_loss, 6) AS json_eval, true AS same_lr
+    FROM history"""
+
+SQL["registry_publish"] = SQL["promote_best"]
+
+SQL["capped_articles"] = f"""WITH {DOC_TOK},
+    firsts AS (SELECT doc_id FROM docs ORDER BY doc_id LIMIT 150),
+    cut AS (SELECT doc_id, ids[1:512] AS ids FROM d_enc WHERE doc_id IN (SELECT doc_id FROM firsts)),
+    ch AS (SELECT doc_id, unnest(generate_series(0, len(ids) // 64 - 1)) AS chunk_idx, ids FROM cut WHERE len(ids) >= 64)
+    SELECT doc_id, chunk_idx::INTEGER AS chunk_idx, {_ids_text('ids[chunk_idx * 64 + 1 : (chunk_idx + 1) * 64]')} AS input_ids FROM ch"""
+
+SQL["named_corpus"] = """SELECT doc_id, source AS name, lang AS config, 'train' AS split, length(text)::BIGINT AS n_chars FROM documents
+    WHERE source = (SELECT min(source) FROM documents) AND lang = 'en' AND doc_id % 10 <> 0 AND text IS NOT NULL AND text <> ''"""

@@ -257,6 +257,28 @@ def q_article_chunks(spark, sf):
                      F.col("start").cast("int").alias("start"), A.ids_text("input_ids").alias("input_ids"))
 
 
+@register("capped_articles")
+def q_capped_articles(spark, sf):
+    """The first 150 articles, 512 ids of each at most (cut before any lookup), in windows of 64."""
+    docs = read_articles(D.documents(spark, sf), "doc_id", 150)
+    enc = tokenize.encode(docs, D.doc_vocab(spark, sf), text_col="text", out_col="ids", max_tokens=512)
+    ch = chunking.chunk(enc, 64, "ids")
+    return ch.select("doc_id", F.col("chunk_idx").cast("int").alias("chunk_idx"), A.ids_text("input_ids").alias("input_ids"))
+
+
+@register("named_corpus")
+def q_named_corpus(spark, sf):
+    """S3: documents stored as name / config / split, one configuration and split of them read back with its partitions."""
+    from quire.session import scratch_path
+    from quire.sources.corpus import read_corpus, write_corpus
+    root = scratch_path(spark, "corpora")
+    docs = table(spark, sf, "documents").select("doc_id", "text", F.col("source").alias("name"), F.col("lang").alias("config"),
+                                                F.when(F.col("doc_id") % 10 == 0, "test").otherwise("train").alias("split"))
+    write_corpus(docs, root)
+    first = docs.agg(F.min("name")).first()[0]
+    return read_corpus(spark, root, first, "en", "train").select("doc_id", "name", "config", "split", F.length("text").cast("long").alias("n_chars"))
+
+
 @register("cut_at_eos")
 def q_cut_at_eos(spark, sf):
     """First 8 ids as prompt, generated part cut after the first id 2 (as eos), budget 56."""
@@ -403,11 +425,11 @@ def q_list_runs(spark, sf):
 def q_promote_best(spark, sf):
     """K7: promote every run's best in start order; the last promotion of a name wins."""
     h = D.history(spark, sf)
-    rr = runs.runs_from_history(h)
+    rr = runs.runs_from_history(h, D.MODEL_NAME)
     # the name format sorts chronologically, so the name itself is the request order
     requests = runs.list_runs(D.run_names(spark, sf)).withColumn("seq", F.col("run_time"))
     empty = spark.createDataFrame([], "model_name string, run_time string, epoch int, eval_loss double, path string")
-    return runs.promote(empty, rr, requests)
+    return runs.promote(empty, rr, requests, D.MODEL_NAME)
 
 
 @register("resume_point")
@@ -416,6 +438,68 @@ def q_resume_point(spark, sf):
     return runs.resume_point(D.history(spark, sf))
 
 
+@register("resumed_early_stop")
+def q_resumed_early_stop(spark, sf):
+    """Every run is stopped after its best epoch and resumed from the snapshot; the counters of both parts together."""
+    h = runs.with_lr(D.history(spark, sf))
+    snaps = runs.full_snapshots(h, _run_configs(h))
+    best = snaps.where("kind = 'best'").select("run", F.col("epoch").alias("at"))
+    part = h.join(best, "run", "left")
+    first = runs.early_stop(part.where(F.col("epoch") <= F.col("at")).drop("at"))
+    second = runs.resume(snaps, h)
+    cols = ["run", "epoch", "eval_loss", "counter", "stop"]
+    return first.select(*cols).unionByName(second.select(*cols))
+
+
+def _run_configs(history):
+    """A config of each run as JSON."""
+    return history.select("run").distinct().select("run", runs.config_snapshot(F.create_map(
+        F.lit("batch_size"), F.lit("32"), F.lit("run"), F.col("run").cast("string"))).alias("config"))
+
+
+@register("full_snapshots")
+def q_full_snapshots(spark, sf):
+    """K4/K6: last best and early-stop snapshot of every run with histories (in millionths), rule state and config."""
+    h = runs.with_lr(D.history(spark, sf))
+    micro = lambda c: F.array_join(F.transform(c, lambda x: F.round(x * 1e6).cast("long").cast("string")), " ")
+    return runs.full_snapshots(h, _run_configs(h)).select(
+        "run", "kind", "epoch", micro("eval_loss_history").alias("eval_history"), micro("train_loss_history").alias("train_history"),
+        F.size("lr_history").cast("long").alias("n_lr"), _r6("early_stop.best").alias("best"), F.col("early_stop.counter").alias("counter"),
+        F.from_json("config", "map<string,string>")["run"].alias("config_run"))
+
+
+@register("history_files")
+def q_history_files(spark, sf):
+    """K2/K3: histories written as one CSV folder per run and as JSON rows, read back and zipped."""
+    from quire.session import scratch_path
+    h = runs.with_lr(D.history(spark, sf))
+    csv, js = scratch_path(spark, "history-csv"), scratch_path(spark, "history-json")
+    runs.write_history(h, csv, "csv")
+    runs.write_history(h, js, "json")
+    c = spark.read.schema("epoch int, train_loss double, eval_loss double, lr double, run long").option("header", True).csv(csv)
+    z = spark.read.schema("run long, train_loss array<double>, eval_loss array<double>, lr array<double>").json(js).select(
+        "run", F.posexplode(runs.zip_histories(F.col("train_loss"), F.col("eval_loss"), F.col("lr"))).alias("i", "z"))
+    z = z.select("run", (F.col("i") + 1).alias("epoch"), F.col("z")["eval_loss"].alias("json_eval"), F.col("z")["lr"].alias("json_lr"))
+    return c.join(z, ["run", "epoch"], "full").select(
+        F.col("run"), F.col("epoch").cast("int").alias("epoch"), _r6("train_loss").alias("train_loss"), _r6("eval_loss").alias("eval_loss"),
+        _r6("json_eval").alias("json_eval"), (F.abs(F.col("lr") - F.col("json_lr")) < 1e-15).alias("same_lr"))
+
+
+@register("registry_publish")
+def q_registry_publish(spark, sf):
+    """K7: a registry published twice and read back through its manifest."""
+    from quire.session import scratch_path
+    h = D.history(spark, sf)
+    rr = runs.runs_from_history(h, D.MODEL_NAME)
+    root = scratch_path(spark, "registry")
+    empty = spark.createDataFrame([], "model_name string, run_time string, epoch int, eval_loss double, path string")
+    names = runs.list_runs(D.run_names(spark, sf))
+    for seq in (F.reverse("run_time"), F.col("run_time")):  # another request wins in the first version
+        old = runs.published(spark, root)
+        runs.publish(runs.promote(empty if old is None else old, rr, names.withColumn("seq", seq), D.MODEL_NAME), root)
+    return runs.published(spark, root)
+
+
 @register("config_merge")
 def q_config_merge(spark, sf):
     """Defaults updated by each event's JSON properties (later wins)."""

@@ -118,19 +118,19 @@ def test_best_epoch_first_of_equals(spark):
 
 
 def test_list_runs_and_promote(spark):
-    names = spark.createDataFrame([("2025-05-17_06-51-19",), ("2025-05-17",), ("notes",),
-                                   ("2025-05-17_06-51-19_old",), ("2024-01-01_00-00-00",)], "run_time string")
-    assert [r.run_time for r in runs.list_runs(names).collect()] == ["2024-01-01_00-00-00", "2025-05-17_06-51-19"]
-    rr = spark.createDataFrame([("2025-05-17_06-51-19", "GPTBackbone", 4, 1.5, "p", "best")],
+    names = spark.createDataFrame([("2025-03-02_07-08-09",), ("2025-03-02",), ("notes",),
+                                   ("2025-03-02_07-08-09_old",), ("2024-01-01_00-00-00",)], "run_time string")
+    assert [r.run_time for r in runs.list_runs(names).collect()] == ["2024-01-01_00-00-00", "2025-03-02_07-08-09"]
+    rr = spark.createDataFrame([("2025-03-02_07-08-09", "model-a", 4, 1.5, "p", "best")],
                                "run_time string, model_name string, epoch int, eval_loss double, path string, kind string")
-    reg = spark.createDataFrame([("GPTBackbone", "old", 1, 9.0, "x"), ("Other", "o", 1, 1.0, "y")],
+    reg = spark.createDataFrame([("model-a", "old", 1, 9.0, "x"), ("Other", "o", 1, 1.0, "y")],
                                 "model_name string, run_time string, epoch int, eval_loss double, path string")
-    req = spark.createDataFrame([("2025-05-17_06-51-19", 1)], "run_time string, seq int")
-    out = {r.model_name: r.run_time for r in runs.promote(reg, rr, req).collect()}
-    assert out == {"GPTBackbone": "2025-05-17_06-51-19", "Other": "o"}
+    req = spark.createDataFrame([("2025-03-02_07-08-09", 1)], "run_time string, seq int")
+    out = {r.model_name: r.run_time for r in runs.promote(reg, rr, req, "model-a").collect()}
+    assert out == {"model-a": "2025-03-02_07-08-09", "Other": "o"}
     bad = spark.createDataFrame([("2030-01-01_00-00-00", 1)], "run_time string, seq int")
     with pytest.raises(Exception):
-        runs.promote(reg, rr, bad).collect()
+        runs.promote(reg, rr, bad, "model-a").collect()
 
 
 def test_config_resolution(spark):

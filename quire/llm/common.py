@@ -3,6 +3,8 @@ slices, vectorised word hashing and ragged gathers."""
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -41,6 +43,14 @@ def text_buffer(col) -> tuple[np.ndarray, np.ndarray]:
     return data[lo:int(off[-1])], off - lo
 
 
+def give_back() -> None:
+    """Free memory that this Python worker still holds goes back to the system: a worker outlives its task, beside others."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def slices(batches, text: str, limit: int = SLICE_BYTES):
     """Cut record batches into slices of at most ``limit`` text bytes (one row at least)."""
     for b in batches:
@@ -52,7 +62,7 @@ def slices(batches, text: str, limit: int = SLICE_BYTES):
             j = max(i + 1, int(np.searchsorted(off, off[i] + limit, "right")) - 1)
             yield b.slice(i, j - i)
             i = j
-    pa.default_memory_pool().release_unused()  # workers outlive the task
+    give_back()
 
 
 def ragged(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
@@ -158,3 +168,5 @@ def sorted_groups(batches, keys: list[str]):
             held.append(b.slice(i, j - i))
     if held:
         yield pa.Table.from_batches(held)
+    del held
+    give_back()

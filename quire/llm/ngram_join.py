@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import SLICE_BYTES, lower_ascii, mix, slices, spans, text_buffer, word_hashes
+from quire.llm.common import SLICE_BYTES, give_back, lower_ascii, mix, slices, spans, text_buffer, word_hashes
 from quire.llm.components import components
 from quire.operators.indexing import write_table
 
@@ -144,6 +144,8 @@ def frequent_tokens(docs: DataFrame, words: int, least: int, bits: int) -> np.nd
                 counts[np.cumsum(np.frombuffer(s, "<u2" if len(s) == 2 * len(n) else "<u4"), dtype=np.int64)] += n
         if bucket is not None:
             yield marks(bucket, counts)
+        del counts
+        give_back()
 
     rows = (docs.select("text").mapInArrow(count, "bucket int, steps binary, counts binary")
             .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(add, _WORDS))

@@ -23,8 +23,8 @@ from pyspark.sql import types as T
 from quire.llm.common import binary_array, slices, text_buffer
 from quire.operators.indexing import write_table
 
-#: Pre-tokens looked up inside the reading task, and the bytes of the longest of them: 8 MB at most.
-HOT_TYPES, HOT_BYTES = 1 << 17, 64
+#: Pre-tokens looked up inside the reading task, and the bytes of the longest of them: 16 MB at most.
+HOT_TYPES, HOT_BYTES = 1 << 18, 64
 #: Text bytes cut at once.
 CUT_BYTES = 1 << 20
 #: Distinct pre-tokens given to the library at once.

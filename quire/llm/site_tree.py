@@ -54,9 +54,12 @@ _ENDS_P = set("address article aside blockquote center details dialog dir div dl
 IMPLIED = {"p": _ENDS_P, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"},
            "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option", "optgroup"}}
 
-_TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
+# a quote opens a value only right after the sign of equality; one that is never closed is part of an unquoted value
+_VALUE = r"(?>\"[^\"]*\"|'[^']*'|[^\s>]*)"
+_ATTRS = rf"(?>[\s/]+|[^\s/>=]+(?>\s*=\s*{_VALUE})?|=)*+"
+_TOKEN = re.compile(rf"<!--.*?(?:--!?>|\Z)|<([a-zA-Z][^\s/>]*)({_ATTRS})(?:>|\Z)"
                     r"|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
-_ATTR = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
+_ATTR = re.compile(rf"(?:^|\s)(class|id|role)\s*=\s*({_VALUE})", re.I)
 _SPACE = re.compile(r"\s+")
 _PART = re.compile(r"[a-z]+")
 

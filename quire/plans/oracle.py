@@ -484,4 +484,9 @@ SQL["capped_articles"] = f"""WITH {DOC_TOK},
     SELECT doc_id, chunk_idx::INTEGER AS chunk_idx, {_ids_text('ids[chunk_idx * 64 + 1 : (chunk_idx + 1) * 64]')} AS input_ids FROM ch"""
 
 SQL["named_corpus"] = """SELECT doc_id, source AS name, lang AS config, 'train' AS split, length(text)::BIGINT AS n_chars FROM documents
-    WHERE source = (SELECT min(source) FROM documents) AND lang = 'en' AND doc_id % 10 <> 0 AND text IS NOT NULL AND text <> ''"""
+    WHERE source = (SELECT min(source) FROM documents) AND lang = 'en' AND doc_id % 7 <> 0 AND text IS NOT NULL AND text <> ''"""
+
+SQL["crawl_rejects_long"] = SQL["crawl_rejects"].replace(f"coalesce(kl.n, 0) < {L_PAGE} ", "coalesce(kl.n, 0) < 512 ")
+
+SQL["nonempty_derived"] = """SELECT doc_id, lang, CASE WHEN lang = 'es' THEN 1 ELSE length(text) END::BIGINT AS n_chars FROM documents
+    WHERE lang IS NULL OR lang = 'es' OR lang NOT IN ('de', 'fr') AND text <> ''"""

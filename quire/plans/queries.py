@@ -85,12 +85,12 @@ def q_page_chunks(spark, sf):
                      F.size("attention_mask").cast("int").alias("mask_len"))
 
 
-def _crawled(spark, sf):
+def _crawled(spark, sf, L=D.L_PAGE):
     """(URL list, chunks, rejects) of a full pass; the stored pages are parsed once, for the vocabulary and the pass."""
     urls = D.url_list(spark, sf)
     stored = crawl.clean_stored(table(spark, sf, "pages"))
     vocab = tokenize.fit_vocab(stored.where(F.col("reject_reason").isNull()), "text")
-    return urls, *crawl.crawl_pass(urls, stored, vocab, D.L_PAGE)
+    return urls, *crawl.crawl_pass(urls, stored, vocab, L)
 
 
 @register("chunks_per_url")
@@ -106,6 +106,12 @@ def q_crawl_rejects(spark, sf):
     return _crawled(spark, sf)[2]
 
 
+@register("crawl_rejects_long")
+def q_crawl_rejects_long(spark, sf):
+    """the pass with windows of 512 ids, which many kept pages are too short for."""
+    return _crawled(spark, sf, 512)[2]
+
+
 @register("crawl_summary")
 def q_crawl_summary(spark, sf):
     """A5: successful URLs, chunk total and the zero-success flag of one pass."""
@@ -146,6 +152,15 @@ def q_nonempty_records(spark, sf):
     return nonempty_records(conv.unionByName(docs))
 
 
+@register("nonempty_derived")
+def q_nonempty_derived(spark, sf):
+    """records whose text is missing in one language and empty in another; only white space is kept."""
+    lang = F.col("lang")
+    docs = table(spark, sf, "documents").select("doc_id", "lang", F.when(lang == "de", F.lit(None)).when(lang == "fr", "").when(
+        lang == "es", " ").otherwise(F.col("text")).alias("text"))
+    return nonempty_records(docs).select("doc_id", "lang", F.length("text").cast("long").alias("n_chars"))
+
+
 # --------------------------------------------------------------------------- tokens
 
 @register("pretokens")
@@ -273,7 +288,7 @@ def q_named_corpus(spark, sf):
     from quire.sources.corpus import read_corpus, write_corpus
     root = scratch_path(spark, "corpora")
     docs = table(spark, sf, "documents").select("doc_id", "text", F.col("source").alias("name"), F.col("lang").alias("config"),
-                                                F.when(F.col("doc_id") % 10 == 0, "test").otherwise("train").alias("split"))
+                                                F.when(F.col("doc_id") % 7 == 0, "test").otherwise("train").alias("split"))
     write_corpus(docs, root)
     first = docs.agg(F.min("name")).first()[0]
     return read_corpus(spark, root, first, "en", "train").select("doc_id", "name", "config", "split", F.length("text").cast("long").alias("n_chars"))

@@ -490,3 +490,8 @@ SQL["crawl_rejects_long"] = SQL["crawl_rejects"].replace(f"coalesce(kl.n, 0) < {
 
 SQL["nonempty_derived"] = """SELECT doc_id, lang, CASE WHEN lang = 'es' THEN 1 ELSE length(text) END::BIGINT AS n_chars FROM documents
     WHERE lang IS NULL OR lang = 'es' OR lang NOT IN ('de', 'fr') AND text <> ''"""
+
+SQL["sql_chunks"] = f"""WITH {DOC_TOK},
+    ch AS (SELECT doc_id, unnest(generate_series(0, len(ids) // 64 - 1)) AS chunk_idx, ids FROM d_enc WHERE len(ids) >= 64)
+    SELECT doc_id, chunk_idx::INTEGER AS chunk_idx, (chunk_idx * 64)::INTEGER AS start,
+           {_ids_text('ids[chunk_idx * 64 + 1 : (chunk_idx + 1) * 64]')} AS input_ids FROM ch"""

@@ -272,6 +272,16 @@ def q_article_chunks(spark, sf):
                      F.col("start").cast("int").alias("start"), A.ids_text("input_ids").alias("input_ids"))
 
 
+@register("sql_chunks")
+def q_sql_chunks(spark, sf):
+    """Windows of 64 ids by the SQL table function, called for every document."""
+    from quire.functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    D.encoded_docs(spark, sf).createOrReplaceTempView("quire_encoded_docs")
+    return spark.sql("""SELECT d.doc_id, c.chunk_idx, c.start, array_join(c.input_ids, ' ') AS input_ids
+                        FROM quire_encoded_docs d, LATERAL chunk_ids(d.ids, 64) c""")
+
+
 @register("capped_articles")
 def q_capped_articles(spark, sf):
     """The first 150 articles, 512 ids of each at most (cut before any lookup), in windows of 64."""

@@ -57,6 +57,11 @@ def test_chunk_ids_udtf(spark):
     register_sql_functions(spark)
     out = spark.sql("SELECT * FROM chunk_ids(array(1,2,3,4,5,6,7), 3)").collect()
     assert [(r.chunk_idx, r.start, r.input_ids) for r in out] == [(0, 0, [1, 2, 3]), (1, 3, [4, 5, 6])]
+    none = spark.sql("""SELECT count(*) AS n FROM VALUES (array(1), 2), (array(1), 0), (CAST(NULL AS ARRAY<INT>), 2), (array(1), CAST(NULL AS INT))
+                        AS t(ids, len), LATERAL chunk_ids(t.ids, t.len) c""")
+    assert none.first().n == 0
+    plan = spark.sql("SELECT c.* FROM VALUES (array(1, 2, 3)) AS t(ids), LATERAL chunk_ids(t.ids, 2) c")
+    assert "Python" not in plan._jdf.queryExecution().executedPlan().toString()
 
 
 def test_many_merges_and_ties_equal_sequential_reference(spark, monkeypatch):

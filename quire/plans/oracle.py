@@ -495,3 +495,6 @@ SQL["sql_chunks"] = f"""WITH {DOC_TOK},
     ch AS (SELECT doc_id, unnest(generate_series(0, len(ids) // 64 - 1)) AS chunk_idx, ids FROM d_enc WHERE len(ids) >= 64)
     SELECT doc_id, chunk_idx::INTEGER AS chunk_idx, (chunk_idx * 64)::INTEGER AS start,
            {_ids_text('ids[chunk_idx * 64 + 1 : (chunk_idx + 1) * 64]')} AS input_ids FROM ch"""
+
+SQL["saved_lines"] = f"""WITH {PLAIN}
+    SELECT regexp_replace(text, '\\r\\n|\\r|\\n', ' ', 'g') AS line, count(*) AS n FROM plain WHERE text <> '' GROUP BY 1"""

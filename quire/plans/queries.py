@@ -135,6 +135,16 @@ def q_corpus_lines(spark, sf):
     return D.doc_lines(spark, sf)
 
 
+@register("saved_lines")
+def q_saved_lines(spark, sf):
+    """Page texts saved as a line file, one line a page, and read back; lines counted, for a file has no keys."""
+    from quire.session import scratch_path
+    from quire.sources.lines import read_lines, write_lines
+    path = scratch_path(spark, "saved-lines")
+    write_lines(D.plain_pages(spark, sf), path)
+    return read_lines(spark, path).groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("repeat_lines")
 def q_repeat_lines(spark, sf):
     """Dense line ids over all corpus lines, then every line 100 times, order kept."""

@@ -15,7 +15,7 @@ from quire.session import checkpoint_dir, ship_package
 #: Text bytes handled at once inside a task (one longer text is handled alone).
 SLICE_BYTES = 1 << 20
 #: Bytes of an Arrow batch between the JVM and a Python worker, and text bytes whose words are hashed at once.
-BATCH_BYTES, HASH_BYTES = 8 << 20, 1 << 18
+BATCH_BYTES, HASH_BYTES = 2 << 20, 1 << 18
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

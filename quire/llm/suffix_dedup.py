@@ -36,7 +36,7 @@ from quire.llm.common import mix, powers, slices, span_hashes, text_buffer
 from quire.operators.indexing import write_table
 
 LENGTH, GRAM, HOT, MERGED_AT_ONCE = 400, 64, 100_000, 20_000
-_BLOCK, _RUN_BYTES = 2 << 20, 32 << 20
+_BLOCK, _RUN_BYTES = 1 << 19, 8 << 20
 _BYTES = mix(np.arange(1001, 1257, dtype=np.uint64))
 _STEP = mix(np.arange(51, 58, dtype=np.uint64)) | np.uint64(1)
 _HIGH = np.uint64(0xFFFFFFFF00000000)

@@ -45,7 +45,9 @@ def article_chunks(df: DataFrame, L: int = 256, ids_col: str = "ids", max_tokens
 
 
 def pad(df: DataFrame, L: int = 64, ids_col: str = "ids", pad_id: int = PAD_ID) -> DataFrame:
-    """Truncate/pad right to ``L`` (``input_ids``) and add the real-token mask."""
+    """Truncate/pad right to ``L`` (``input_ids``) and add the real-token mask; a tokenizer without a pad id is refused."""
+    if pad_id is None:
+        raise ValueError("padding needs a pad id; use the end-of-text id where the tokenizer has none")
     out = (df.withColumn("attention_mask", A.real_mask(ids_col, L))
              .withColumn("input_ids", A.pad(ids_col, L, pad_id)))
     return out.drop(ids_col) if ids_col != "input_ids" else out

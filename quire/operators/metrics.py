@@ -70,16 +70,3 @@ def running_loss(batch_losses: DataFrame, epoch_cols: list, step_col: str,
 
 def perplexity(loss: Column | str) -> Column:
     return F.exp(F.col(loss) if isinstance(loss, str) else loss)
-
-
-def unigram_nll(tokens: DataFrame, vocab: DataFrame, id_col: str = "label") -> DataFrame:
-    """Stand-in per-token loss from corpus frequencies: ``-ln(count / total)``.
-
-    Used where a model's per-token loss table is not available.  ``tokens``
-    carries token ids in ``id_col``; the lookup by id is a size-checked
-    broadcast (hot ids) plus a shuffle join for a large vocabulary's tail.
-    """
-    from quire.operators.tokenize import lookup_ids
-    total = vocab.agg(F.sum("count")).first()[0] or 0
-    per_id = vocab.select(F.col("id"), (-F.log(F.col("count") / F.lit(float(total)))).alias("nll"))
-    return lookup_ids(tokens, per_id, id_col)

@@ -102,3 +102,10 @@ def given_vocab(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "given-vocab")
     tokenize.save_vocab(tokenize.fit_vocab(table(spark, sf, "conversations").select("text"), "text"), path)
     return tokenize.load_vocab(spark, path)
+
+
+def unigram_nll(tokens: DataFrame, vocab: DataFrame, id_col: str = "label") -> DataFrame:
+    """Derived per-token losses of ``tokens`` from corpus frequencies, ``-ln(count / total)``: the data holds no model's losses."""
+    total = vocab.agg(F.sum("count")).first()[0] or 0
+    per_id = vocab.select(F.col("id"), (-F.log(F.col("count") / F.lit(float(total)))).alias("nll"))
+    return tokenize.lookup_ids(tokens, per_id, id_col)

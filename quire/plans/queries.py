@@ -371,7 +371,7 @@ def _nll(spark, sf):
     vocab = D.doc_vocab(spark, sf)
     enc = D.encoded_docs(spark, sf, vocab)
     toks = enc.select("doc_id", F.posexplode("ids").alias("pos", "label"))
-    nll = metrics.unigram_nll(toks, vocab, "label")
+    nll = D.unigram_nll(toks, vocab, "label")
     return nll.withColumn("chunk", (F.col("pos") / 64).cast("int"))
 
 

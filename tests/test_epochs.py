@@ -33,3 +33,9 @@ def test_epochs_cover_all_rows_at_any_partitioning(spark):
     order = lambda ep: [k for k, _, e, b, p in sorted(out[0], key=lambda t: (t[3], t[4])) if e == ep]
     assert order(1) != order(2)
     assert batching.epochs(spark.createDataFrame([], "k long"), ["k"], 2).collect() == []
+
+
+def test_padding_needs_an_id(spark):
+    from quire.operators import chunking
+    with pytest.raises(ValueError):
+        chunking.pad(spark.createDataFrame([([1],)], "ids array<int>"), 4, "ids", None)

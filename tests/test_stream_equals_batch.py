@@ -99,3 +99,30 @@ def test_metric_log_is_replaced_on_replay(spark, tmp_path):
     assert rows == [("run", 7, "loss", 5.0), ("run", 7, "none", 0.0), ("run", 8, "loss", 1.0)]
     seen = observed(spark.range(9), {"n": F.count(F.lit(1)), "top": F.max("id")}, lambda df: df.write.parquet(str(tmp_path / "x")))
     assert seen == {"n": 9, "top": 8}
+
+
+def test_stream_queries_read_a_table_of_part_files(spark, tmp_path):
+    from quire.plans.queries import QUERIES
+    good = "<html><body><article>" + "<p>some words of a page that is long enough</p>" * 30 + "</article></body></html>"
+    pages = [(i, f"http://h.example/{i}", "<p>short</p>" if i == 3 else good) for i in range(6)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3).write.parquet(str(tmp_path / "pages.parquet"))
+    docs = [(i, t, "en", "web", 0) for i, t in enumerate(["a b c", "", None, "d e"])]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").repartition(2).write.parquet(
+        str(tmp_path / "documents.parquet"))
+    got = {n: QUERIES[n](spark, str(tmp_path)) for n in ("stream_page_chunks", "stream_rejects", "stream_metric_log", "stream_padded_rows")}
+    want = QUERIES["page_chunks"](spark, str(tmp_path))
+    assert sorted(got["stream_page_chunks"].collect()) == sorted(want.select(*got["stream_page_chunks"].columns).collect())
+    assert [tuple(r) for r in got["stream_rejects"].collect()] == [(3, "http://h.example/3", "short_text")]
+    assert {r.tag: r.value for r in got["stream_metric_log"].collect()} == {"n_chunks": want.count(), "n_pages": 5, "n_rejects": 1}
+    assert sorted(r.doc_id for r in got["stream_padded_rows"].collect()) == [0, 3]
+
+
+def test_a_sink_without_rows_is_an_empty_table(spark, tmp_path):
+    from quire.streaming.jobs import REJECT_SCHEMA, read_sink
+    good = "<html><body><article>" + "<p>some words of a page that is long enough</p>" * 30 + "</article></body></html>"
+    pages = spark.createDataFrame([(1, "http://h.example/1", good)], "page_id long, url string, html string")
+    pages.write.parquet(str(tmp_path / "src"))
+    vocab = tokenize.fit_vocab(spark.createDataFrame([("some words",)], "text string"))
+    paths = run_page_chunks(spark, str(tmp_path / "src"), vocab, 64, out=str(tmp_path / "out"))
+    assert read_sink(spark, paths["rejects"], REJECT_SCHEMA).count() == 0
+    assert spark.read.parquet(paths["chunks"]).count() > 0

@@ -16,7 +16,7 @@ from quire.functions import arrays as A
 from quire.functions.text import single_line
 from quire.operators import batching, chunking, crawl, metrics, runs, sampling, tokenize
 from quire.plans import derived as D
-from quire.session import checkpoint_dir, ship_package
+from quire.session import bound_batches, checkpoint_dir, ship_package
 from quire.sources.corpus import nonempty_records, read_articles, table
 from quire.sources.lines import repeat_lines, with_row_id
 
@@ -27,6 +27,7 @@ def register(name: str):
     def deco(fn):
         def run(spark: SparkSession, sf: str) -> DataFrame:
             checkpoint_dir(spark)
+            bound_batches(spark)
             ship_package(spark)
             return fn(spark, sf)
         run.__name__ = fn.__name__

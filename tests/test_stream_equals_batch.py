@@ -126,3 +126,36 @@ def test_a_sink_without_rows_is_an_empty_table(spark, tmp_path):
     paths = run_page_chunks(spark, str(tmp_path / "src"), vocab, 64, out=str(tmp_path / "out"))
     assert read_sink(spark, paths["rejects"], REJECT_SCHEMA).count() == 0
     assert spark.read.parquet(paths["chunks"]).count() > 0
+
+
+def test_urls_of_one_state_key_are_judged_one_by_one():
+    import pandas as pd
+
+    from quire.streaming.jobs import FailedUrls
+
+    class Failed(dict):
+        def exists(self):
+            return bool(self)
+
+        def containsKey(self, k):
+            return k in self
+
+        def updateValue(self, k, v):
+            self[k] = v
+
+    class Handle:
+        def getMapState(self, *_):
+            return kept
+
+    def batch(*parts):
+        cols = ["page_id", "url", "text", "why"]
+        out = p.handleInputRows((0,), iter([pd.DataFrame(rows, columns=cols).assign(part=0) for rows in parts]), None)
+        return [(r.page_id, r.url, r.known) for pdf in out for r in pdf.itertuples()]
+
+    kept, p = Failed(), FailedUrls()
+    p.init(Handle())
+    # of the rows of one URL, in whatever part, the smallest page speaks for it
+    assert not any(k for _, _, k in batch([(5, "a", "t", "short_text"), (2, "b", "t", None)], [(1, "a", "t", None), (7, "b", "t", "x"), (3, "c", "t", "y")]))
+    assert kept == {("c",): ("y",)}
+    assert batch([(9, "c", "t", None), (4, "d", None, "fetch_failed"), (6, "a", "t", "x")]) == [(9, "c", True), (4, "d", False), (6, "a", False)]
+    assert kept == {("c",): ("y",), ("d",): ("fetch_failed",), ("a",): ("x",)}

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from quire.functions.text import single_line, split_lines, ustrip
 
+#: Text bytes of a part of repeated lines: beyond 1 MB Parquet's writer gives up a column's dictionary and writes every copy whole.
+#: More parts than ``MOST_PARTS`` are not made (a job of that many tasks); parts are larger then, and so is what is written.
+PART_BYTES, MOST_PARTS = 640 << 10, 1 << 16
+
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """A text file as ``(value)`` rows: both ends stripped (Unicode), blank lines dropped."""
@@ -34,12 +38,16 @@ def repeat_lines(lines: DataFrame, repeat: int = 100, order_col: str = "pos",
     """Every line ``repeat`` times, order kept: ``line_id = rep * n + pos``.
 
     ``lines`` carries a dense 0-based ``order_col``.  The repetition is a
-    generator (``explode(sequence)``) inside each row: no join, no shuffle.
+    generator (``explode(sequence)``) inside each row: no join.  Before it the
+    lines, still once each, are dealt by range into parts of at most about
+    ``PART_BYTES`` of text, so that a columnar writer keeps a part's texts in its
+    dictionary and each copy is a few bits.
     """
-    n = lines.agg(F.max(order_col)).first()[0]
+    n, size = lines.agg(F.max(order_col), F.sum(F.octet_length(text_col) + 4)).first()
     n = 0 if n is None else int(n) + 1
     if repeat <= 0:
         return lines.sparkSession.createDataFrame([], "line_id long, text string")
+    lines = lines.repartitionByRange(min(1 + int(size or 0) // PART_BYTES, MOST_PARTS), order_col)
     out = lines.select(F.explode(F.sequence(F.lit(0), F.lit(repeat - 1))).alias("rep"), order_col, text_col)
     return out.select((F.col("rep").cast("long") * n + F.col(order_col)).alias("line_id"),
                       F.col(text_col).alias("text"))

@@ -31,6 +31,22 @@ def test_line_file_roundtrip(spark, tmp_path):
     assert got == ["one two", "three"]
 
 
+def test_repeated_lines_are_written_once_a_file(spark, tmp_path):
+    """Above a columnar writer's dictionary (1 MB) each copy would be written whole."""
+    lines = spark.range(0, 6000, 1, 1).selectExpr(
+        "id AS pos", "concat_ws('', transform(sequence(1, 10), i -> md5(concat(id, '-', i)))) AS text").localCheckpoint()
+
+    def written(df, name):
+        df.write.parquet(f"{tmp_path}/{name}")
+        return sum(f.stat().st_size for f in (tmp_path / name).glob("*.parquet"))
+
+    out = repeat_lines(lines, 50, "pos", "text")
+    # beside the ids (8 bytes a row), the copies' texts cost next to nothing
+    assert written(out, "copies") - written(out.select("line_id"), "ids") < 1.3 * written(lines, "once")
+    assert spark.read.parquet(f"{tmp_path}/copies").selectExpr("count(*)", "min(line_id)", "max(line_id)", "count(DISTINCT line_id)").first()[:] == (
+        300_000, 0, 299_999, 300_000)
+
+
 def test_repeat_lines_order(spark):
     lines = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "pos long, text string")
     out = repeat_lines(lines, 4, "pos", "text").orderBy("line_id").collect()

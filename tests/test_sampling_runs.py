@@ -181,3 +181,15 @@ def test_history_sinks_and_metric_log(spark, tmp_path):
         runs.log_metrics(bad, str(tmp_path / "m2"))
     snap = spark.range(1).select(runs.config_snapshot(F.create_map(F.lit("lr"), F.lit("1e-4"))).alias("j")).first().j
     assert snap == '{"lr":"1e-4"}'
+
+
+def test_history_folders_are_dealt_by_their_number(spark, tmp_path):
+    """Few bytes, many folders: adaptive execution would leave them to one task."""
+    rows = [(r, e, float(r or 0), float(e), 0.5) for r in [*range(300), None] for e in (1, 2)]
+    h = spark.createDataFrame(rows, "run long, epoch int, train_loss double, eval_loss double, lr double")
+    runs.write_history(h, f"{tmp_path}/h", "csv")
+    files = list((tmp_path / "h").rglob("*.csv"))
+    assert len(files) == 300 + 1  # one a run
+    assert len({f.name.split("-")[1] for f in files}) >= 3
+    back = spark.read.schema("epoch int, train_loss double, eval_loss double, lr double, run long").option("header", True).csv(f"{tmp_path}/h")
+    assert sorted(map(repr, back.select(h.columns).collect())) == sorted(map(repr, h.collect()))

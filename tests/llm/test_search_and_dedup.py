@@ -261,3 +261,21 @@ def test_word_hashes_by_blocks_equal_hashes_of_the_whole():
             m.setattr(common, "HASH_BYTES", block)
             assert (common.word_hashes(data, starts, ends) == common.span_hashes(data, starts, ends)).all()
     assert not len(common.word_hashes(data[:0], starts[:0], ends[:0]))
+
+
+def test_deep_walks_score_the_block_together():
+    rng = np.random.default_rng(3)
+    flat = np.floor(256 * rng.normal(size=(3000, 32))).astype("<i8")  # no bound stops a walk
+    peaked = np.zeros((3000, 32), "<i8")
+    peaked[np.arange(3000), rng.integers(0, 32, 3000)] = rng.integers(-99, 99, 3000)
+    for rows, deep in ((flat, True), (peaked, False)):
+        for scale in (1, 1 << 45):  # beyond 53 bits in Python integers
+            lists = topk.SortedLists(rows * scale)
+            asked = [*(rows[::300] * scale), np.zeros(32, "<i8")]
+            walked = []
+            lists._walk = lambda *a, w=type(lists)._walk, to=walked, at=lists: to.append(w(at, *a)) or to[-1]
+            for q, (who, scores) in zip(asked, lists.best_of(asked, 6), strict=True):
+                s = (rows * scale).astype(object) @ q.astype(object)
+                want = np.flatnonzero(s >= np.sort(s)[-6])
+                assert sorted(zip(who.tolist(), map(int, scores), strict=True)) == [(i, int(s[i])) for i in want]
+            assert sum(w is None for w in walked) == (len(asked) - 1 if deep else 0)

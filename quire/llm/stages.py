@@ -17,6 +17,9 @@ from quire.operators.indexing import write_table
 
 #: Words of a shingle and percent of shared shingles from which two documents of the pipeline are similar (op3's own are 4 and 85).
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
+#: Bytes from which a repeated string goes: some 50 words of four letters and a space (op2's own are 400, as its contract says, so
+#: that a repeated passage of 50 words would stay).
+PASSAGE_BYTES = 250
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,11 +55,11 @@ def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the bytes of repeated 400-byte strings; what is left of a cut character goes, too.
+    """Documents without the bytes of repeated ``PASSAGE_BYTES``-byte strings; what is left of a cut character goes, too.
     ``n_chars`` is counted again where the table has it."""
     prepare(spark)
     columns = docs.columns
-    cut = suffix_dedup.remove_repeats(docs, keep=[c for c in columns if c != "text"])
+    cut = suffix_dedup.remove_repeats(docs, keep=[c for c in columns if c != "text"], length=PASSAGE_BYTES)
 
     def decode(batches):
         for b in batches:

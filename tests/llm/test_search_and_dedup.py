@@ -279,3 +279,20 @@ def test_deep_walks_score_the_block_together():
                 want = np.flatnonzero(s >= np.sort(s)[-6])
                 assert sorted(zip(who.tolist(), map(int, scores), strict=True)) == [(i, int(s[i])) for i in want]
             assert sum(w is None for w in walked) == (len(asked) - 1 if deep else 0)
+
+
+def test_pipeline_cuts_repeated_passages_of_50_words(spark):
+    """Shorter than the 400 bytes of op2, which keeps them."""
+    rng = random.Random(12)
+    passage = " ".join(_words(rng, 60))[:330].strip()
+    assert len(passage.split()) > 50 and 250 < len(passage.encode()) < 400, (len(passage.split()), len(passage))
+    texts = [" ".join(_words(rng, 120)) for _ in range(6)]
+    whole = list(texts)
+    for i in (1, 3, 4):
+        texts[i] = f"{texts[i][:200]} {passage} {texts[i][200:]}"
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    left = {r.doc_id: r.text for r in stages.without_repeats(spark, docs, "").collect()}
+    for i in range(6):
+        assert passage[10:-10] not in left[i] and len(left[i]) >= len(whole[i]) - 4
+        assert i in (1, 3, 4) or left[i] == texts[i]
+    assert all(r.n_removed == 0 for r in suffix_dedup.remove_repeats(docs).collect())

@@ -7,8 +7,12 @@ partitioned by run (the epochs of one run are few) or a grouped aggregate.
 
 from __future__ import annotations
 
+import os
+import re
 import uuid
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
@@ -18,8 +22,11 @@ INF = float("inf")
 RUN_NAME_FORMAT = "yyyy-MM-dd_HH-mm-ss"
 RUN_NAME_PATTERN = r"^\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2}$"
 LR_DECAY = 0.95
+CSV_COLUMNS = ("epoch", "train_loss", "eval_loss", "lr")
 #: Run folders that a task of the CSV sink writes, about.
 FOLDERS_PER_TASK = 100
+#: Characters that Spark escapes in the name of a partition's folder.
+_PATH_CHARS = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
 
 
 def run_name(ts: Column, resume: Column | None = None) -> Column:
@@ -211,13 +218,24 @@ def write_history(history: DataFrame, path: str, fmt: str = "csv") -> None:
     """History sink: CSV ``epoch,train_loss,eval_loss,lr`` per run folder, or one JSON row per run.
 
     Folders, not bytes, are what the CSV sink costs: tasks are cut by their number (given as a number, which adaptive execution
-    leaves as it is), and each task moves its own folders to their place instead of the driver all of them, one by one."""
+    leaves as it is).  In a folder of the file system that all machines mount, tasks write the files themselves: Hadoop's local file
+    system starts a process for each file's permissions.  In any other store each task moves its own folders to their place."""
     if fmt == "csv":
-        tasks = 1 + history.select("run").distinct().count() // FOLDERS_PER_TASK
-        (history.select("run", "epoch", "train_loss", "eval_loss", "lr")
-                .repartition(tasks, "run").sortWithinPartitions("run", "epoch")
-                .write.mode("overwrite").partitionBy("run").option("header", True)
-                .option("mapreduce.fileoutputcommitter.algorithm.version", "2").csv(path))
+        n, root = history.select("run").distinct().count(), _mounted(history.sparkSession, path)
+        tasks = 1 + n // FOLDERS_PER_TASK
+        if root is not None:  # a folder is a file to open; what a task costs is more
+            tasks = min(tasks, max(4 * history.sparkSession.sparkContext.defaultParallelism, 1 + n // (20 * FOLDERS_PER_TASK)))
+        rows = history.select("run", *CSV_COLUMNS).repartition(tasks, "run").sortWithinPartitions("run", "epoch")
+        sink = (rows if root is None else rows.limit(0)).write.mode("overwrite").partitionBy("run").option("header", True).option(
+            "mapreduce.fileoutputcommitter.algorithm.version", "2")
+        if root is None:
+            sink.csv(path)
+            return
+        sink.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").csv(path)  # an empty folder, as any writer begins
+        folder = F.coalesce(F.nullif(F.col("run").cast("string"), F.lit("")), F.lit("__HIVE_DEFAULT_PARTITION__"))
+        lines = rows.select(folder.alias("run"), F.to_csv(F.struct(*CSV_COLUMNS)).alias("line"))
+        lines.mapInArrow(_run_files(root), "n long").write.format("noop").mode("overwrite").save()
+        open(f"{root}/_SUCCESS", "w").close()
     else:
         per = history.groupBy("run").agg(F.array_sort(F.collect_list(
             F.struct("epoch", "train_loss", "eval_loss", "lr"))).alias("_h"))
@@ -226,6 +244,52 @@ def write_history(history: DataFrame, path: str, fmt: str = "csv") -> None:
             .write.mode("overwrite").json(path))
 
 
+def read_history(spark, path: str, schema: str) -> DataFrame:
+    """The CSV sink read back.  Its folders are listed by tasks of some hundred folders; Spark's own bound is a task each, up to 10,000."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), 16 * spark.sparkContext.defaultParallelism)))
+    try:
+        return spark.read.schema(schema).option("header", True).csv(path)
+    finally:
+        spark.conf.set(key, before)
+
+
+def _mounted(spark, path: str) -> str | None:
+    """The plain path of a folder of the local (or mounted) file system, None for any other store."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return fs.makeQualified(where).toUri().getPath() if fs.getScheme() == "file" else None
+
+
+def _run_files(root: str):
+    """Task that writes the CSV lines of its runs, a folder and a file each.  A file has its name when it is whole, the same name in
+    every attempt of the task."""
+    def save(batches):
+        task = TaskContext.get()
+        now, out, n = None, None, 0
+
+        def done():
+            if out is not None:
+                out.close()
+                os.replace(out.name, f"{os.path.dirname(out.name)}/part-{task.partitionId():05d}.csv")
+
+        for b in batches:
+            for run, line in zip(b.column("run").to_pylist(), b.column("line").to_pylist(), strict=True):
+                if run != now:
+                    done()
+                    folder = f"{root}/run={_PATH_CHARS.sub(lambda m: f'%{ord(m[0]):02X}', run)}"
+                    os.makedirs(folder, exist_ok=True)
+                    now, n = run, n + 1
+                    out = open(f"{folder}/_part-{task.taskAttemptId()}", "w", encoding="utf-8", newline="")
+                    out.write(",".join(CSV_COLUMNS) + "\n")
+                out.write(line + "\n")
+        done()
+        yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
+
+    return save
+
+
 def config_snapshot(config: Column) -> Column:
     """Config snapshot of a run as a JSON string (K4)."""
     return F.to_json(config)

@@ -512,7 +512,7 @@ def q_history_files(spark, sf):
     csv, js = scratch_path(spark, "history-csv"), scratch_path(spark, "history-json")
     runs.write_history(h, csv, "csv")
     runs.write_history(h, js, "json")
-    c = spark.read.schema("epoch int, train_loss double, eval_loss double, lr double, run long").option("header", True).csv(csv)
+    c = runs.read_history(spark, csv, "epoch int, train_loss double, eval_loss double, lr double, run long")
     z = spark.read.schema("run long, train_loss array<double>, eval_loss array<double>, lr array<double>").json(js).select(
         "run", F.posexplode(runs.zip_histories(F.col("train_loss"), F.col("eval_loss"), F.col("lr"))).alias("i", "z"))
     z = z.select("run", (F.col("i") + 1).alias("epoch"), F.col("z")["eval_loss"].alias("json_eval"), F.col("z")["lr"].alias("json_lr"))

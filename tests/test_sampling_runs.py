@@ -193,3 +193,33 @@ def test_history_folders_are_dealt_by_their_number(spark, tmp_path):
     assert len({f.name.split("-")[1] for f in files}) >= 3
     back = spark.read.schema("epoch int, train_loss double, eval_loss double, lr double, run long").option("header", True).csv(f"{tmp_path}/h")
     assert sorted(map(repr, back.select(h.columns).collect())) == sorted(map(repr, h.collect()))
+
+
+def test_history_files_are_those_of_the_csv_writer(spark, tmp_path, monkeypatch):
+    """Written by the tasks or by Spark's own writer: the same folders, lines and rows; a second write replaces the first."""
+    inf = float("inf")
+    names = ["r 1", "a/b=c:%", "\u00e9\t#", None, ""]
+    rows = [(r, e, (e or 0) / 3, v, 1e-4) for r in names for e, v in ((2, None), (1, inf), (3, float("nan")), (None, -1e-17))]
+    h = spark.createDataFrame(rows, "run string, epoch int, train_loss double, eval_loss double, lr double")
+    forks = lambda: int(next(x for x in open("/proc/stat") if x.startswith("processes")).split()[1])
+    many = spark.range(400).select(F.col("id").alias("run"), F.lit(1).alias("epoch"), *(F.rand(i).alias(c) for i, c in enumerate(
+        ("train_loss", "eval_loss", "lr"))))
+    before = forks()
+    runs.write_history(many, f"{tmp_path}/one", "csv")
+    assert forks() - before < 1600  # some eight a run before
+    assert spark.read.option("header", True).csv(f"{tmp_path}/one").count() == 400
+    runs.write_history(h, f"{tmp_path}/one", "csv")
+    monkeypatch.setattr(runs, "_mounted", lambda *_: None)
+    runs.write_history(h, f"{tmp_path}/two", "csv")
+
+    def lines(root):
+        out = {}
+        for f in root.rglob("*.csv"):
+            out.setdefault(f.parent.name, []).extend(f.read_text().splitlines()[1:])
+        return {k: sorted(v) for k, v in out.items()}
+
+    one, two = lines(tmp_path / "one"), lines(tmp_path / "two")
+    assert one == two and len(one) == 4
+    schema = "epoch int, train_loss double, eval_loss double, lr double, run string"
+    back = [sorted(map(repr, spark.read.schema(schema).option("header", True).csv(f"{tmp_path}/{x}").collect())) for x in ("one", "two")]
+    assert back[0] == back[1] and len(back[0]) == len(rows)

@@ -106,3 +106,29 @@ def test_prefix_pieces_of_a_full_filter(spark, monkeypatch):
     items = spark.createDataFrame([("w299w1w",), ("w12x",)], "item string")
     got = {r["item"]: r["value"] for r in tokenize.prefix_pieces(vocab, 2)(items).collect()}
     assert got == {"w299w1w": [301, 3, tokenize.UNK_ID], "w12x": [14, tokenize.UNK_ID]}
+
+
+def test_a_dictionary_made_before(spark, monkeypatch):
+    """The same ids as with a dictionary of the call's own; a whole vocabulary needs no shuffle."""
+    docs = spark.createDataFrame([(i, None if i == 3 else "seen here unseen " * (i % 4)) for i in range(20)], "doc_id long, text string").repartition(4)
+    vocab = tokenize.fit_vocab(spark.createDataFrame([("seen here now",)], "text string"))
+    want = sorted((r.doc_id, r.ids) for r in tokenize.encode(docs, vocab).collect())
+    for size in (tokenize.HOT_VOCAB, 1):
+        made = tokenize.dictionary(vocab, size)
+        monkeypatch.setattr(L, "dictionary_end", None)
+        enc = tokenize.encode(docs, vocab, made=made)
+        monkeypatch.undo()
+        assert made.whole == (size > 1) and ("Join" not in " ".join(_nodes(enc))) == made.whole
+        assert sorted((r.doc_id, r.ids) for r in enc.collect()) == want
+
+
+def test_few_rows_are_joined_at_once(spark, monkeypatch):
+    left = spark.createDataFrame([("a", i) for i in range(6)] + [("b", 9), ("z", 0), (None, 1)], "k string, v int")
+    right = spark.createDataFrame([("a", 1, 6), ("b", 2, 1), ("c", 3, 0)], "k string, w int, n long")
+    want = sorted([("a", i, 1) for i in range(6)] + [("b", 9, 2)])
+    few = skew.join_unique(left, right, "k")
+    assert few._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+    monkeypatch.setattr(skew, "BUSY", 2)
+    many = skew.join_unique(left, right, "k")
+    assert few.columns == many.columns == ["k", "v", "w"]
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect())) == want

@@ -159,3 +159,28 @@ def test_urls_of_one_state_key_are_judged_one_by_one():
     assert kept == {("c",): ("y",)}
     assert batch([(9, "c", "t", None), (4, "d", None, "fetch_failed"), (6, "a", "t", "x")]) == [(9, "c", True), (4, "d", False), (6, "a", False)]
     assert kept == {("c",): ("y",), ("d",): ("fetch_failed",), ("a",): ("x",)}
+
+
+def test_a_batch_does_not_begin_anew(spark, tmp_path, monkeypatch):
+    """The vocabulary's dictionary is made once for all batches, a file is parsed by several tasks, the session's settings come back."""
+    import pytest
+
+    from quire.operators import lookup
+    from quire.streaming.jobs import STATE_CONF, at_once, judged_pages, page_stream
+    good = "<article>" + "word " * 80 + "</article>"
+    spark.createDataFrame([(i, f"u/{i}", good) for i in range(6)], "page_id long, url string, html string").repartition(3).write.parquet(
+        str(tmp_path / "in"))
+    vocab = tokenize.fit_vocab(spark.createDataFrame([("word word",)], "text string"))
+    made, plain = [], lookup.dictionary_end
+    monkeypatch.setattr(lookup, "dictionary_end", lambda *a: made.append(1) or plain(*a))
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    paths = run_page_chunks(spark, str(tmp_path / "in"), vocab, 16, out=str(tmp_path / "out"), max_files_per_trigger=1)
+    got = spark.read.parquet(paths["chunks"])
+    assert got.select("batch_id").distinct().count() == 3 and got.count() == 6 * 5
+    assert len(made) == 1 and before == {k: spark.conf.get(k, None) for k in STATE_CONF}
+    plan = judged_pages(page_stream(spark, str(tmp_path / "in")), 16)._jdf.queryExecution().analyzed().toString()
+    assert f"], {spark.sparkContext.defaultParallelism}" in plan[plan.index("RepartitionByExpression"):].split("\n")[0]
+    ran = []
+    with pytest.raises(ZeroDivisionError):
+        at_once(spark, lambda: 1 / 0, lambda: ran.append(spark.range(3).count()))
+    assert ran == [3] and at_once(spark, lambda: 1, lambda: 2) == [1, 2]
